@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from quire.llm import mixing, simhash
+from quire.llm import embedding_dedup, line_dedup, mixing, simhash, topk
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_query,
+    "op2_exact_top_k": topk.op2_query,
+    "op6_embedding_near_dedup": embedding_dedup.op6_query,
     "op9_simhash_near_dedup": simhash.op9_query,
     "op10_mixing_sources": mixing.op10_query,
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+    "op2_exact_top_k": topk.OP2_SQL,
     "op10_mixing_sources": mixing.OP10_SQL,
 }
