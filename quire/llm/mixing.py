@@ -150,7 +150,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, keep_text: bool = False
     begin = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0))
     end = F.least((F.col("block") + 1) * block_words - F.col("start"), F.col("size"))
     pieces = pieces.select("rank", "doc_id", "n", "block", begin.alias("from"), end.alias("to"))
-    return rows, pieces.join(times, ["rank", "block"]).select("rank", "doc_id", "n", "block", "from", "to", "times")
+    # both sides come out of explode, whose growth size estimates do not see: never broadcast
+    return rows, pieces.hint("merge").join(times, ["rank", "block"]).select("rank", "doc_id", "n", "block", "from", "to", "times")
 
 
 def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -164,7 +165,7 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     key = ["doc_id", "n"]
     copies = spans.select(*key, "from", "to", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("k"))
     cut = copies.groupBy(*key, "k").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("cuts"), F.sum(F.col("to") - F.col("from")).alias("words"))
-    named = rows.join(cut, key).select(F.when(~F.col("absent"), F.col("doc_id")).alias("_id"), "source", "size", "h", "n", "k", "cuts", "words")
+    named = rows.hint("merge").join(cut, key).select(F.when(~F.col("absent"), F.col("doc_id")).alias("_id"), "source", "size", "h", "n", "k", "cuts", "words")
     repeat = Window.partitionBy("doc_id", "source").orderBy(F.regexp_count("text", F.lit(WORD)), F.xxhash64("text"))
     numbered = docs.withColumn("_n", F.row_number().over(repeat))
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("n").eqNullSafe(F.col("_n")) & F.col("_source").eqNullSafe(F.col("source"))
@@ -182,7 +183,7 @@ def mix_report(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``; see ``mix``."""
     rows, spans = mix(docs, block_words)
     taken = spans.groupBy("rank", "doc_id", "n").agg(F.sum((F.col("to") - F.col("from")) * F.col("times")).alias("taken"))
-    out = rows.join(taken, ["rank", "doc_id", "n"], "left")
+    out = rows.hint("merge").join(taken, ["rank", "doc_id", "n"], "left")
     return out.select(
         F.when(~F.col("absent"), F.col("doc_id")).alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
