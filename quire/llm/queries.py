@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import embedding_dedup, line_dedup, mixing, simhash, topk
+from quire.llm import bpe, embedding_dedup, line_dedup, mixing, simhash, substring_dedup, topk
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_query,
     "op2_exact_top_k": topk.op2_query,
     "op6_embedding_near_dedup": embedding_dedup.op6_query,
+    "op7_substring_dedup": substring_dedup.op7_query,
+    "op8_bpe": bpe.op8_query,
     "op9_simhash_near_dedup": simhash.op9_query,
     "op10_mixing_sources": mixing.op10_query,
 }
