@@ -16,6 +16,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,14 @@ MEMO_WORDS = 250_000
 COUNTED_WORDS = 500_000
 
 
+_SLOTS = 1 << 18
+_NONE = 1 << 62
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64)
+
+
 class WordBpe:
     """Merges of a lower-casing word-level BPE: NFC, lower case, pattern split, byte symbols, word-end suffix."""
 
@@ -45,42 +54,103 @@ class WordBpe:
         self.pattern = regex.compile(split.replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         names = byte_names()
-        self.inner = [vocab[names[b]] for b in range(256)]
-        self.last = [vocab[names[b] + self.suffix] for b in range(256)]
-        self.rank: dict[int, int] = {}
-        for at, merge in enumerate(model["merges"]):
-            a, b = merge if isinstance(merge, list) else merge.split(" ")
-            self.rank[vocab[a] << 20 | vocab[b]] = at << 20 | vocab[a + b]
-
-    def merge(self, word: bytes) -> list[int]:
-        ids = [self.inner[b] for b in word[:-1]]
-        ids.append(self.last[word[-1]])
-        rank, most = self.rank, 1 << 62
-        while len(ids) > 1:
-            ranks = [rank.get(a << 20 | b, most) for a, b in zip(ids, ids[1:], strict=False)]
-            best = min(ranks)
-            if best == most:
-                break
-            new, out, i, n = best & 0xFFFFF, [], 0, len(ids)
-            while i < n:
-                if i < n - 1 and ranks[i] == best:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
-
-    def encode(self, chunk: str) -> list[int]:
-        out: list[int] = []
+        self.inner = np.array([vocab[names[b]] for b in range(256)])
+        self.last = np.array([vocab[names[b] + self.suffix] for b in range(256)])
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        keys = np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], dtype=np.int64)
+        # an open-addressing table, read a whole array at a time
+        self.keys, self.values = np.full(_SLOTS, -1), np.zeros(_SLOTS, dtype=np.int64)
+        for at, (key, slot) in enumerate(zip(keys.tolist(), _slot(keys).tolist(), strict=True)):
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & (_SLOTS - 1)
+            a, b = pairs[at]
+            self.keys[slot], self.values[slot] = key, at << 20 | vocab[a + b]
+
+    def pieces(self, chunk: str) -> list[bytes | int]:
+        """What is merged on its own: words as UTF-8 bytes, and ids of special tokens."""
+        out: list[bytes | int] = []
         for k, part in enumerate(self.cut.split(chunk) if self.cut else [chunk]):
             if k % 2:
                 out.append(self.special[part])
             elif part:
                 part = part.lower() if part.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-                for piece in self.pattern.findall(part):
-                    out += self.merge(piece.encode())
+                out += [piece.encode() for piece in self.pattern.findall(part)]
+        return out
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``words`` in a row, and how many each has: in each round every word merges its best-ranked pair."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
+        ids = self.inner[raw]
+        ends = np.cumsum(lengths)
+        ids[ends - 1] = self.last[raw[ends - 1]]
+        row = np.repeat(np.arange(len(words)), lengths)
+        done_ids, done_rows = [], []
+        while len(ids):
+            rank = np.full(len(ids), _NONE)  # of the pair that starts here
+            pair = np.flatnonzero(row[:-1] == row[1:])
+            rank[pair] = self._rank(ids[pair], ids[pair + 1])
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            best = np.minimum.reduceat(rank, first)
+            best = np.repeat(best, np.diff(np.append(first, len(row))))
+            over = best == _NONE
+            done_ids.append(ids[over])
+            done_rows.append(row[over])
+            live = ~over
+            ids, row, rank, best = ids[live], row[live], rank[live], best[live]
+            here = np.flatnonzero(rank == best)
+            if not len(here):
+                break
+            # of pairs that overlap (aaa), every second one from the left
+            run = np.r_[True, here[1:] != here[:-1] + 1]
+            at = np.arange(len(here))
+            here = here[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]
+            ids[here] = rank[here] & 0xFFFFF
+            keep = np.ones(len(ids), dtype=bool)
+            keep[here + 1] = False
+            ids, row = ids[keep], row[keep]
+        ids, row = np.concatenate([np.empty(0, dtype=np.int64), *done_ids]), np.concatenate([np.empty(0, dtype=np.int64), *done_rows])
+        return ids[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(words))
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """rank << 20 | merged id of each pair, _NONE where there is no merge."""
+        key = a << 20 | b
+        at = _slot(key)
+        out = np.full(len(key), _NONE)
+        left = np.arange(len(key))
+        while len(left):
+            held = self.keys[at]
+            hit = held == key[left]
+            out[left[hit]] = self.values[at[hit]]
+            more = ~hit & (held >= 0)
+            left, at = left[more], (at[more] + 1) & (_SLOTS - 1)
+        return out
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of each chunk (a text without ASCII white space)."""
+        split = [self.pieces(c) for c in chunks]
+        words = [p for pieces in split for p in pieces if isinstance(p, bytes)]
+        if not words:
+            return split
+        ids, counts = self.merge(words)
+        flat, ends = ids.tolist(), np.cumsum(counts).tolist()
+        out, k, begin = [], 0, 0
+        for pieces in split:
+            if not any(isinstance(p, int) for p in pieces):
+                k += len(pieces)
+                end = ends[k - 1] if pieces else begin
+                out.append(flat[begin:end])
+            else:
+                own: list[int] = []
+                for p in pieces:
+                    if isinstance(p, int):
+                        own.append(p)
+                    else:
+                        own += flat[ends[k - 1] if k else 0 : ends[k]]
+                        k += 1
+                end = ends[k - 1] if k else 0
+                out.append(own)
+            begin = end
         return out
 
 
@@ -219,11 +289,14 @@ class Encoder:
             self.memo.clear()
             self.text.clear()
         new = [w for w in words if w not in self.memo]
-        lex, encode = self.lexicon, self.bpe.encode
-        for w, at in zip(new, lex.find(new).tolist(), strict=True):
-            ids = lex.ids[lex.offsets[at] : lex.offsets[at + 1]].tolist() if at >= 0 else encode(w.decode())
-            self.memo[w] = np.array(ids, dtype="<u4").tobytes()
-            self.text[w] = b" ".join([self.names[i] for i in ids])
+        found = self.lexicon.find(new)
+        missing = np.flatnonzero(found < 0).tolist()
+        merged = dict(zip(missing, self.bpe.encode([new[i].decode(errors="replace") for i in missing]), strict=True))
+        lex, names = self.lexicon, self.names
+        for i, (w, at) in enumerate(zip(new, found.tolist(), strict=True)):
+            ids = lex.ids[lex.offsets[at] : lex.offsets[at + 1]].tolist() if at >= 0 else merged[i]
+            self.memo[w] = pack(f"<{len(ids)}I", *ids)
+            self.text[w] = b" ".join([names[x] for x in ids])
 
     def encode(self, words: list[bytes]) -> tuple[bytes, bytes]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text: the tokens, one space between them."""
@@ -258,8 +331,8 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     """
     spark = docs.sparkSession
     spec = tokenizer_spec(path)
-    bpe = WordBpe(spec)
-    block = spark.sparkContext.broadcast(compile_lexicon({w: bpe.encode(w.decode()) for w in frequent_words(docs, lexicon_words)}))
+    bpe, words = WordBpe(spec), frequent_words(docs, lexicon_words)
+    block = spark.sparkContext.broadcast(compile_lexicon(dict(zip(words, bpe.encode([w.decode(errors="replace") for w in words]), strict=True))))
     shipped = spark.sparkContext.broadcast({k: spec[k] for k in ("model", "added_tokens", "pre_tokenizer")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
