@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
 from collections import Counter
@@ -32,6 +33,7 @@ MEMO_WORDS = 250_000
 COUNTED_WORDS = 500_000
 
 
+_BEYOND_LATIN_1 = re.compile(rb"[\xc4-\xff]").search
 _SLOTS = 1 << 18
 _NONE = 1 << 62
 
@@ -253,6 +255,12 @@ class Lexicon:
         return out
 
 
+def folded(text: bytes) -> bytes:
+    """Lower-cased early, so that fewer words differ, where that cannot change the ids: no special token can arise, and
+    no combining mark can meet a letter (Latin-1 texts)."""
+    return text if b"<|" in text or _BEYOND_LATIN_1(text) else text.lower()
+
+
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
     """The ``most`` most frequent words over all texts, ties by bytes; words longer than LEXICON_BYTES never."""
 
@@ -266,7 +274,7 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
             return out
 
         for _, texts in binary_rows(batches):
-            seen.update(b" ".join(texts).split())
+            seen.update(b" ".join(map(folded, texts)).split())
             if len(seen) > COUNTED_WORDS:
                 yield flush()
         yield flush()
@@ -338,7 +346,7 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped, block)
         for piece, texts in binary_rows(batches):
-            words = [t.split() for t in texts]
+            words = [folded(t).split() for t in texts]
             encoder.learn(set().union(*words))
             pairs = [encoder.encode(w) for w in words]
             columns = [piece.column(0), pa.array([len(i) // 4 for i, _ in pairs], pa.int64())]

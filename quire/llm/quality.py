@@ -113,13 +113,13 @@ def table(counts: DataFrame) -> np.ndarray:
     p = np.full(1, 1 / SIZE)
     for k, (shares, back) in enumerate(kneser_ney(counts), start=1):
         weight = np.ones(SIZE ** (k - 1))
-        b = back.toPandas()  # at most 64**(k - 1) rows
-        weight[b["context"].to_numpy(dtype=np.int64)] = b["back"].to_numpy()
+        b = back.toArrow()  # at most 64**(k - 1) rows
+        weight[b["context"].to_numpy()] = b["back"].to_numpy()
         lower = np.full((1, SIZE), 1 / SIZE) if k == 1 else p.reshape(-1, SIZE)  # by (shorter context, symbol)
         times = SIZE ** (k - 1) // len(lower)
         p = (weight.reshape(times, len(lower), 1) * lower[None]).reshape(-1) if k > 1 else weight[0] * lower.reshape(-1)
-        s = shares.toPandas()  # at most 64**k rows
-        p[s["gram"].to_numpy(dtype=np.int64)] += s["p"].to_numpy()
+        s = shares.toArrow()  # at most 64**k rows
+        p[s["gram"].to_numpy()] += s["p"].to_numpy()
     return np.log(p).astype(np.float32)
 
 

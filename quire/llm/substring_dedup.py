@@ -157,8 +157,8 @@ def _occurrences(docs: DataFrame, repeated: DataFrame, window: int, broadcast_ro
     count = repeated.count()
     salts = F.ceil(F.col("n") / GROUP).cast("int")
     if count <= broadcast_rows:
-        table = repeated.select("fp", salts.alias("s")).toPandas()
-        fps, s = table["fp"].to_numpy().view(np.uint64), table["s"].to_numpy()
+        table = repeated.select("fp", salts.alias("s")).toArrow()
+        fps, s = table.column("fp").to_numpy().view(np.uint64), table.column("s").to_numpy()
         order = np.argsort(fps)
         shipped = spark.sparkContext.broadcast((fps[order], s[order]))
 
