@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, embedding_dedup, line_dedup, mixing, quality, simhash, substring_dedup, topk, toxicity
+from quire.llm import bpe, context_mixing, embedding_dedup, line_dedup, mixing, quality, simhash, substring_dedup, topk, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_query,
     "op2_exact_top_k": topk.op2_query,
     "op3_toxicity": toxicity.op3_query,
     "op4_quality_classifier": quality.op4_query,
+    "op5_lm_scoring": context_mixing.op5_query,
     "op6_embedding_near_dedup": embedding_dedup.op6_query,
     "op7_substring_dedup": substring_dedup.op7_query,
     "op8_bpe": bpe.op8_query,
