@@ -169,7 +169,7 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     repeat = Window.partitionBy("doc_id", "source").orderBy(F.regexp_count("text", F.lit(WORD)), F.xxhash64("text"))
     numbered = docs.withColumn("_n", F.row_number().over(repeat))
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("n").eqNullSafe(F.col("_n")) & F.col("_source").eqNullSafe(F.col("source"))
-    joined = numbered.join(named.withColumnRenamed("source", "_source"), same)
+    joined = numbered.hint("merge").join(named.withColumnRenamed("source", "_source"), same)
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
     taken = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice("_words", (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")))), " ")
     joined = joined.withColumn("_words", F.when(F.col("words") < F.col("size"), words))

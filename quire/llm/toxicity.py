@@ -17,6 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import binary_rows, documents
 from quire.llm.tokens import scramble, window_hashes
@@ -214,30 +215,38 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model([bytes(r.text) for r in rows if r.toxic == 1], [bytes(r.text) for r in rows if r.toxic == 0], share)
 
 
-def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: bool = False) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``; with ``carry`` all columns of ``docs`` + score, predicted.
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
+    """All columns of ``docs``, with ``text`` as binary, and _toxicity."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # under 60 kB
+    rows = docs.withColumn("text", F.col("text").cast("binary"))
+    fields = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = shipped.value.scorer()
+        for piece, texts in binary_rows(batches):
+            scores = np.array([scorer(t) for t in texts])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(scores)], names=[*fields, "_toxicity"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("_toxicity", T.DoubleType())]))
+
+
+def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of ``docs``.
 
     score: 0 to 1, from the whole text only. Null, empty and white texts score as a text without telling windows. Repeated rows
     score alike; a null doc_id gives held_out null and is never learnt from. Without labels of both classes
-    the score is the share of toxic labels, 0 without any. An empty table gives an empty result.
+    the score is the share of toxic labels, 0 without any. Other columns are ignored; an empty table gives an empty result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))  # under 60 kB
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = _scored(rows, fit(docs, labels, sample))
+    predicted = (F.col("_toxicity") >= PREDICT).cast("int")
+    return out.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), F.col("_toxicity").alias("score"), predicted.alias("predicted"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = model.value.scorer()
-        for piece, texts in binary_rows(batches):
-            scores = np.array([scorer(t) for t in texts])
-            yield pa.RecordBatch.from_arrays([piece.column(i) for i in range(len(fields))] + [pa.array(scores)], names=[*fields, "score"])
-
-    fields = docs.columns if carry else ["doc_id", "text"]
-    rows = docs.withColumn("text", F.col("text").cast("binary")) if carry else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", score double"
-    if carry:
-        out = rows.mapInArrow(run, schema).withColumn("text", F.col("text").cast("string"))
-        return out.withColumn("predicted", (F.col("score") >= PREDICT).cast("int"))
-    fields = ["doc_id"]
-    out = rows.mapInArrow(run, "doc_id long, score double")
-    return out.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that are predicted not toxic, unchanged; see ``score``."""
+    kept = _scored(docs, fit(docs, labels, sample)).where(F.col("_toxicity") < PREDICT)
+    return kept.withColumn("text", F.col("text").cast("string")).select(*docs.columns)
 
 
 def op3_query(spark, sf_dir):
