@@ -15,8 +15,9 @@ ROLLED_UP = ("borrower_name", "property_address", "loan_number")
 
 
 def unpivot(pages: DataFrame, key: tuple[str, ...] = ("source", "page_number"), fields: tuple[str, ...] = T.FIELDS) -> DataFrame:
-    """One row for each page and field, from one column for each field."""
-    return pages.unpivot(list(key), list(fields), "field", "value")
+    """One row for each page and field, from a struct ``extracted``."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"extracted.{f}").alias("value")) for f in fields])
+    return pages.select(*key, F.explode(pairs).alias("_p")).select(*key, "_p.*")
 
 
 def check_fields(rows: DataFrame, floor: float = 0.75, margin: float = 0.10, exact: bool = True) -> DataFrame:
