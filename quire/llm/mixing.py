@@ -10,8 +10,6 @@ more than ``cap`` times. Blocks are then joined to documents by (source, index).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,7 +118,7 @@ def block_times(
     return counts, drawn.select("rank", "shard", "slot", block.alias("block"))
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): every row of ``docs`` numbered and measured, and the word spans that the mix takes.
 
     rows: doc_id, n (tells repeated doc_ids apart), source, rank, size, source_size, target, start. spans: rank, doc_id,
@@ -162,21 +160,23 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     texts without words. Of rows with equal doc_id each gets its own spans.
     """
     rows, spans = mix(docs, block_words)
-    key = ["doc_id", "n"]
+    key = ["rank", "doc_id", "n"]
     copies = spans.select(*key, "from", "to", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("k"))
     cut = copies.groupBy(*key, "k").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("cuts"), F.sum(F.col("to") - F.col("from")).alias("words"))
-    named = rows.hint("merge").join(cut, key).select(F.when(~F.col("absent"), F.col("doc_id")).alias("_id"), "source", "size", "h", "n", "k", "cuts", "words")
-    repeat = Window.partitionBy("doc_id", "source").orderBy(F.regexp_count("text", F.lit(WORD)), F.xxhash64("text"))
-    numbered = docs.withColumn("_n", F.row_number().over(repeat))
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("n").eqNullSafe(F.col("_n")) & F.col("_source").eqNullSafe(F.col("source"))
-    joined = numbered.hint("merge").join(named.withColumnRenamed("source", "_source"), same)
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    taken = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice("_words", (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")))), " ")
-    joined = joined.withColumn("_words", F.when(F.col("words") < F.col("size"), words))
-    joined = joined.withColumn("text", F.when(F.col("words") < F.col("size"), taken).otherwise(F.col("text")))
+    named = rows.hint("merge").join(cut, key).select(F.when(~F.col("absent"), F.col("doc_id")).alias("id"), "source", "size", "n", "cuts", "words")
+    repeat = Window.partitionBy("doc_id", "own").orderBy(F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)), F.xxhash64("text"))
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("own"), "text")
+    own = own.withColumn("m", F.row_number().over(repeat))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("n") == F.col("m")) & F.col("source").eqNullSafe(F.col("own"))
+    joined = own.hint("merge").join(named, same)
+    part = F.col("words") < F.col("size")
+    joined = joined.withColumn("all_words", F.when(part, F.regexp_extract_all("text", F.lit(f"({WORD})"))))
+    taken = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice("all_words", (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")))), " ")
+    joined = joined.withColumn("new_text", F.when(part, taken).otherwise(F.col("text")))
+    new = {"text": F.col("new_text")}
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+        new["n_chars"] = F.char_length("new_text").cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix_report(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
