@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents
+from quire.llm.common import binary_rows, documents, most_frequent, save
 
 LEXICON_WORDS = 1 << 17
 LEXICON_BYTES = 64
@@ -262,7 +262,7 @@ def folded(text: bytes) -> bytes:
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
-    """The ``most`` most frequent words over all texts, ties by bytes; words longer than LEXICON_BYTES never."""
+    """The most frequent words over all texts, at most ``most``; words longer than LEXICON_BYTES never."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -280,7 +280,7 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
         yield flush()
 
     counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(most).select("word").collect()]
+    return [bytes(r.word) for r in most_frequent(save(counts, "words"), most)]
 
 
 class Encoder:

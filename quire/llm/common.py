@@ -59,6 +59,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list:
+    """Rows of (word, n) with the highest n, by n and word: all from the lowest n at which they are ``most`` or fewer.
+
+    A histogram of n sets the limit, so the driver gets that and at most ``most`` rows, however many partitions there are.
+    """
+    limit, total = None, 0
+    for n, words in counts.groupBy("n").agg(F.count("*").alias("w")).orderBy(F.desc("n")).limit(most).collect():
+        total += words
+        if total > most:
+            break
+        limit = n
+    return [] if limit is None else sorted(counts.where(F.col("n") >= limit).collect(), key=lambda r: (-r.n, bytes(r.word)))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
