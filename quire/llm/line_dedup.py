@@ -64,7 +64,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` + n_lines, n_removed, with the lines of later copies cut from ``text``.
+    """``docs`` + n_lines, n_removed (in the place of columns so named), with the lines of later copies cut from ``text``.
 
     Lines are what newlines separate, compared whole and unchanged. Lines without words are not part of the sequence and
     always stay. A run of two or more consecutive lines (one, if it has ``min_words`` words) that occurs before, in an earlier
@@ -72,26 +72,29 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     whose text hashes lowest comes first; rows without doc_id come before all. A null text has no lines and stays null; other columns, and empty
     tables, pass through.
     """
-    gone = repeated_lines(docs, min_words).groupBy("d", "n").agg(F.sort_array(F.collect_list("line")).alias("_gone"))
-    rows = _numbered(docs, *docs.columns).join(gone, ["d", "n"], "left")
-    rows = rows.withColumn("_lines", F.split("text", NEWLINE, -1))
-    begin = lambda j: F.when(j == 0, F.lit(0)).otherwise(F.get("_gone", j - 1) + 1)
-    kept = F.flatten(F.transform("_gone", lambda x, j: F.slice("_lines", begin(j) + 1, x - begin(j))))
-    tail = F.slice("_lines", F.get("_gone", F.size("_gone") - 1) + 2, F.size("_lines"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.concat(kept, tail), NEWLINE))
-    out = {"text": text, "n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.size("_lines")), F.lit(0)).cast("long")}
-    out["n_removed"] = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")
+    gone = repeated_lines(docs, min_words).groupBy(F.col("d").alias("__d"), F.col("n").alias("__n")).agg(F.sort_array(F.collect_list("line")).alias("__gone"))
+    rows = _numbered(docs, F.struct(*docs.columns).alias("__row")).select("__row.*", F.col("d").alias("__d"), F.col("n").alias("__n"))
+    rows = rows.join(gone, ["__d", "__n"], "left").withColumn("__lines", F.split("text", NEWLINE, -1))
+    begin = lambda j: F.when(j == 0, F.lit(0)).otherwise(F.get("__gone", j - 1) + 1)
+    kept = F.flatten(F.transform("__gone", lambda x, j: F.slice("__lines", begin(j) + 1, x - begin(j))))
+    tail = F.slice("__lines", F.get("__gone", F.size("__gone") - 1) + 2, F.size("__lines"))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.concat(kept, tail), NEWLINE))
+    out = {"text": text, "n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.size("__lines")), F.lit(0)).cast("long")}
+    out["n_removed"] = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
     keep = [c for c in docs.columns if c not in out]
     return rows.select(*keep, *[c.alias(k) for k, c in out.items()])
 
 
 def deduped_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs``, same columns, after line dedup; documents that lose every line with words go."""
-    out = dedup_lines(docs, min_words)
+    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    out = dedup_lines(own, min_words)
     out = out.where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("n_removed") > 0, counted).otherwise(F.col("row.n_chars"))
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op1_query(spark, sf_dir):

@@ -78,7 +78,8 @@ def near_pairs(fps: DataFrame, distance: int = 4) -> DataFrame:
         flips = [0, *(1 << b for b in range(RING[(i + 1) % SEGMENTS][1]))]
         probes += [_key(i, _segment(fp, i), _segment(fp, i + 1).bitwiseXOR(F.lit(f).cast("long"))) for f in flips]
     probing = fps.select(fp.alias("y"), F.explode(F.array(*probes)).alias("key"))
-    found = stored.join(probing, "key").where("x < y")
+    # sizes after explode are underestimated, so a broadcast would not be checked
+    found = stored.hint("merge").join(probing, "key").where("x < y")
     start = F.shiftright("key", 26)
     differ = F.col("x").bitwiseXOR(F.col("y"))
     bits = F.array(*[F.bit_count(_segment(differ, i)) for i in range(SEGMENTS)])
