@@ -6,6 +6,9 @@ chunks, and of chunks of chunks, are carried in, so the largest window holds 2**
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,13 +23,15 @@ def running_sum(df: DataFrame, group: list[str], order: str, value: Column, out:
     upto = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     two = two.withColumn("_b2", F.coalesce(F.sum("_v").over(upto(group, "_c2")), F.lit(0))).drop("_v")
     one = one.withColumn("_b1", F.coalesce(F.sum("_v").over(upto([*group, "_c2"], "_c1")), F.lit(0))).drop("_v")
-    carried = one.join(two, [*group, "_c2"]).select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_c1").alias("_k1"), (F.col("_b1") + F.col("_b2")).alias("_before"))
+    equal = lambda names: [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)]
+    g2 = [f"_h{i}" for i in range(len(group))]
+    two = two.select(*[F.col(g).alias(n) for g, n in zip(group, g2, strict=True)], F.col("_c2").alias("_k2"), "_b2")
+    one = one.join(two, reduce(and_, equal(g2), F.col("_c2") == F.col("_k2")))
+    g1 = [f"_g{i}" for i in range(len(group))]
+    carried = one.select(*[F.col(g).alias(n) for g, n in zip(group, g1, strict=True)], F.col("_c1").alias("_k1"), (F.col("_b1") + F.col("_b2")).alias("_before"))
     inside = Window.partitionBy(*group, "_c1").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     base = base.withColumn("_own", F.sum("_v").over(inside))
-    same = (F.col("_c1") == F.col("_k1"))
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    joined = base.join(carried, same)
+    joined = base.join(carried, reduce(and_, equal(g1), F.col("_c1") == F.col("_k1")))
     return joined.withColumn(out, F.col("_own") + F.col("_before")).select(*df.columns, out)
 
 

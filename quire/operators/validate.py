@@ -28,15 +28,15 @@ class ValidationError(ValueError):
 
 
 def violations(df: DataFrame, rules: list[Rule], key: list[str]) -> DataFrame:
-    """position (of the rule), rule, key columns, message: one row for each rule that a row breaks; one pass over ``df``."""
+    """rule_no, rule, key columns, message: one row for each rule that a row breaks; one pass over ``df``."""
     said = lambda r: r.message if isinstance(r.message, Column) else F.lit(r.message)
-    found = F.array_compact(F.array(*[F.when(F.coalesce(r.broken, F.lit(False)), F.struct(F.lit(i).alias("position"), F.lit(r.name).alias("rule"), said(r).alias("message"))) for i, r in enumerate(rules)]))
-    return df.select(*key, F.explode(found).alias("_f")).select("_f.position", "_f.rule", *key, "_f.message")
+    found = F.array_compact(F.array(*[F.when(F.coalesce(r.broken, F.lit(False)), F.struct(F.lit(i).alias("rule_no"), F.lit(r.name).alias("rule"), said(r).alias("message"))) for i, r in enumerate(rules)]))
+    return df.select(*key, F.explode(found).alias("_f")).select("_f.rule_no", "_f.rule", *key, "_f.message")
 
 
 def require(df: DataFrame, rules: list[Rule], key: list[str]) -> DataFrame:
     """``df`` if it breaks no rule, else ValidationError. An action of its own."""
-    first = violations(df, rules, key).orderBy("position", *key).limit(1).collect()
+    first = violations(df, rules, key).orderBy("rule_no", *key).limit(1).collect()
     if first:
         raise ValidationError(f"{first[0].rule}: {first[0].message} ({', '.join(f'{k}={first[0][k]}' for k in key)})")
     return df
