@@ -1,10 +1,10 @@
 """Exact top-k by inner product with the no-random-access algorithm (NRA, Fagin, Lotem & Naor 2001).
 
 The vectors are dealt into blocks of bounded size. A block keeps one list a dimension, its rows sorted by that
-component. A query reads its lists from the end that its own component makes large, all in step and in growing strides,
-and keeps for every row a lower bound (unread components count as the list's worst value) and an upper bound (they count
-as the list's value at the reading depth). Reading stops when no row outside the k best lower bounds has an upper bound
-that reaches the k-th lower bound, or when the lists end; the scores of the rows left are then resolved. Blocks return k
+component. A query reads its lists from the end that its own component makes large, all in step. A row's upper bound counts
+its unread components as the lists' values at the reading depth; the rows with the highest upper bounds are read to the end, and the
+k-th best of their scores is the lower bound to beat. Rows that cannot reach it are out; when few are left, or the lists
+end, their scores are resolved. Blocks return k
 rows a query, so the merge is a window over k rows for each query and block.
 """
 
@@ -19,9 +19,15 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import partitions, save
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 BLOCK_QUERIES = 512
 EXACT = float(1 << 53)
+#: Depths, as parts of the lists, at which the bounds are compared.
+READ = (0.5, 0.7, 1.0)
+#: This many times k rows with the highest upper bounds are read to the end at each, which gives the lower bound to beat.
+LEADERS = 8
+#: Reading stops when so small a part of the rows can still qualify; their scores are then resolved in full.
+RESOLVE = 0.25
 
 
 def floored(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -63,32 +69,26 @@ class SortedLists:
         return rows[best], scores[best]
 
     def _candidates(self, query: np.ndarray, used: np.ndarray, k: int, own: int | None) -> np.ndarray:
-        n = len(self.ids)
-        q = query[used]
-        up = q > 0
-        order = np.where(up[:, None], self.order[used, ::-1], self.order[used])
-        gain = np.where(up[:, None], self.sorted[used, ::-1], self.sorted[used]) * q[:, None]  # falls along each list
-        worst = gain[:, -1]
-        seen = np.zeros((n, len(used)), dtype=bool)
-        read, depth, stride = np.zeros(n), 0, max(32, n // 32)
-        other = np.ones(n, dtype=bool)
-        if own is not None:
-            other = self.ids != own
-        lists = np.arange(len(used))
-        while depth < n:
-            stop = min(n, depth + stride)
-            rows = order[:, depth:stop]
-            read += np.bincount(rows.ravel(), weights=gain[:, depth:stop].ravel(), minlength=n)
-            seen[rows, lists[:, None]] = True
-            depth, stride = stop, stride * 2
-            front = gain[:, depth - 1]
-            lower = read + worst.sum() - seen @ worst
-            upper = read + front.sum() - seen @ front
-            bar = np.partition(lower[other], -k)[-k]
-            left = other & (upper >= bar - 1e-6 * max(1.0, abs(bar)))
-            if left.sum() <= 4 * k:
-                return np.flatnonzero(left)
-        return np.flatnonzero(left)
+        n, q = len(self.ids), query[used]
+        up, down = np.flatnonzero(q > 0), np.flatnonzero(q <= 0)
+        other = np.ones(n, dtype=bool) if own is None else self.ids != own
+        for part in READ:
+            depth = min(n, int(np.ceil(n * part)))
+            # what is unread counts as the value at the reading depth, so each entry read moves its row's bound by the rest
+            front = np.where(q > 0, self.sorted[used, n - depth], self.sorted[used, depth - 1]) * q
+            high = np.full(n, front.sum())
+            for lists, cut in ((up, slice(n - depth, n)), (down, slice(0, depth))):
+                if len(lists):
+                    gain = self.sorted[used[lists], cut] * q[lists, None] - front[lists, None]
+                    high += np.bincount(self.order[used[lists], cut].ravel(), weights=gain.ravel(), minlength=n)
+            rows = np.flatnonzero(other)
+            first = rows[np.argpartition(high[rows], -min(len(rows), LEADERS * k))[-LEADERS * k :]]
+            low = self.values[first] @ query  # leaders are read to the end: both bounds meet
+            bar = np.partition(low, -k)[-k]
+            left = rows[high[rows] >= bar - 1e-6 * max(1.0, abs(bar))]
+            if len(left) <= max(4 * k, n * RESOLVE):
+                break
+        return left
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
