@@ -28,6 +28,7 @@ MARGIN = 1.15
 SHORT = 4
 #: Trusted ids that are broadcast to pick the training texts; beyond it the texts are shuffled to them.
 BROADCAST_IDS = 2_000_000
+BROADCAST_LANGUAGES = 10_000
 
 
 def classes() -> np.ndarray:
@@ -156,6 +157,9 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, marg
     limit = F.percentile_approx("perplexity", quantile, 10000) * margin
     overall = trusted.agg(limit.alias("t")).first()[0]
     limits = trusted.where("lang is not null").groupBy("lang").agg(limit.alias("threshold"))
+    limits = save(limits, "limits")
+    if limits.count() <= BROADCAST_LANGUAGES:  # else a large language is split like any skewed key
+        limits = F.broadcast(limits)
     out = scored.join(limits, "lang", "left").withColumn("threshold", F.coalesce("threshold", F.lit(overall).cast("double")))
     return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold") * (1 + SHORT / F.col("n_symbols")), F.lit(True)).alias("keep"))
 
