@@ -73,6 +73,12 @@ def most_frequent(counts: DataFrame, most: int) -> list:
     return [] if limit is None else sorted(counts.where(F.col("n") >= limit).collect(), key=lambda r: (-r.n, bytes(r.word)))
 
 
+def hash_sample(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:
+    """At most ``most`` of about ``rows`` rows, by the hash of ``key``: for fits only. Thinned first, so that few rows meet."""
+    h = F.xxhash64(*key)
+    return df.where(F.pmod(h, F.lit(max(1, rows // (2 * most)))) == 0).orderBy(h, *key).limit(most)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

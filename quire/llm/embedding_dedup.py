@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, save
+from quire.llm.common import connected_components, hash_sample, save
 
 SAMPLE = 8192
 #: Rows a list should hold on average, within a label; at most MAX_LISTS lists.
@@ -135,7 +135,7 @@ def _class_links(classes: DataFrame, threshold: float, list_rows: int, sample: i
         own = classes.where(F.col("dims") == dims)
         rows, labels = own.agg(F.count("*"), F.approx_count_distinct("label")).first()
         lists = min(MAX_LISTS, max(1, round(rows / max(1, labels) / list_rows)))
-        seen = own.orderBy(F.xxhash64("v", "label")).limit(sample).select("v").toPandas()
+        seen = hash_sample(own, rows, sample, "v", "label").select("v").toPandas()
         model = Quantiser(unit(np.array(seen["v"].tolist(), dtype=float).reshape(len(seen), dims)), lists)
         shipped = spark.sparkContext.broadcast(model)  # lists x dims and codes x dims doubles
 

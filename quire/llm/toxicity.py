@@ -209,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     picked = [marked.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (1, 0)]
     picked = picked[0].union(picked[1])  # at most 2 * sample ids
     texts = docs.where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", F.col("text").cast("binary").alias("text"))
-    rows = texts.join(F.broadcast(picked), "doc_id").collect()
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.text)))
     share = marked.agg(F.avg("toxic")).first()[0] or 0.0
     return Model([bytes(r.text) for r in rows if r.toxic == 1], [bytes(r.text) for r in rows if r.toxic == 0], share)
