@@ -280,7 +280,7 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
         yield flush()
 
     counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in most_frequent(save(counts, "words"), most)]
+    return most_frequent(save(counts, "words"), most)[0]
 
 
 class Encoder:

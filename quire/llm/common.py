@@ -59,8 +59,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def most_frequent(counts: DataFrame, most: int) -> list:
-    """Rows of (word, n) with the highest n, by n and word: all from the lowest n at which they are ``most`` or fewer.
+def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], list[int]]:
+    """Words and n of the rows of (word, n) with the highest n, by n and word: all from the lowest n at which they are ``most`` or fewer.
 
     A histogram of n sets the limit, so the driver gets that and at most ``most`` rows, however many partitions there are.
     """
@@ -70,7 +70,10 @@ def most_frequent(counts: DataFrame, most: int) -> list:
         if total > most:
             break
         limit = n
-    return [] if limit is None else sorted(counts.where(F.col("n") >= limit).collect(), key=lambda r: (-r.n, bytes(r.word)))
+    if limit is None:
+        return [], []
+    found = counts.where(F.col("n") >= limit).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return found.column("word").to_pylist(), found.column("n").to_pylist()
 
 
 def hash_sample(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:

@@ -232,7 +232,7 @@ def test_code_is_a_probability():
     lengths = np.diff(code.offsets)
     assert sum(2.0**-n for n in lengths[: code.first_byte]) == pytest.approx(1) and sum(2.0**-n for n in lengths[code.first_byte :]) == pytest.approx(1)
     scorer = context_mixing.Scorer(code, 14, [np.zeros(1 << 14, dtype=np.float32)] * context_mixing.MODELS, context_mixing.start_weights())
-    one = scorer.log2([[b"aa"], [b"aa", b"zz"]])
+    one = scorer.log2(*code.tokens([[b"aa"], [b"aa", b"zz"]]))
     assert one[0] > one[1]
 
 
