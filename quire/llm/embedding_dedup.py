@@ -209,3 +209,12 @@ def _link_block(model: Quantiser, which: int, q: pd.DataFrame, x: pd.DataFrame,
 
 def op6_query(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP6_SQL = """WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+c AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT c.vec_id, l.b FROM c JOIN l ON c.r = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT c.vec_id, coalesce(any_value(n_links), 0)::BIGINT AS n_links, min(r) AS component_id, c.vec_id = min(r) AS kept
+FROM c LEFT JOIN n ON n.a = c.vec_id GROUP BY c.vec_id"""

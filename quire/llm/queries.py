@@ -20,5 +20,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op2_exact_top_k": topk.OP2_SQL,
+    "op6_embedding_near_dedup": embedding_dedup.OP6_SQL,
+    "op7_substring_dedup": substring_dedup.OP7_SQL,
     "op10_mixing_sources": mixing.OP10_SQL,
 }

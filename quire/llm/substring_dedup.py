@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, partitions, save, scratch_path
+from quire.llm.common import WORD, binary_rows, documents, partitions, save, scratch_path
 from quire.llm.tokens import Words, window_hashes
 
 WINDOW = 35
@@ -309,3 +309,15 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES,
 
 def op7_query(spark, sf_dir):
     return drop_repeats(documents(spark, sf_dir), digests=True)
+
+
+OP7_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d),
+s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS h FROM p),
+r AS (SELECT doc_id, i FROM s QUALIFY count(*) OVER (PARTITION BY h) > 1),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+l AS (SELECT x.doc_id, word, k, k - max(i) OVER (PARTITION BY x.doc_id ORDER BY k ROWS UNBOUNDED PRECEDING) < {WINDOW} AS gone
+  FROM x LEFT JOIN r ON r.doc_id = x.doc_id AND r.i = x.k),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY k) FILTER (gone IS NOT true) AS kept FROM l GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id"""
