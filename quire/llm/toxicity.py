@@ -10,6 +10,7 @@ score. Fitting uses a bounded sample of labelled rows (SAMPLE a class, texts up
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,8 +99,11 @@ def _own_words(own: list[bytes], other: list[bytes]) -> bytes:
     if not telling:
         return b""
     names = np.array(sorted(telling), dtype=np.uint64)
+    holds = re.compile(b"|".join(re.escape(int(g).to_bytes(GRAM, "big")) for g in names)).search
     best: dict[bytes, tuple[float, list[int]]] = {}
     for w in {w for t in own for w in t.split()}:
+        if not holds(b" " + w + b" "):
+            continue
         grams = _grams(b" " + w + b" ")
         held = grams[np.isin(grams, names)].tolist()
         if held:
