@@ -59,6 +59,21 @@ def page_flags(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source", "page_number").agg(F.transform(wrong, lambda s: s["field"]).alias("mismatches"), F.bool_or("needs_review").alias("has_flag"))
 
 
+def extraction_summary(rows: DataFrame) -> DataFrame:
+    """One row for each source: pages, mismatches, missing values, flags, and the pages with any of them in order."""
+    flags = page_flags(rows).select("source", "page_number", (F.size("mismatches") > 0).alias("wrong"), "has_flag")
+    listed = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("page_number"))))
+    by_page = flags.groupBy("source").agg(
+        F.count("*").alias("page_count"), listed(F.col("wrong")).alias("pages_with_mismatch"), listed(F.col("has_flag")).alias("pages_with_review_flag"),
+        F.count_if(F.col("wrong") | F.col("has_flag")).alias("needs_review_page_count"),
+    )
+    by_field = rows.groupBy("source").agg(
+        F.count_if(F.col("status") == "mismatch").alias("field_mismatch_count"), F.count_if(F.col("status") == "missing").alias("field_missing_count"),
+        F.count_if("needs_review").alias("review_flag_count"),
+    )
+    return by_page.join(by_field, "source")
+
+
 def entries(rows: DataFrame) -> DataFrame:
     """What takes part in the roll-up: values found in their page, with canonical form."""
     kept = rows.where(F.col("value").isNotNull() & (F.col("status") == "ok") & F.col("field").isin(*ROLLED_UP))

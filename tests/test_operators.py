@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import scores as S
 from quire.functions import text as T
-from quire.operators import adjacency, coverage, fields, prefix, review, validate
+from quire.operators import adjacency, coverage, fields, prefix, review, timings, validate
 
 # Published edge table (embedding, category, sequence, combined).
 EDGES = [
@@ -142,6 +142,9 @@ def test_field_checks(spark):
     assert T.FIELDS[0] == "borrower_name"
     flags = {r.page_number: (r.mismatches, r.has_flag) for r in fields.page_flags(fields.check_fields(df)).collect()}
     assert flags == {1: (["page_number"], True), 2: ([], False)}
+    row = fields.extraction_summary(fields.check_fields(df)).first()
+    assert (row.page_count, row.pages_with_mismatch, row.pages_with_review_flag, row.needs_review_page_count) == (2, [1], [1], 1)
+    assert (row.field_mismatch_count, row.field_missing_count) == (1, 1) and row.review_flag_count >= 1
 
 
 def test_coverage(spark):
@@ -162,3 +165,14 @@ def test_validation(spark):
     with pytest.raises(validate.ValidationError, match="probability keys"):
         validate.require(df, validate.simplex(), ["id"])
     assert validate.require(df.where("id in (1, 4)"), validate.simplex(), ["id"]).count() == 2
+
+
+def test_timings(spark):
+    make = lambda rows: spark.createDataFrame(rows, "source string, page_number int, seconds double")
+    got = timings.page_timings(make([("a", 1, 1.0004), ("a", 2, None)]), make([("a", 1, 0.5), ("a", 2, 0.25)]), make([("a", 1, 2.0), ("a", 2, 1.0)]))
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1, 1.0, 0.5, 2.0, 3.5), ("a", 2, 0.0, 0.25, 1.0, 1.25)]
+    stages = spark.createDataFrame([("a", "ocr", 1.5), ("a", "match", 0.25), ("b", "ocr", None)], "source string, stage string, seconds double")
+    row = timings.stage_timings(stages.where("source = 'a'")).first()
+    assert row.stages_seconds == {"match": 0.25, "ocr": 1.5} and row.total_seconds == 1.75
+    with pytest.raises(Exception, match="no total for stage ocr"):
+        timings.stage_timings(stages).collect()
