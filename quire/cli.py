@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import sys
 
@@ -62,7 +63,7 @@ def _match(spark: SparkSession, args: argparse.Namespace) -> str:
     named = adjacency.numbered_groups(grouped).select("source", "group_id", "size", "pages", "representative", F.round("min_combined", 6).alias("min_combined_similarity"), F.round("mean_combined", 6).alias("mean_combined_similarity"))
     listed = named.agg(F.array_sort(F.collect_list(F.struct("source", "group_id", "size", "pages", "representative", "min_combined_similarity", "mean_combined_similarity"))).alias("groups"))
     summary = adjacency.match_summary(rows, grouped).agg(F.array_sort(F.collect_list(F.struct("*"))).alias("summary"))
-    return sinks.one_report(listed.join(summary))
+    return json.dumps(json.loads(sinks.one_report(listed)) | json.loads(sinks.one_report(summary)), ensure_ascii=False, indent=2)
 
 
 def _texts(spark: SparkSession, args: argparse.Namespace) -> str:
