@@ -304,9 +304,9 @@ def exact_containment(spark, sf_dir):
 _FIELDS = """f AS (SELECT c_nationkey::VARCHAR AS source, c_custkey AS page_number, 'borrower_name' AS field, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS value FROM customer
 UNION ALL SELECT c_nationkey::VARCHAR, c_custkey, 'loan_number', CASE WHEN c_custkey % 3 = 0 THEN upper(c_mktsegment) ELSE lower(c_mktsegment) END || '-' || (c_custkey % 4) FROM customer),
 n AS (SELECT *, CASE field WHEN 'borrower_name' THEN lower(value) ELSE replace(lower(value), '-', '') END AS canonical,
-  CASE WHEN page_number % 5 <> 0 THEN (page_number % 7) / 7.0::DOUBLE END AS similarity, page_number % 11 = 0 AS needs_review FROM f),
+  CASE WHEN page_number % 5 <> 0 THEN (page_number % 8) / 8.0::DOUBLE END AS similarity, page_number % 11 = 0 AS needs_review FROM f),
 c AS (SELECT source, field, canonical, count(DISTINCT page_number) AS n_pages, coalesce(avg(similarity), 0) AS mean, min(page_number) AS first_page, bool_or(needs_review) AS flagged FROM n GROUP BY ALL),
-r AS (SELECT *, row_number() OVER w AS rank, coalesce(lead(n_pages) OVER w, 0) AS runner_up FROM c WINDOW w AS (PARTITION BY source, field ORDER BY n_pages DESC, round(mean, 9) DESC, first_page)),
+r AS (SELECT *, row_number() OVER w AS rank, coalesce(lead(n_pages) OVER w, 0) AS runner_up FROM c WINDOW w AS (PARTITION BY source, field ORDER BY n_pages DESC, mean DESC, first_page)),
 v AS (SELECT source, field, canonical, value, count(*) AS k, min(page_number) AS first_page, string_agg(page_number::VARCHAR, ',' ORDER BY page_number) AS pages FROM n GROUP BY ALL),
 best AS (SELECT *, row_number() OVER (PARTITION BY source, field, canonical ORDER BY k DESC, first_page, value) AS pick FROM v)"""
 

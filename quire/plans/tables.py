@@ -72,4 +72,4 @@ def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = F.when(F.col("page_number") % 3 == 0, F.upper("c_mktsegment")).otherwise(F.lower("c_mktsegment"))
     number = customers.select("source", "page_number", F.lit("loan_number").alias("field"), F.concat(mixed, F.lit("-"), (F.col("page_number") % 4).cast("string")).alias("value"))
     out = name.unionByName(number)
-    return out.withColumn("similarity", F.when(F.col("page_number") % 5 != 0, (F.col("page_number") % 7) / 7.0)).withColumn("needs_review", F.col("page_number") % 11 == 0)
+    return out.withColumn("similarity", F.when(F.col("page_number") % 5 != 0, (F.col("page_number") % 8) / 8.0)).withColumn("needs_review", F.col("page_number") % 11 == 0)
