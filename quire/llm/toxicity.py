@@ -1,8 +1,8 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-Both dictionaries share a stretch of ordinary text; to it each adds the words that set its own class apart, chosen as a
-cover trainer does, by the substrings that they hold: 5-byte substrings whose document frequency differs between the
-classes by the G statistic. A text is cut into windows of WINDOW words and every window is compressed with both. The
+The ordinary dictionary is a stretch of ordinary text. The toxic one adds to it the words that set toxic text apart, chosen
+as a cover trainer does, by the substrings that they hold: 5-byte substrings whose document frequency differs between the
+classes by the G statistic. The ordinary one is padded to the same length, so that offsets cost the same in both. A text is cut into windows of WINDOW words and every window is compressed with both. The
 window's distance is the length under the ordinary dictionary less that under the toxic one. Windows above calibrated
 distances are counted, and a logistic model of the counts, fitted on labelled texts that no dictionary saw, gives the
 score. Fitting uses a bounded sample of labelled rows (SAMPLE a class, texts up to SAMPLE_BYTES); scoring covers whole texts.
@@ -31,7 +31,7 @@ BASE_BYTES = 24_000
 OWN_BYTES = 2_000
 #: Least G statistic of a substring, in itself and against the best one, and least ratio of its frequencies.
 LEAST_G = 12.0
-LEAST_SHARE = 0.25
+LEAST_SHARE = 0.2
 LEAST_RATIO = 4.0
 DISTANCES = (1, 2, 3, 4, 6)
 HELD_OUT = 2
@@ -187,8 +187,9 @@ class Model:
             if len(base) >= BASE_BYTES:
                 break
         base = bytes(base[:BASE_BYTES])
-        self.toxic = base + _own_words(toxic, ordinary)
-        self.ordinary = base + _own_words(ordinary, toxic)
+        own = _own_words(toxic, ordinary)
+        # as long in both, so that matches in the shared text lie, and cost, the same
+        self.toxic, self.ordinary = base + own, base + b"\n" * len(own)
 
     def distance(self):
         a, b = Compressor(self.ordinary), Compressor(self.toxic)
