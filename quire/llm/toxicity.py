@@ -123,7 +123,7 @@ class Compressor:
     def __init__(self, content: bytes):
         options = zstandard.ZstdCompressionParameters(
             format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_dict_id=0, write_checksum=0,
-            strategy=zstandard.STRATEGY_GREEDY, min_match=4, window_log=16, hash_log=15, chain_log=15, search_log=4, target_length=16,
+            strategy=zstandard.STRATEGY_GREEDY, min_match=4, window_log=16, hash_log=15, chain_log=15, search_log=6, target_length=16,
         )
         words = zstandard.ZstdCompressionDict(content or b"        ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         words.precompute_compress(compression_params=options)
