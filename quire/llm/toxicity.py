@@ -1,8 +1,9 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-The ordinary dictionary is a stretch of ordinary text. The toxic one adds to it the words that set toxic text apart, chosen
-as a cover trainer does, by the substrings that they hold: 5-byte substrings whose document frequency differs between the
-classes by the G statistic. The ordinary one is padded to the same length, so that offsets cost the same in both. A text is cut into windows of WINDOW words and every window is compressed with both. The
+The ordinary dictionary is a stretch of ordinary text. The toxic one adds to it the parts of words that set toxic text apart, chosen
+as a cover trainer does, by the substrings that they hold: 6-byte substrings whose document frequency differs between the
+classes by the G statistic, among all texts or among those of one kind (texts grouped by their byte pairs, so that a small
+language's markers are tested against that language). Every such substring is covered. The ordinary one is padded to the same length, so that offsets cost the same in both. A text is cut into windows of WINDOW words and every window is compressed with both. The
 window's distance is the length under the ordinary dictionary less that under the toxic one. Windows above calibrated
 distances are counted, and a logistic model of the counts, fitted on labelled texts that no dictionary saw, gives the
 score. Fitting uses a bounded sample of labelled rows (SAMPLE a class, texts up to SAMPLE_BYTES); scoring covers whole texts.
@@ -24,14 +25,15 @@ from quire.llm.common import binary_rows, documents
 from quire.llm.tokens import scramble, window_hashes
 
 WINDOW = 16
-GRAM = 5
+GRAM = 6
 SAMPLE = 2000
 SAMPLE_BYTES = 1 << 15
 BASE_BYTES = 24_000
-OWN_BYTES = 2_000
-#: Least G statistic of a substring, in itself and against the best one, and least ratio of its frequencies.
+#: Groups of texts that substrings are tested in, besides all texts at once, and slots that byte pairs are hashed to for grouping.
+KINDS = 8
+PAIRS = 4099
+#: Least G statistic of a substring and least ratio of its frequencies.
 LEAST_G = 12.0
-LEAST_SHARE = 0.2
 LEAST_RATIO = 4.0
 DISTANCES = (1, 2, 3, 4, 6)
 HELD_OUT = 2
@@ -46,7 +48,7 @@ def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
 
 
 def _grams(text: bytes) -> np.ndarray:
-    """Distinct 5-byte substrings, packed."""
+    """Distinct substrings of GRAM bytes, packed."""
     raw = np.frombuffer(text, dtype=np.uint8).astype(np.uint64)
     if len(raw) < GRAM:
         return np.empty(0, dtype=np.uint64)
@@ -88,33 +90,64 @@ def _telling(own: list[bytes], other: list[bytes]) -> dict[int, float]:
         return np.where(k > 0, k * np.log(np.maximum(f, 1e-12) / p), 0) + np.where(k < size, (size - k) * np.log(np.maximum(1 - f, 1e-12) / np.maximum(1 - p, 1e-12)), 0)
 
     g = part(a, n) + part(b, m)
-    keep = a / n >= LEAST_RATIO * b / m
-    keep &= g >= max(LEAST_G, LEAST_SHARE * g[keep].max(initial=0))
+    keep = (a / n >= LEAST_RATIO * b / m) & (g >= LEAST_G)
     return dict(zip(grams[keep].tolist(), g[keep].tolist(), strict=True))
 
 
-def _own_words(own: list[bytes], other: list[bytes]) -> bytes:
-    """Words of ``own`` that cover its telling substrings, the best last (nearest to the window)."""
-    telling = _telling(own, other)
+def _kinds(texts: list[bytes], rounds: int = 12) -> np.ndarray:
+    """A group of 0 to KINDS - 1 for each text, by the angle between square roots of byte pair counts (spherical k-means)."""
+    x = np.zeros((len(texts), PAIRS), dtype=np.float32)
+    for i, t in enumerate(texts):
+        raw = np.frombuffer(t, dtype=np.uint8).astype(np.int64)
+        if len(raw) > 1:
+            x[i] = np.bincount((raw[:-1] * 167 + raw[1:]) % PAIRS, minlength=PAIRS)
+    unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-9)
+    x = unit(np.sqrt(x, out=x))
+    near, centres = x @ unit(x.mean(axis=0)), []
+    for k in range(KINDS):
+        centres.append(x[near.argmin()])
+        near = np.maximum(near, x @ centres[-1]) if k else x @ centres[-1]
+    for _ in range(rounds):
+        at = (x @ np.array(centres).T).argmax(axis=1)
+        centres = [unit(x[at == k].mean(axis=0)) if (at == k).any() else c for k, c in enumerate(centres)]
+    return at
+
+
+def _telling_by_kind(own: list[bytes], other: list[bytes]) -> dict[int, float]:
+    """Telling substrings of all texts and of each kind of text, with their best G statistic."""
+    out = _telling(own, other)
+    at = _kinds(own + other)
+    for k in range(KINDS):
+        a, b = ([t for t, x in zip(texts, of, strict=True) if x == k] for texts, of in ((own, at[: len(own)]), (other, at[len(own) :])))
+        if a and b:
+            for gram, g in _telling(a, b).items():
+                out[gram] = max(g, out.get(gram, 0.0))
+    return out
+
+
+def _own_parts(own: list[bytes], other: list[bytes]) -> bytes:
+    """Parts of words of ``own`` that cover all its telling substrings that lie in a word, the best last (nearest to the window)."""
+    telling = _telling_by_kind(own, other)
     if not telling:
         return b""
     names = np.array(sorted(telling), dtype=np.uint64)
     holds = re.compile(b"|".join(re.escape(int(g).to_bytes(GRAM, "big")) for g in names)).search
     best: dict[bytes, tuple[float, list[int]]] = {}
     for w in {w for t in own for w in t.split()}:
-        if not holds(b" " + w + b" "):
+        w = b" " + w + b" "
+        if not holds(w):
             continue
-        grams = _grams(b" " + w + b" ")
-        held = grams[np.isin(grams, names)].tolist()
-        if held:
-            best[w] = (sum(telling[x] for x in held) / (len(w) + 2), held)
-    chosen, covered, size = [], set(), 0
-    for w, (_, held) in sorted(best.items(), key=lambda x: (-x[1][0], x[0])):
-        if not covered.issuperset(held) and size + len(w) < OWN_BYTES:
-            chosen.append(w)
+        at = [i for i in range(len(w) - GRAM + 1) if int.from_bytes(w[i : i + GRAM], "big") in telling]
+        # what lies outside the telling substrings is ordinary and would shorten ordinary windows too
+        part = w[at[0] : at[-1] + GRAM]
+        held = sorted({int.from_bytes(w[i : i + GRAM], "big") for i in at})
+        best[part] = (sum(telling[x] for x in held) / (len(part) + 2), held)
+    chosen, covered = [], set()
+    for part, (_, held) in sorted(best.items(), key=lambda x: (-x[1][0], x[0])):
+        if not covered.issuperset(held):
+            chosen.append(part)
             covered.update(held)
-            size += len(w) + 1
-    return b" " + b" ".join(reversed(chosen)) + b" "
+    return b"\n" + b"\n".join(reversed(chosen)) + b"\n"
 
 
 class Compressor:
@@ -187,7 +220,7 @@ class Model:
             if len(base) >= BASE_BYTES:
                 break
         base = bytes(base[:BASE_BYTES])
-        own = _own_words(toxic, ordinary)
+        own = _own_parts(toxic, ordinary)
         # as long in both, so that matches in the shared text lie, and cost, the same
         self.toxic, self.ordinary = base + own, base + b"\n" * len(own)
 

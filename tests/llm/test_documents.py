@@ -277,3 +277,28 @@ def test_toxicity(spark, docs, empty):
     odd = toxicity.score(docs, labels.limit(0)).collect()
     assert len(odd) == docs.count() and {r.score for r in odd} == {0.0}
     assert toxicity.score(empty, labels).count() == 0
+
+
+def test_toxicity_of_a_small_kind_of_text():
+    """Markers that set apart a twelfth of the toxic texts, and stand in a few ordinary ones, are learnt beside the strong ones."""
+    rng = random.Random(3)
+    large = [f"{a}{b}" for a in ("th", "an", "er", "in") for b in ("e", "ing", "a", "on")]
+    small = [f"{a}{b}" for a in ("zwö", "güch", "pfä", "schü") for b in ("keit", "lich", "ung", "ö")]
+
+    def text(words, markers, times):
+        out = [rng.choice(words) for _ in range(60)]
+        for _ in range(times):
+            out.insert(rng.randrange(len(out)), rng.choice(markers) + rng.choice(words))
+        return " ".join(out).encode()
+
+    strong, weak = ["knucklehead", "buffoon", "dimwit"], ["krachtok", "vulpnar"]
+    toxic = [text(large, strong, 8) for _ in range(220)] + [text(small, weak, 6) for _ in range(20)]
+    ordinary = [text(large, strong, 0) for _ in range(300)] + [text(small, weak, int(i < 12)) for i in range(120)]
+    rng.shuffle(toxic)
+    rng.shuffle(ordinary)
+    model = toxicity.Model(toxic, ordinary)
+    assert all(part in model.toxic for part in (b"krach", b"vulpn", b"buffoo")) and len(model.toxic) == len(model.ordinary)
+    score = model.scorer()
+    found = [score(text(small, weak, 6)) >= toxicity.PREDICT for _ in range(20)]
+    false = [score(text(small, weak, 0)) >= toxicity.PREDICT for _ in range(20)]
+    assert sum(found) >= 16 and sum(false) <= 2
