@@ -47,15 +47,17 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[Column, ...] = ()) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) of every row of ``docs``, and ``keys`` (longs) as k0, k1, ..."""
+    names = ["doc_id", *[f"k{i}" for i in range(len(keys))], "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, texts in binary_rows(batches):
             fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(fps)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    own = [F.col("doc_id").cast("long").alias("doc_id"), *[k.alias(n) for k, n in zip(keys, names[1:-1], strict=True)]]
+    return docs.select(*own, F.col("text").cast("binary").alias("text")).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -100,7 +102,13 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4) ->
     like any other; rows with a null doc_id are kept and get their class's component; repeated doc_ids stay repeated
     rows. An empty table gives an empty result. Columns other than doc_id and text are ignored.
     """
-    rows = save(fingerprints(docs, shingle), "fingerprints")
+    rows, named = _grouped(fingerprints(docs, shingle), distance)
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _grouped(rows: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (with doc_id and fp), saved, and fp, part (a name of its group, never null), component_id for every fingerprint."""
+    rows = save(rows, "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     classes = save(classes, "classes")
     pairs = near_pairs(classes.select("fp"), distance)
@@ -108,21 +116,32 @@ def simhash_components(docs: DataFrame, shingle: int = 4, distance: int = 4) ->
     parts = connected_components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")))
     grouped = classes.join(parts, classes.fp == parts.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("part"))
     least = grouped.groupBy("part").agg(F.min("rep").alias("component_id"))
-    named = grouped.select("fp", "part").join(least, "part").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows, grouped.select("fp", "part").join(least, "part").select("fp", "part", "component_id")
+
+
+def _row_keys(columns: list[str]) -> tuple[Column, Column]:
+    """128 bits of a whole row, nulls told apart from what else hashes like them."""
+    parts = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string"))]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest doc_id, whole and unchanged.
 
-    Rows repeating that doc_id, in any group, count as copies if their fingerprints link; of rows with equal doc_id in
-    one group, the one whose columns hash lowest stays. Rows without a doc_id cannot be named by a group and stay.
+    Groups are of rows, so rows that share a doc_id, or have none, go or stay by their own texts. Of rows with equal doc_id
+    in one group, the one whose columns hash lowest stays; a row without doc_id stays only if its whole group has none.
     """
-    parts = simhash_components(docs, shingle, distance)
-    heads = parts.where("doc_id = component_id").select("doc_id").distinct()
-    order = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns])
-    first = docs.join(heads, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
-    return first.select("_row.*").unionByName(docs.where("doc_id is null"))
+    rows, named = _grouped(fingerprints(docs, shingle, _row_keys(docs.columns)), distance)
+    # a third of the rows may be one fingerprint, so each fingerprint's first row is found before groups meet
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "k0", "k1")
+    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    heads = first.join(named.select("fp", "part"), "fp").groupBy("part").agg(F.min("first").alias("first"))
+    heads = heads.select(F.col("first.k0").alias("_k0"), F.col("first.k1").alias("_k1"))
+    k0, k1 = _row_keys(docs.columns)
+    own = docs.select(F.struct(*docs.columns).alias("_row"), k0.alias("_k0"), k1.alias("_k1"))
+    # rows that are equal in every column are combined before they are dealt out
+    whole = own.groupBy("_k0", "_k1").agg(F.first("_row").alias("_row"))
+    return whole.join(heads.hint("merge"), ["_k0", "_k1"], "left_semi").select("_row.*")
 
 
 def op9_query(spark, sf_dir):

@@ -302,3 +302,12 @@ def test_toxicity_of_a_small_kind_of_text():
     found = [score(text(small, weak, 6)) >= toxicity.PREDICT for _ in range(20)]
     false = [score(text(small, weak, 0)) >= toxicity.PREDICT for _ in range(20)]
     assert sum(found) >= 16 and sum(false) <= 2
+
+
+def test_one_row_stays_of_each_group_whatever_its_doc_id(spark):
+    rng = random.Random(8)
+    say = lambda: " ".join(rng.choice("abcdefghij") + str(rng.randrange(90)) for _ in range(80))
+    a, b, c, d, e = (say() for _ in range(5))
+    rows = [(7, a), (7, b), (3, b), (7, c), (None, c), (None, d), (None, d), (None, e), (9, None), (None, None), (7, a)]
+    kept = simhash.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(map(tuple, kept)) == Counter([(7, a), (3, b), (7, c), (None, d), (None, e), (9, None)])
