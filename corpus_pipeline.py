@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the later copies of repeated line runs; documents of which nothing is left go."""
-    return deduped_documents(docs)
+    """Documents without the later copies of repeated line runs, single lines of any length included; documents of which nothing is left go."""
+    return deduped_documents(docs, min_words=1)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,9 @@ def test_stages(spark, sf_dir, tmp_path):
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.count() > 100 and "ids" in out.columns
+
+
+def test_short_repeated_lines_go(spark, sf_dir):
+    rows = [(1, "first words here\nAll rights reserved.", 37), (2, "second words here\nAll rights reserved.\nand more", 46), (3, "All rights reserved.", 20)]
+    kept = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), sf_dir).collect()
+    assert sorted(map(tuple, kept)) == [rows[0], (2, "second words here\nand more", 26)]
