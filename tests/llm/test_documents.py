@@ -311,3 +311,15 @@ def test_one_row_stays_of_each_group_whatever_its_doc_id(spark):
     rows = [(7, a), (7, b), (3, b), (7, c), (None, c), (None, d), (None, d), (None, e), (9, None), (None, None), (7, a)]
     kept = simhash.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert Counter(map(tuple, kept)) == Counter([(7, a), (3, b), (7, c), (None, d), (None, e), (9, None)])
+
+
+def test_bit_counts_are_exact(spark):
+    """Both sides of a slot go far beyond 16 bits, in one task and in the sum, and keep their ratio."""
+    code = context_mixing.Code([b"aa", b"b"], [5, 3], 2, 4, np.ones(257, dtype=np.int64))
+    text = b"aa b aa aa " * 40000
+    rows = spark.createDataFrame([(text,)] * 3, "text binary").repartition(3)
+    counts = context_mixing.bit_counts(rows, spark.sparkContext.broadcast(code), 14)
+    node, y, slots, _ = code.expand(*code.steps(*code.tokens([text.split()])), 14)
+    for (zeros, ones), at in zip(counts, slots, strict=True):
+        assert (zeros == 3 * np.bincount(at[y == 0], minlength=1 << 14)).all() and (ones == 3 * np.bincount(at[y == 1], minlength=1 << 14)).all()
+        assert max(zeros.max(), ones.max()) > 3 * 65535
