@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, most_frequent, save
+from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, save
 
 LEXICON_WORDS = 1 << 17
 LEXICON_BYTES = 64
@@ -279,7 +279,7 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
                 yield flush()
         yield flush()
 
-    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = in_arrow(docs.select(F.col("text").cast("binary").alias("text")), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return most_frequent(save(counts, "words"), most)[0]
 
 
@@ -358,7 +358,7 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
 
     names = ["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")), run, schema)
 
 
 def op8_query(spark, sf_dir):

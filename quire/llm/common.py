@@ -7,6 +7,7 @@ Words everywhere are maximal runs of bytes outside ``\\x20`` and ``\\x09-\\x0D``
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -86,6 +87,65 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Bytes of one Arrow batch on its way to Python.
+ARROW_BYTES = 4 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _in_bytes(setting: str) -> int:
+    digits = "".join(filter(str.isdigit, setting))
+    unit = {"k": 10, "m": 20, "g": 30}.get(setting.strip().lower().rstrip("b")[-1:], 0)
+    return int(digits or 0) << unit
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends Python at most ARROW_BYTES at once: 10,000 long texts would not fit a task's memory."""
+    conf = df.sparkSession.conf
+    if not 0 < _in_bytes(conf.get(_ARROW_LIMIT)) <= ARROW_BYTES:
+        conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
+    return df
+
+
+def release() -> None:
+    """Give a Python worker's free memory back: workers are kept from one stage to the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` over batches of bounded size, the worker's memory given back at the end of each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return small_batches(df).mapInArrow(task, schema)
+
+
+def per_text(text, score, of):
+    """A column of ``of`` from the column ``text`` (binary): ``score()``, called once a task, gives the function of each text (null: b'').
+
+    Only texts go to Python and only results come back; the other columns stay in the JVM. Never evaluated twice.
+    """
+    arrow = pa.float64() if of == "double" else pa.int64()
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of_text = score()
+        try:
+            for texts in columns:
+                yield pa.array([of_text(t.as_py() or b"") for t in texts], arrow)
+        finally:
+            release()
+
+    run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, of).asNondeterministic()(text)
+
+
 def binary_rows(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of Arrow batches holding about ``max_bytes`` of the column ``text`` (binary; null gives b'')."""
     for batch in batches:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, save
+from quire.llm.common import binary_rows, documents, in_arrow, save
 
 ORDER = 4
 BITS = 6
@@ -76,7 +76,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
             part = some[at : at + (1 << 17)]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(dense[part].astype(np.int64))], names=["gram", "c"])
 
-    return texts.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return in_arrow(texts.select(F.col("text").cast("binary").alias("text")), run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -151,7 +151,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, marg
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_symbols", "perplexity"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
-    scored = save(rows.mapInArrow(run, "doc_id long, lang string, n_symbols long, perplexity double"), "perplexity")
+    scored = save(in_arrow(rows, run, "doc_id long, lang string, n_symbols long, perplexity double"), "perplexity")
     ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     trusted = scored.join(ids, "doc_id", "left_semi")
     limit = F.percentile_approx("perplexity", quantile, 10000) * margin

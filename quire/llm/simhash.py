@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, connected_components, save
+from quire.llm.common import binary_rows, connected_components, in_arrow, save
 
 SEED = 42
 SEGMENTS = 5
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[Column, ...] = (
             yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(fps)], names=names)
 
     own = [F.col("doc_id").cast("long").alias("doc_id"), *[k.alias(n) for k, n in zip(keys, names[1:-1], strict=True)]]
-    return docs.select(*own, F.col("text").cast("binary").alias("text")).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return in_arrow(docs.select(*own, F.col("text").cast("binary").alias("text")), run, ", ".join(f"{n} long" for n in names))
 
 
 def _segment(fp: Column, i: int) -> Column:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, binary_rows, documents, partitions, save, scratch_path
+from quire.llm.common import WORD, binary_rows, documents, in_arrow, partitions, save, scratch_path
 from quire.llm.tokens import Words, window_hashes
 
 WINDOW = 35
@@ -120,7 +120,7 @@ def _fingerprints(docs: DataFrame, window: int, batches: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(w.fp.view(np.int64)), pa.array(part)], names=["fp", "part"])
 
     part = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
-    return docs.select(part.alias("part"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "fp long, part int")
+    return in_arrow(docs.select(part.alias("part"), F.col("text").cast("binary").alias("text")), run, "fp long, part int")
 
 
 def repeated_fingerprints(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
@@ -172,7 +172,7 @@ def _occurrences(docs: DataFrame, repeated: DataFrame, window: int, broadcast_ro
                 keep = np.flatnonzero(known[at] == w.fp)
                 yield _occurrence_batch(w, keep, many[at[keep]], np.asarray(piece.column(0)), np.asarray(piece.column(1)))
 
-        return _keyed(docs).mapInArrow(run, _OCC)
+        return in_arrow(_keyed(docs), run, _OCC)
 
     def name(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, texts in binary_rows(rows):
@@ -194,9 +194,9 @@ def _occurrences(docs: DataFrame, repeated: DataFrame, window: int, broadcast_ro
                         many.append(s)
             yield _occurrence_batch(w, np.array(keep, dtype=np.int64), np.array(many, dtype=np.int64), np.asarray(piece.column(0)), np.asarray(piece.column(1)))
 
-    found = _keyed(docs).mapInArrow(name, "d long, th int, fp long").join(repeated.select("fp", salts.alias("s")), "fp")
+    found = in_arrow(_keyed(docs), name, "d long, th int, fp long").join(repeated.select("fp", salts.alias("s")), "fp")
     found = found.groupBy("d", "th").agg(F.collect_set(F.struct("fp", "s")).alias("known"))
-    return _keyed(docs).join(found.hint("shuffle_hash"), ["d", "th"]).mapInArrow(run_joined, _OCC)
+    return in_arrow(_keyed(docs).join(found.hint("shuffle_hash"), ["d", "th"]), run_joined, _OCC)
 
 
 _MARKS = "d long, th int, start int, mask long, fp long, w long, n int"
@@ -261,7 +261,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, batches: int = BATCH
     repeated = repeated_fingerprints(docs, window, batches)
     occurrences = _occurrences(docs, repeated, window, broadcast_rows)
     n = partitions(docs.sparkSession)
-    marks = save(occurrences.repartition(n, "fp", "salt").sortWithinPartitions("fp", "salt").mapInArrow(_verify, _MARKS), "marks")
+    marks = save(in_arrow(occurrences.repartition(n, "fp", "salt").sortWithinPartitions("fp", "salt"), _verify, _MARKS), "marks")
     plain = marks.where("mask is not null").select("d", "th", "start", "mask")
     salted = marks.where("w is not null")
     total = salted.groupBy("fp", "w").agg(F.sum("n").alias("total")).where("total > 1")
@@ -304,7 +304,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES,
                 out.append((len(words), removed, sha256(line).hexdigest() if digests else line.decode()))
             yield pa.RecordBatch.from_arrays([piece.column(piece.schema.get_field_index("doc_id")), *(pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_words", "n_removed", last])
 
-    return joined.select("doc_id", "text", "starts", "masks").mapInArrow(run, f"doc_id long, n_words long, n_removed long, {last} string")
+    return in_arrow(joined.select("doc_id", "text", "starts", "masks"), run, f"doc_id long, n_words long, n_removed long, {last} string")
 
 
 def op7_query(spark, sf_dir):

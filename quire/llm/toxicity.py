@@ -1,10 +1,12 @@
-"""Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
-
-The ordinary dictionary is a stretch of ordinary text. The toxic one adds to it the parts of words that set toxic text apart, chosen
-as a cover trainer does, by the substrings that they hold: 6-byte substrings whose document frequency differs between the
-classes by the G statistic, among all texts or among those of one kind (texts grouped by their byte pairs, so that a small
-language's markers are tested against that language). Every such substring is covered. The ordinary one is padded to the same length, so that offsets cost the same in both. A text is cut into windows of WINDOW words and every window is compressed with both. The
-window's distance is the length under the ordinary dictionary less that under the toxic one. Windows above calibrated
+"""Toxicity by compression distance: two zstandard dictionaries, one trained on toxic and one on ordinary text.
+
+The ordinary dictionary is trained by zstandard on all sampled ordinary texts. The toxic one is trained by zstandard on all sampled toxic
+texts, on what ordinary text does not have: the parts of their words that hold 6-byte substrings whose document frequency
+differs between the classes by the G statistic, among all texts or among those of one kind (texts grouped by their byte pairs, so that
+a small language's markers are tested against that language). Trained on whole toxic texts it would hold the syllables that
+both classes share. The toxic compressor has the ordinary dictionary before its own, and the ordinary one is padded to the same
+length, so that shared text costs the same in both. A text is cut into windows of WINDOW words and every window is compressed with
+both. The window's distance is the length under the ordinary dictionary less that under the toxic one. Windows above calibrated
 distances are counted, and a logistic model of the counts, fitted on labelled texts that no dictionary saw, gives the
 score. Fitting uses a bounded sample of labelled rows (SAMPLE a class, texts up to SAMPLE_BYTES); scoring covers whole texts.
 """
@@ -12,23 +14,23 @@ score. Fitting uses a bounded sample of labelled rows (SAMPLE a class, texts up
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quire.llm.common import binary_rows, documents
+from quire.llm.common import documents, per_text
 from quire.llm.tokens import scramble, window_hashes
 
 WINDOW = 16
 GRAM = 6
 SAMPLE = 2000
 SAMPLE_BYTES = 1 << 15
-BASE_BYTES = 24_000
+#: Sizes that the dictionaries are trained to at most, and the length of the segments that the trainer picks.
+ORDINARY_BYTES, TOXIC_BYTES = 16_384, 8192
+SEGMENT = 32
+PIECE = 2048
 #: Groups of texts that substrings are tested in, besides all texts at once, and slots that byte pairs are hashed to for grouping.
 KINDS = 8
 PAIRS = 4099
@@ -125,29 +127,36 @@ def _telling_by_kind(own: list[bytes], other: list[bytes]) -> dict[int, float]:
     return out
 
 
-def _own_parts(own: list[bytes], other: list[bytes]) -> bytes:
-    """Parts of words of ``own`` that cover all its telling substrings that lie in a word, the best last (nearest to the window)."""
-    telling = _telling_by_kind(own, other)
+def telling_parts(own: list[bytes], other: list[bytes]) -> list[bytes]:
+    """Of each text of ``own``, the parts of its words from the first to the last telling substring, each part once, one a line."""
+    telling = set(_telling_by_kind(own, other))
     if not telling:
-        return b""
-    names = np.array(sorted(telling), dtype=np.uint64)
-    holds = re.compile(b"|".join(re.escape(int(g).to_bytes(GRAM, "big")) for g in names)).search
-    best: dict[bytes, tuple[float, list[int]]] = {}
+        return []
+    holds = re.compile(b"|".join(re.escape(g.to_bytes(GRAM, "big")) for g in sorted(telling))).search
+    known: dict[bytes, bytes] = {}
     for w in {w for t in own for w in t.split()}:
-        w = b" " + w + b" "
-        if not holds(w):
-            continue
-        at = [i for i in range(len(w) - GRAM + 1) if int.from_bytes(w[i : i + GRAM], "big") in telling]
-        # what lies outside the telling substrings is ordinary and would shorten ordinary windows too
-        part = w[at[0] : at[-1] + GRAM]
-        held = sorted({int.from_bytes(w[i : i + GRAM], "big") for i in at})
-        best[part] = (sum(telling[x] for x in held) / (len(part) + 2), held)
-    chosen, covered = [], set()
-    for part, (_, held) in sorted(best.items(), key=lambda x: (-x[1][0], x[0])):
-        if not covered.issuperset(held):
-            chosen.append(part)
-            covered.update(held)
-    return b"\n" + b"\n".join(reversed(chosen)) + b"\n"
+        line = b" " + w + b" "
+        if holds(line):
+            # what lies outside the telling substrings is ordinary and would shorten ordinary windows too
+            at = [i for i in range(len(line) - GRAM + 1) if int.from_bytes(line[i : i + GRAM], "big") in telling]
+            known[w] = line[at[0] : at[-1] + GRAM]
+    return [b"\n".join(sorted({known[w] for w in t.split() if w in known})) for t in own]
+
+
+#: Fixed by the dictionary format: the three offsets that stand before the content.
+_OFFSETS = b"".join(n.to_bytes(4, "little") for n in (1, 4, 8))
+
+
+def trained(samples: list[bytes], size: int, segment: int, overlap: int) -> bytes:
+    """Content of a dictionary that zstandard trains on all of ``samples``; their distinct lines where they are too few to train on."""
+    samples = [x for x in samples if x]
+    try:
+        block = zstandard.train_dictionary(size, samples, k=segment, d=overlap, split_point=1.0, steps=1).as_bytes()
+    except zstandard.ZstdError:
+        lines = sorted({line for x in samples for line in x.split(b"\n")})
+        return b"\n".join(lines)[:size]
+    at = block.find(_OFFSETS)  # after the entropy tables
+    return block[at + len(_OFFSETS) :] if at >= 0 else block
 
 
 class Compressor:
@@ -214,13 +223,8 @@ class Model:
         self._dictionaries(toxic, ordinary)
 
     def _dictionaries(self, toxic: list[bytes], ordinary: list[bytes]) -> None:
-        base = bytearray()
-        for t in ordinary:
-            base += b" ".join(t[:2000].split()) + b" "
-            if len(base) >= BASE_BYTES:
-                break
-        base = bytes(base[:BASE_BYTES])
-        own = _own_parts(toxic, ordinary)
+        base = trained([t[i : i + PIECE] for t in ordinary for i in range(0, len(t), PIECE)], ORDINARY_BYTES, 2 * SEGMENT, 8)
+        own = trained(telling_parts(toxic, ordinary), TOXIC_BYTES, SEGMENT, 6) + b"\n"
         # as long in both, so that matches in the shared text lie, and cost, the same
         self.toxic, self.ordinary = base + own, base + b"\n" * len(own)
 
@@ -253,19 +257,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model([bytes(r.text) for r in rows if r.toxic == 1], [bytes(r.text) for r in rows if r.toxic == 0], share)
 
 
-def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs``, with ``text`` as binary, and _toxicity."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # under 60 kB
-    rows = docs.withColumn("text", F.col("text").cast("binary"))
-    fields = rows.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shipped.value.scorer()
-        for piece, texts in binary_rows(batches):
-            scores = np.array([scorer(t) for t in texts])
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(scores)], names=[*fields, "_toxicity"])
-
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("_toxicity", T.DoubleType())]))
+def _toxicity(spark, model: Model):
+    """The score of the column ``text``."""
+    shipped = spark.sparkContext.broadcast(model)  # under 60 kB
+    return per_text(F.col("text").cast("binary"), lambda: shipped.value.scorer(), "double")
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -275,16 +270,16 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     score alike; a null doc_id gives held_out null and is never learnt from. Without labels of both classes
     the score is the share of toxic labels, 0 without any. Other columns are ignored; an empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = _scored(rows, fit(docs, labels, sample))
-    predicted = (F.col("_toxicity") >= PREDICT).cast("int")
-    return out.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), F.col("_toxicity").alias("score"), predicted.alias("predicted"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("score", _toxicity(docs.sparkSession, fit(docs, labels, sample)))
+    predicted = (F.col("score") >= PREDICT).cast("int")
+    return rows.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", predicted.alias("predicted"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that are predicted not toxic, unchanged; see ``score``."""
-    kept = _scored(docs, fit(docs, labels, sample)).where(F.col("_toxicity") < PREDICT)
-    return kept.withColumn("text", F.col("text").cast("string")).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
+    scored = rows.withColumn("_score", _toxicity(docs.sparkSession, fit(docs, labels, sample)))
+    return scored.where(F.col("_score") < PREDICT).select("_row.*")
 
 
 def op3_query(spark, sf_dir):
