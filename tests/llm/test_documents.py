@@ -87,7 +87,8 @@ def test_near_pairs_find_every_close_pair(spark):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
 
 
-def test_line_dedup(docs, empty):
+@pytest.mark.parametrize("min_words", [1, 8])
+def test_line_dedup(docs, empty, min_words):
     rows = sorted(((r.doc_id if r.doc_id is not None else -1, r.text, r.n) for r in docs.collect()), key=lambda r: (r[0], r[2]))
     sequences = [[(j, x) for j, x in enumerate((t or "").split("\n")) if x.encode().split()] if t is not None else [] for _, t, _ in rows]
     seen_one, seen_two, want = set(), set(), Counter()
@@ -95,7 +96,7 @@ def test_line_dedup(docs, empty):
     for (i, t, _), lines in zip(rows, sequences, strict=True):
         gone = set()
         for k, (j, x) in enumerate(lines):
-            if x in seen_one and len(x.encode().split()) >= 8:
+            if x in seen_one and len(x.encode().split()) >= min_words:
                 gone.add(j)
             seen_one.add(x)
             if k + 1 < len(lines):
@@ -105,7 +106,7 @@ def test_line_dedup(docs, empty):
                 seen_two.add(pair)
         kept = None if t is None else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone)
         want[i, kept, len(gone)] += 1
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, min_words)
     assert Counter((-1 if r.doc_id is None else r.doc_id, r.text, r.n_removed) for r in out.collect()) == want
     assert set(docs.columns) <= set(out.columns)
     clean = line_dedup.deduped_documents(docs)
@@ -113,6 +114,14 @@ def test_line_dedup(docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_of_equal_rows_keeps_the_same_row(spark):
+    """Of rows that share doc_id and text the other columns decide, however the rows are dealt out."""
+    rows = [(1, "a b\nc d", "x"), (1, "a b\nc d", "y"), (1, "e", "z"), (None, "a b", "x"), (None, "a b", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `other.column` string")
+    got = [sorted(map(tuple, line_dedup.dedup_lines(frame.repartition(n)).collect()), key=str) for n in (1, 3, 5)]
+    assert got[0] == got[1] == got[2] and sum(r[-1] == 0 for r in got[0]) == 2
+
+
 @pytest.mark.parametrize("broadcast_rows", [10**6, 0])
 def test_substring_dedup(docs, empty, broadcast_rows, monkeypatch):
     monkeypatch.setattr(substring_dedup, "GROUP", 3)  # salts even here
