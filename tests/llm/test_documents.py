@@ -196,6 +196,21 @@ def test_mixing(docs, empty):
     assert mixing.mix_report(empty).count() == 0 and mixing.mixture(empty).count() == 0
 
 
+def test_draws_are_multinomial_and_decide_the_shards(spark):
+    """Counts a shard scatter as independent draws do, and every slot lies in the shard that its number falls in."""
+    for shards in (16, 64, 256):
+        slots = spark.range(1024 * shards).select(mixing.drawn_shard(F.col("id"), F.lit(1), F.lit(shards)).alias("s"))
+        got = [r["count"] for r in slots.groupBy("s").count().collect()]
+        chi = sum((c - 1024) ** 2 / 1024 for c in got) + 1024 * (shards - len(got))
+        assert abs(chi - (shards - 1)) < 4 * (2 * (shards - 1)) ** 0.5
+    sources = spark.createDataFrame([("a", 64 * 100, 0, 64 * 150.0), ("b", 64 * 40, 1, 64 * 80.0)], "source string, source_size long, rank long, target double")
+    counts, drawn = mixing.block_times(spark, sources, 64, 16)
+    counts, drawn = {(r.rank, r.shard): (r.first, r.draws) for r in counts.collect()}, drawn.collect()
+    assert Counter((r.rank, r.shard) for r in drawn) == Counter({k: n for k, (_, n) in counts.items()})
+    assert all(0 <= r.slot - counts[r.rank, r.shard][0] < counts[r.rank, r.shard][1] for r in drawn)
+    assert sorted(r.slot for r in drawn if r.rank == 0) == list(range(150)) and len({n for _, n in counts.values()}) > 3
+
+
 def test_targets_and_permutation(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 10), ("c", 50), ("d", 1), (None, 30)], "source string, source_size long")
     target = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
