@@ -5,7 +5,8 @@ coarse quantiser deals the classes to inverted lists (nearest centroid), and the
 bytes. Centroids and codebooks are fitted on a bounded sample; everything else covers every vector:
 
 - probes: a vector x lies in the list of its nearest centroid c. If ||x - q|| <= r, q is within r of c's cell, so
-  (|q - c|^2 - |q - c0|^2) / (2 |c - c0|) <= r for q's nearest centroid c0. All lists that satisfy this are probed.
+  (|q - c|^2 - |q - c0|^2) / (2 |c - c0|) <= r for q's nearest centroid c0. All lists that satisfy this and do not come
+  before q's own are probed: the bound holds for both ends of a pair, so one of them finds it and both are counted.
 - table lookups: the asymmetric distance from q to the decoded x^ differs from the true one by at most e = ||x - x^||,
   which is stored with the code, so candidates with distance above r + e cannot qualify and the others are reranked by
   cosine in double precision.
@@ -20,24 +21,32 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import connected_components, hash_sample, save
+from quire.llm.common import connected_components, hash_sample, save, small_batches
 
 SAMPLE = 8192
-#: Rows a list should hold on average, within a label; at most MAX_LISTS lists.
+#: Rows a list should hold on average, within a label, and the vectors of the sample a list at least. Lists grow with the table up to
+#: LISTS, which bounds the broadcast centroids and the sample; beyond it lists get longer and are searched in blocks.
 LIST_ROWS = 512
-MAX_LISTS = 256
+LIST_SAMPLE = 8
+LISTS = 8192
 SUBSPACES = 8
 CODES = 64
 BLOCK_ROWS = 2048
+SET_ROWS = 8192
 #: For rounding in the bounds; the rerank decides.
 SLACK = 1e-5
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray, rows: int = 4096) -> np.ndarray:
+    norms = (centres**2).sum(1)
+    return np.concatenate([np.empty(0, dtype=np.int64), *(np.argmin(norms - 2 * x[a : a + rows] @ centres.T, axis=1) for a in range(0, len(x), rows))])
+
+
 def _kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), size=min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        near = np.argmin((centres**2).sum(1) - 2 * x @ centres.T, axis=1)
+        near = _nearest(x, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         counts = np.bincount(near, minlength=len(centres))
@@ -56,7 +65,7 @@ class Quantiser:
         self.books = [_kmeans(rest[:, a:b], codes, seed + 1 + j) for j, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True))]
 
     def assign(self, x: np.ndarray) -> np.ndarray:
-        return np.argmin((self.coarse**2).sum(1) - 2 * x @ self.coarse.T, axis=1)
+        return _nearest(x, self.coarse)
 
     def encode(self, x: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and the distance of each vector from what its code decodes to."""
@@ -67,14 +76,17 @@ class Quantiser:
             error += ((rest[:, a:b] - self.books[j][codes[:, j]]) ** 2).sum(1)
         return codes, np.sqrt(error)
 
-    def probes(self, q: np.ndarray, radius: float) -> list[np.ndarray]:
-        """For each query, every list that can hold a vector within ``radius``."""
-        d2 = np.maximum(((q**2).sum(1)[:, None] + (self.coarse**2).sum(1) - 2 * q @ self.coarse.T), 0)
-        own = np.argmin((self.coarse**2).sum(1) - 2 * q @ self.coarse.T, axis=1)
-        gap = np.sqrt(np.maximum(((self.coarse[:, None] - self.coarse[None]) ** 2).sum(2), 1e-30))
-        beyond = (d2 - d2[np.arange(len(q)), own][:, None]) / (2 * gap[own])
-        beyond[np.arange(len(q)), own] = 0
-        return [np.flatnonzero(row) for row in beyond <= radius + SLACK]
+    def probes(self, q: np.ndarray, own: np.ndarray, radius: float, rows: int = 1024) -> list[np.ndarray]:
+        """For each query, the list it is in and every later list that can hold a vector within ``radius``."""
+        out, norms, numbers = [], (self.coarse**2).sum(1), np.arange(len(self.coarse))
+        for at in range(0, len(q), rows):
+            x, home = q[at : at + rows], own[at : at + rows]
+            d2 = np.maximum((x**2).sum(1)[:, None] + norms - 2 * x @ self.coarse.T, 0)
+            gap = np.sqrt(np.maximum(norms[home][:, None] + norms - 2 * self.coarse[home] @ self.coarse.T, 1e-30))
+            beyond = (d2 - d2[np.arange(len(x)), home][:, None]) / (2 * gap)
+            beyond[np.arange(len(x)), home] = 0
+            out += [np.flatnonzero(row) for row in (beyond <= radius + SLACK) & (numbers >= home[:, None])]
+        return out
 
     def near(self, q: np.ndarray, which: int, codes: np.ndarray, error: np.ndarray, radius: float) -> np.ndarray:
         """queries x rows of one list: True where the table distance leaves a link possible."""
@@ -87,12 +99,17 @@ class Quantiser:
         return np.sqrt(np.maximum(total, 0)) <= radius + error + SLACK
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """By a power of two each, which changes no cosine, so that no square under- or overflows. No vector is zero."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors**2).sum(1))[:, None]
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision."""
+    """Row by row, in double precision, of scaled vectors."""
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
@@ -125,57 +142,71 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, list_rows: int
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
+    return scaled(np.array(vectors.tolist(), dtype=float).reshape(len(vectors), width))
+
+
 def _class_links(classes: DataFrame, threshold: float, list_rows: int, sample: int, block_rows: int) -> DataFrame:
-    """c, links (members of other classes linked directly), root: rows of each block, with a spanning forest."""
+    """c, links (members of other classes linked directly), root: rows of each block, with a spanning forest.
+
+    Vectors are padded with zeros to a power of two, so that few widths differ; the length is part of the label.
+    """
     spark = classes.sparkSession
     schema = "c long, links long, root long"
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     out = spark.createDataFrame([], schema)
-    for dims in sorted(r[0] for r in classes.select("dims").distinct().limit(1000).collect()):
-        own = classes.where(F.col("dims") == dims)
+    width = F.lit(2).cast("double") ** F.ceil(F.log2(F.col("dims").cast("double")))
+    classes = classes.withColumn("label", F.concat("dims", F.lit(":"), "label")).withColumn("width", width.cast("int"))
+    classes = classes.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), (F.col("width") - F.col("dims")).cast("int"))))
+    for width in sorted(r[0] for r in classes.select("width").distinct().collect()):  # 31 powers of two at most
+        own = classes.where(F.col("width") == width)
         rows, labels = own.agg(F.count("*"), F.approx_count_distinct("label")).first()
-        lists = min(MAX_LISTS, max(1, round(rows / max(1, labels) / list_rows)))
-        seen = hash_sample(own, rows, sample, "v", "label").select("v").toPandas()
-        model = Quantiser(unit(np.array(seen["v"].tolist(), dtype=float).reshape(len(seen), dims)), lists)
-        shipped = spark.sparkContext.broadcast(model)  # lists x dims and codes x dims doubles
+        lists = min(LISTS, max(1, round(rows / max(1, labels) / list_rows)))
+        seen = hash_sample(own, rows, max(sample, LIST_SAMPLE * lists), "v", "label").select("v").toPandas()
+        model = Quantiser(unit(_matrix(seen["v"], width)), lists)
+        shipped = spark.sparkContext.broadcast(model)  # at most LISTS x width and CODES x width doubles
 
-        def place(batches, shipped=shipped, dims=dims):
+        def place(batches, shipped=shipped, width=width):
             for pdf in batches:
                 if len(pdf):
-                    x = unit(np.array(pdf["v"].tolist(), dtype=float).reshape(len(pdf), dims))
+                    x = unit(_matrix(pdf["v"], width))
                     m = shipped.value
                     at = m.assign(x)
                     codes, error = m.encode(x, at)
-                    yield pdf.assign(list=at, codes=[c.tobytes() for c in codes], error=error, probes=[p.tolist() for p in m.probes(x, radius)])
+                    yield pdf.assign(list=at, codes=[c.tobytes() for c in codes], error=error, probes=[p.tolist() for p in m.probes(x, at, radius)])
 
-        placed = save(own.select("c", "label", "v", "members").mapInPandas(place, "c long, label string, v array<double>, members long, list long, codes binary, error double, probes array<long>"), "codes")
+        placed = save(small_batches(own.select("c", "label", "v", "members")).mapInPandas(place, "c long, label string, v array<double>, members long, list long, codes binary, error double, probes array<long>"), "codes")
         sizes = placed.groupBy("label", "list").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("blocks"))
+        # one list may be asked by all
+        sets = placed.select("label", F.explode("probes").alias("list")).groupBy("label", "list").agg(F.ceil(F.count("*") / SET_ROWS).cast("long").alias("sets"))
+        sizes = save(sizes.join(sets, ["label", "list"]), "list-sizes")
         index = placed.join(sizes, ["label", "list"]).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")))
-        asked = save(placed.select("c", "label", "v", F.explode("probes").alias("list")), "asked")
-        sets = asked.groupBy("label", "list").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("sets"))  # one list may be asked by all
-        asked = asked.join(sizes.join(sets, ["label", "list"]), ["label", "list"]).withColumn("set", F.pmod(F.xxhash64("c", F.lit(1)), F.col("sets")))
+        index = index.withColumn("set", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sets") - 1)))
+        asked = placed.select("c", "members", "label", "v", F.col("list").alias("home"), F.explode("probes").alias("list"))
+        asked = asked.join(sizes, ["label", "list"]).withColumn("set", F.pmod(F.xxhash64("c", F.lit(1)), F.col("sets")))
         asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        index = index.join(sets, ["label", "list"]).withColumn("set", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sets") - 1)))
         key = ["label", "list", "block", "set"]
 
-        asked = asked.select(*[F.col(k).alias(f"q_{k}") for k in key], F.col("c").alias("q_c"), F.col("v").alias("q_v"))
-        found = asked.groupBy(*[f"q_{k}" for k in key]).cogroup(index.select(*key, "c", "v", "members", "codes", "error").groupBy(*key)).applyInPandas(_linker(shipped, dims, radius, threshold), schema)
+        asked = asked.select(*[F.col(k).alias(f"q_{k}") for k in key], F.col("c").alias("q_c"), F.col("v").alias("q_v"), F.col("members").alias("q_members"), F.col("home").alias("q_home"))
+        found = asked.groupBy(*[f"q_{k}" for k in key]).cogroup(index.select(*key, "c", "v", "members", "codes", "error").groupBy(*key)).applyInPandas(_linker(shipped, width, radius, threshold), schema)
         out = out.union(found)
     return out
 
 
-def _linker(shipped, dims: int, radius: float, threshold: float):
+def _linker(shipped, width: int, radius: float, threshold: float):
     def link(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
             return pd.DataFrame({"c": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
-        return _link_block(shipped.value, int(x["list"].iloc[0]), q, x, dims, radius, threshold)
+        return _link_block(shipped.value, int(x["list"].iloc[0]), q, x, width, radius, threshold)
 
     return link
 
 
-def _link_block(model: Quantiser, which: int, q: pd.DataFrame, x: pd.DataFrame, dims: int, radius: float, threshold: float) -> pd.DataFrame:
-    qv, xv = (np.array(v.tolist(), dtype=float).reshape(len(v), dims) for v in (q["q_v"], x["v"]))
+def _link_block(model: Quantiser, which: int, q: pd.DataFrame, x: pd.DataFrame, width: int, radius: float, threshold: float) -> pd.DataFrame:
+    qv, xv = _matrix(q["q_v"], width), _matrix(x["v"], width)
     qc, xc, members = q["q_c"].to_numpy(), x["c"].to_numpy(), x["members"].to_numpy()
+    # rows of another list do not ask for these in turn
+    own, away = q["q_members"].to_numpy(), q["q_home"].to_numpy() != which
     codes = np.frombuffer(b"".join(x["codes"]), dtype=np.uint8).reshape(len(x), -1)
     qu, error, parent = unit(qv), x["error"].to_numpy(), {}
 
@@ -185,7 +216,7 @@ def _link_block(model: Quantiser, which: int, q: pd.DataFrame, x: pd.DataFrame,
             a = parent[a]
         return a
 
-    count = np.zeros(len(q), dtype=np.int64)
+    count, back = np.zeros(len(q), dtype=np.int64), np.zeros(len(x), dtype=np.int64)
     for at in range(0, len(q), 512):
         i, j = np.nonzero(model.near(qu[at : at + 512], which, codes, error, radius))
         i += at
@@ -196,15 +227,17 @@ def _link_block(model: Quantiser, which: int, q: pd.DataFrame, x: pd.DataFrame,
             fit = cosine(qv[a], xv[b]) >= threshold
             a, b = a[fit], b[fit]
             np.add.at(count, a, members[b])
+            np.add.at(back, b, np.where(away[a], own[a], 0))
             for s, t in zip(qc[a].tolist(), xc[b].tolist(), strict=True):
                 s, t = root(s), root(t)
                 if s != t:
                     parent[max(s, t)] = min(s, t)
-    hit = count > 0
     forest = [(c, r) for c in parent if (r := root(c)) != c]
-    out = pd.DataFrame({"c": qc[hit], "links": count[hit], "root": pd.array([None] * int(hit.sum()), dtype="Int64")})
-    edges = pd.DataFrame({"c": [e[0] for e in forest], "links": 0, "root": pd.array([e[1] for e in forest], dtype="Int64")})
-    return pd.concat([out, edges]) if len(edges) else out
+    return pd.DataFrame({
+        "c": np.concatenate([qc[count > 0], xc[back > 0], np.array([e[0] for e in forest], dtype=np.int64)]),
+        "links": np.concatenate([count[count > 0], back[back > 0], np.zeros(len(forest), dtype=np.int64)]),
+        "root": pd.array([None] * int((count > 0).sum() + (back > 0).sum()) + [e[1] for e in forest], dtype="Int64"),
+    })
 
 
 def op6_query(spark, sf_dir):

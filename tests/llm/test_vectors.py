@@ -66,6 +66,20 @@ def test_near_duplicates(vectors, list_rows):
     assert sum(links) > 40
 
 
+def test_near_duplicates_of_extreme_norms_and_many_lengths(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(100):
+        v = rng.normal(size=8)
+        rows += [(2 * k, v.tolist(), "a"), (2 * k + 1, (v * (1 + 1e-3 * rng.normal(size=8))).tolist(), "a")]
+    rows += [(200, [1e-200] * 8, "a"), (201, [1e-210] * 8, "a"), (202, [1e200] * 8, "b"), (203, [3e300] * 8, "b")]
+    rows += [(1000 + n, [1.0] * n, "c") for n in range(1, 1101)] + [(5000 + n, [2.0] * n, "c") for n in (1, 64, 1099, 1100)]
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), list_rows=16).collect()}
+    assert all(got[2 * k].n_links == got[2 * k + 1].n_links == 1 and got[2 * k + 1].component_id == 2 * k for k in range(100))
+    assert got[201].component_id == 200 and got[203].component_id == 202
+    assert {r.vec_id for r in got.values() if r.vec_id > 999 and r.n_links} == {1000 + n for n in (1, 64, 1099, 1100)} | {5000 + n for n in (1, 64, 1099, 1100)}
+
+
 def test_near_duplicates_empty(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
