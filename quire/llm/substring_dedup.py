@@ -5,7 +5,7 @@ in it (winnowing, Schleimer et al. 2003): equal windows have equal fingerprints,
 one, so a fourteenth of the windows' number is indexed. The index is a list of sorted immutable runs, tables bucketed by fingerprint;
 each new batch becomes a run, is merge-joined with the runs before it, and runs are compacted into one when there are
 more than ``FANOUT``. Windows under a fingerprint that occurs twice are then verified: their 64-bit hashes over all
-words are compared within the fingerprint. A fingerprint with many occurrences is dealt out under salts; windows that are
+words (64 bits over 64-bit word hashes, so windows must share both the fingerprint's gram and that hash to count as equal) are compared within the fingerprint. A fingerprint with many occurrences is dealt out under salts; windows that are
 single under their salt are settled by a second, pre-aggregated count.
 """
 
@@ -34,16 +34,45 @@ BROADCAST_ROWS = 4_000_000
 
 
 class FingerprintIndex:
-    """Runs of (fp, n), each sorted by fp and bucketed alike, so that joins of runs need no exchange."""
+    """Runs of (fp, n), each sorted by fp and bucketed alike, so that joins of runs need no exchange.
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = FANOUT):
-        self.spark, self.buckets, self.fanout = spark, buckets or partitions(spark), fanout
+    With ``path``, a folder on storage that every executor reaches, the index is kept there: a new index on the same path takes up
+    the runs that the last finished ``add`` left, so later batches meet all earlier ones. Without it ``close`` ends it.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = FANOUT, path: str | None = None):
+        self.spark, self.buckets, self.fanout, self.path = spark, buckets or partitions(spark), fanout, path
         self.runs: list[str] = []
+        self.version = 0
+        if path:
+            self._open()
+
+    def _manifests(self) -> dict[int, str]:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest-*/_SUCCESS")
+        found = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
+        folders = [str(f.getPath().getParent().toString()) for f in found]
+        return {int(f.rsplit("-", 1)[1]): f for f in folders}
+
+    def _open(self) -> None:
+        known = self._manifests()
+        if not known:
+            return
+        self.version = max(known)
+        for r in sorted(self.spark.read.parquet(known[self.version]).collect()):  # one row a run
+            self.buckets = r.buckets
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {r.run} (fp BIGINT, n BIGINT) USING parquet CLUSTERED BY (fp) SORTED BY (fp) INTO {r.buckets} BUCKETS LOCATION '{self.path}/{r.run}'")
+            self.runs.append(r.run)
+
+    def _record(self) -> None:
+        if self.path:
+            self.version += 1
+            rows = [(i, name, self.buckets) for i, name in enumerate(self.runs)]
+            self.spark.createDataFrame(rows, "place int, run string, buckets int").coalesce(1).write.parquet(f"{self.path}/manifest-{self.version}")
 
     def _write(self, counts: DataFrame) -> str:
         name = f"quire_run_{uuid.uuid4().hex}"
         writer = counts.repartition(self.buckets, "fp").sortWithinPartitions("fp").write.bucketBy(self.buckets, "fp").sortBy("fp")
-        writer.option("path", scratch_path(self.spark, name)).saveAsTable(name)
+        writer.option("path", f"{self.path}/{name}" if self.path else scratch_path(self.spark, name)).saveAsTable(name)
         return name
 
     def add(self, fps: DataFrame) -> DataFrame:
@@ -58,10 +87,11 @@ class FingerprintIndex:
         self.runs.append(new)
         if len(self.runs) > self.fanout:
             self.compact()
+        self._record()
         return hits
 
     def compact(self) -> None:
-        """Merge all runs into one and drop them."""
+        """Merge all runs into one and forget them; the files of a kept index stay until its owner removes what no manifest names."""
         merged = self.spark.table(self.runs[0])
         for name in self.runs[1:]:
             merged = merged.union(self.spark.table(name))
@@ -107,9 +137,9 @@ class Windows:
 
 
 def _keyed(docs: DataFrame, *more) -> DataFrame:
-    """d, th name a row up to copies of it: doc_id (null as the smallest long) and 32 bits of its text's hash."""
+    """d, th name a row up to copies of it: doc_id (null as the smallest long) and its text's hash."""
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.select(d.alias("d"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("th"), F.col("text").cast("binary").alias("text"), *more)
+    return docs.select(d.alias("d"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"), *more)
 
 
 def _fingerprints(docs: DataFrame, window: int, batches: int) -> DataFrame:
@@ -134,7 +164,7 @@ def repeated_fingerprints(docs: DataFrame, window: int = WINDOW, batches: int =
     return save(hits.groupBy("fp").agg(F.max("n").alias("n")), "repeated")
 
 
-_OCC = "d long, th int, fp long, salt int, salts int, start int, hashes array<long>"
+_OCC = "d long, th long, fp long, salt int, salts int, start int, hashes array<long>"
 
 
 def _occurrence_batch(w: Windows, keep: np.ndarray, salts: np.ndarray, d: np.ndarray, th: np.ndarray) -> pa.RecordBatch:
@@ -194,12 +224,12 @@ def _occurrences(docs: DataFrame, repeated: DataFrame, window: int, broadcast_ro
                         many.append(s)
             yield _occurrence_batch(w, np.array(keep, dtype=np.int64), np.array(many, dtype=np.int64), np.asarray(piece.column(0)), np.asarray(piece.column(1)))
 
-    found = in_arrow(_keyed(docs), name, "d long, th int, fp long").join(repeated.select("fp", salts.alias("s")), "fp")
+    found = in_arrow(_keyed(docs), name, "d long, th long, fp long").join(repeated.select("fp", salts.alias("s")), "fp")
     found = found.groupBy("d", "th").agg(F.collect_set(F.struct("fp", "s")).alias("known"))
     return in_arrow(_keyed(docs).join(found.hint("shuffle_hash"), ["d", "th"]), run_joined, _OCC)
 
 
-_MARKS = "d long, th int, start int, mask long, fp long, w long, n int"
+_MARKS = "d long, th long, start int, mask long, fp long, w long, n int"
 
 
 def _verify(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -44,6 +45,8 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Longer words are hashed by XXH64: a polynomial modulo 2**64 can be fooled by long words of a special form (Thue-Morse words).
+POLYNOMIAL_BYTES = 64
 _VALUES = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
@@ -62,12 +65,15 @@ class Words:
         self.counts = np.diff(np.append(self.first, len(self.starts)))
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word: a polynomial over its bytes, scrambled with its length."""
+        """A 64-bit hash of each word: a polynomial over its bytes, scrambled with its length; XXH64 for long words."""
         up, down = POWERS.get(len(self.raw) + 1)
         sums = np.zeros(len(self.raw) + 1, dtype=np.uint64)
         np.cumsum(_VALUES[self.raw] * up[: len(self.raw)], out=sums[1:])
         value = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        return scramble(value + (self.ends - self.starts).astype(np.uint64))
+        out = scramble(value + (self.ends - self.starts).astype(np.uint64))
+        for i in np.flatnonzero(self.ends - self.starts > POLYNOMIAL_BYTES).tolist():
+            out[i] = xxhash.xxh64_intdigest(self.data[self.starts[i] : self.ends[i]])
+        return out
 
 
 def window_hashes(h: np.ndarray, n: int) -> np.ndarray:

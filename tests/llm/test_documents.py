@@ -138,6 +138,29 @@ def test_substring_dedup(docs, empty, broadcast_rows, monkeypatch):
         assert substring_dedup.drop_repeats(empty).count() == 0
 
 
+def test_substring_dedup_of_words_that_fool_polynomials(spark):
+    """Two texts that differ in one Thue-Morse word have no window in common; nor do rows without doc_id lend each other marks."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    side = " ".join(f"w{i}" for i in range(20))
+    one, two = ("".join(letters[b] for b in bits) for letters in ("ab", "ba"))
+    texts = [f"{side} {one} {side}", f"{side} {two} {side}"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, f"x{i} " + " ".join(f"y{i}-{k}" for k in range(40))) for i in range(50)]
+    got = substring_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.where("n_removed > 0").count() == 0 and got.count() == 52
+
+
+def test_index_is_taken_up_again(spark, tmp_path):
+    path = f"file://{tmp_path}/index"
+    frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "fp long")
+    first = substring_dedup.FingerprintIndex(spark, buckets=2, path=path)
+    assert [tuple(r) for r in first.add(frame([1, 2, 2])).collect()] == [(2, 2)]
+    first.close()
+    for batch, want in (([1, 5], [(1, 2)]), ([5, 2, 9], [(2, 3), (5, 2)]), ([9], [(9, 2)])):
+        again = substring_dedup.FingerprintIndex(spark, path=path)
+        assert sorted(map(tuple, again.add(frame(batch)).collect())) == want
+        again.close()
+
+
 def test_index_runs_and_compaction(spark):
     index = substring_dedup.FingerprintIndex(spark, buckets=2, fanout=1)
     batches = [[1, 2, 2, 3], [3, 4], [1, 5, 4], [9]]
