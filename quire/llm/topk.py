@@ -1,11 +1,11 @@
 """Exact top-k by inner product with the no-random-access algorithm (NRA, Fagin, Lotem & Naor 2001).
 
-The vectors are dealt into blocks of bounded size. A block keeps one list a dimension, its rows sorted by that
-component. A query reads its lists from the end that its own component makes large, all in step. A row's upper bound counts
-its unread components as the lists' values at the reading depth; the rows with the highest upper bounds are read to the end, and the
-k-th best of their scores is the lower bound to beat. Rows that cannot reach it are out; when few are left, or the lists
-end, their scores are resolved. Blocks return k
-rows a query, so the merge is a window over k rows for each query and block.
+The vectors are dealt into blocks of bounded size. A block keeps one list a dimension, its rows sorted by that component; an entry
+carries the row, its component and the row's squared length. A query reads its lists in step, from the end that its own
+component makes large. Every row has a lower and an upper bound: what was read of it, and of what is unread no more than the
+lists' values at the reading depth, nor more or less than the product of what is left of the two lengths (Cauchy-Schwarz). The k-th best lower bound is the one to beat. Reading ends when all but a few rows cannot
+reach it, or with the lists; the final scores of these few are then resolved. Blocks return k rows a query, so the
+merge is a window over k rows for each query and block.
 """
 
 from __future__ import annotations
@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from quire.llm.common import partitions, save
 
 BLOCK_ROWS = 8192
-BLOCK_QUERIES = 512
+#: Queries that search a block together: as many as leave TASKS tasks a partition, in these bounds.
+BLOCK_QUERIES = (64, 8192)
+TASKS = 4
 EXACT = float(1 << 53)
-#: Depths, as parts of the lists, at which the bounds are compared.
-READ = (0.5, 0.7, 1.0)
-#: This many times k rows with the highest upper bounds are read to the end at each, which gives the lower bound to beat.
-LEADERS = 8
-#: Reading stops when so small a part of the rows can still qualify; their scores are then resolved in full.
-RESOLVE = 0.25
+#: Entries of a list that are read before the bounds are compared, as a part of the list.
+STEP = 1 / 16
+#: Reading stops when at most this many times k rows can still qualify.
+LEFT = 16
 
 
 def floored(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -45,89 +45,97 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class SortedLists:
-    """One block: its rows' components, sorted for each dimension."""
+    """One block: its rows' components, sorted for each dimension, ascending."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
-        self.order = np.argsort(values, axis=0, kind="stable").T.copy()  # dimension x depth -> row, ascending
+        self.order = np.argsort(values, axis=0, kind="stable").T.copy()  # dimension x place -> row
         self.sorted = np.take_along_axis(values.T, self.order, axis=1)
+        self.length2 = (values * values).sum(axis=1)
 
-    def top(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows (positions) that can be among the k best by (score desc, id), and their scores."""
-        n, dims = self.values.shape
-        used = np.flatnonzero(query)
-        if len(used) == 0 or n <= k + 1:
-            rows = np.arange(n)
-        else:
-            rows = self._candidates(query, used, k, own)
+    def top(self, query: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows (positions) of the k best by (score desc, id), without the row ``own``, and their scores."""
+        rows = self._candidates(query, k, own)
         scores = self.values[rows] @ query
-        if np.abs(self.values[rows]).max(initial=0) * np.abs(query).max(initial=0) * max(dims, 1) >= EXACT:
+        if np.abs(self.values[rows]).max(initial=0) * np.abs(query).max(initial=0) * max(len(query), 1) >= EXACT:
             scores = self.values[rows].astype(np.int64) @ query.astype(np.int64)
-        if own is not None:
-            rows, scores = rows[self.ids[rows] != own], scores[self.ids[rows] != own]
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
 
-    def _candidates(self, query: np.ndarray, used: np.ndarray, k: int, own: int | None) -> np.ndarray:
-        n, q = len(self.ids), query[used]
-        up, down = np.flatnonzero(q > 0), np.flatnonzero(q <= 0)
-        other = np.ones(n, dtype=bool) if own is None else self.ids != own
-        for part in READ:
-            depth = min(n, int(np.ceil(n * part)))
-            # what is unread counts as the value at the reading depth, so each entry read moves its row's bound by the rest
-            front = np.where(q > 0, self.sorted[used, n - depth], self.sorted[used, depth - 1]) * q
-            high = np.full(n, front.sum())
-            for lists, cut in ((up, slice(n - depth, n)), (down, slice(0, depth))):
-                if len(lists):
-                    gain = self.sorted[used[lists], cut] * q[lists, None] - front[lists, None]
-                    high += np.bincount(self.order[used[lists], cut].ravel(), weights=gain.ravel(), minlength=n)
-            rows = np.flatnonzero(other)
-            first = rows[np.argpartition(high[rows], -min(len(rows), LEADERS * k))[-LEADERS * k :]]
-            low = self.values[first] @ query  # leaders are read to the end: both bounds meet
-            bar = np.partition(low, -k)[-k]
+    def _candidates(self, query: np.ndarray, k: int, own: int | None) -> np.ndarray:
+        """The rows that can be among the k best when reading ends."""
+        n, used = len(self.ids), np.flatnonzero(query)
+        rows = np.arange(n) if own is None else np.delete(np.arange(n), own)
+        if not len(used) or len(rows) <= LEFT * k:
+            return rows
+        order = [d for sign in (1, -1) for d in used[np.sign(query[used]) == sign]]  # lists read from their upper, then from their lower end
+        ups, q = int((query[used] > 0).sum()), query[order]
+        q2 = q * q
+        step = max(1, int(n * STEP))
+        score, seen, length2 = np.zeros(n), np.zeros(n), np.zeros(n)  # what was read of each row: score, the query's and its own squared length
+        for depth in range(step, n, step):
+            ends = [(order[:ups], slice(n - depth, n - depth + step)), (order[ups:], slice(depth - step, depth))]
+            at = np.concatenate([self.order[lists, places] for lists, places in ends])
+            x = np.concatenate([self.sorted[lists, places] for lists, places in ends])
+            at, many = at.ravel(), x.shape[1]
+            score += np.bincount(at, weights=(x * q[:, None]).ravel(), minlength=n)
+            seen += np.bincount(at, weights=np.repeat(q2, many), minlength=n)
+            length2 += np.bincount(at, weights=(x * x).ravel(), minlength=n)
+            front = np.concatenate([self.sorted[order[:ups], n - depth], self.sorted[order[ups:], depth - 1]]) * q
+            spread = np.sqrt(np.maximum(q2.sum() - seen, 0) * np.maximum(self.length2 - length2, 0)) * (1 + 1e-9)
+            low, high = score - spread, score + np.minimum(spread, np.maximum(front, 0).sum())
+            bar = np.partition(low[rows], -k)[-k]
             left = rows[high[rows] >= bar - 1e-6 * max(1.0, abs(bar))]
-            if len(left) <= max(4 * k, n * RESOLVE):
-                break
-        return left
+            if len(left) <= LEFT * k:
+                return left
+        return rows  # read to the end: all scores are final
 
 
-def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def numbered(rows: DataFrame) -> DataFrame:
+    """(id, v) -> + row, a number of its own for each row, so that rows of one id are told apart."""
+    return save(rows.select("id", "v").withColumn("row", F.monotonically_increasing_id()), "vectors")
+
+
+def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, block_queries: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` best rows of ``vectors`` by inner product, ties to smaller ids.
 
-    Both tables are (id, v) with whole-numbered components, as ``floored`` returns. A row is no candidate of the query with
-    its own id. Vectors of different lengths compare as if padded with zeros; an empty vector scores 0. Fewer than k
-    candidates are all returned. Repeated rows are candidates each, and a repeated query id is one query (its largest vector by
-    order). Empty tables give an empty result.
+    Both tables are (id, v, row) with whole-numbered components, as ``numbered(floored(...))`` returns, ``queries`` being rows of
+    ``vectors`` or others with other row numbers. Every row of ``queries`` is a query, rows of one id too; only a query's own row is
+    no candidate. Vectors of different lengths compare as if padded with zeros; an empty vector scores 0. Fewer than k candidates
+    are all returned. Repeated rows are candidates each. Scores beyond 2**53 are summed as integers; beyond 2**63 they
+    are undefined. Empty tables give an empty result.
     """
     spark = vectors.sparkSession
-    vectors = save(vectors.select("id", "v"), "vectors")
-    queries = save(queries.groupBy("id").agg(F.max("v").alias("v")), "queries")
     n, m = vectors.count(), queries.count()
-    blocks, sets = max(1, -(-n // block_rows)), max(1, -(-m // block_queries))
-    data = vectors.withColumn("b", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(blocks))).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
-    asked = queries.withColumn("s", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(sets)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    blocks, parts = max(1, -(-n // block_rows)), partitions(spark)
+    if block_queries is None:
+        block_queries = min(max(-(-m * blocks // (TASKS * parts)), BLOCK_QUERIES[0]), BLOCK_QUERIES[1])
+    sets = max(1, -(-m // block_queries))
+    data = vectors.withColumn("b", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(blocks))).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))))
+    asked = queries.withColumn("s", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(sets)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    schema = {"query_id": "int64", "query_row": "int64", "vec_id": "int64", "score": "int64"}
 
     def search(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(rows):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="int64")})
+            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in schema.items()})
         width = max(own["v"].map(len).max(), rows["v"].map(len).max())
-        rows = rows.sort_values("id")
-        lists = SortedLists(rows["id"].to_numpy(), _matrix(rows["v"], width))
+        rows = rows.sort_values(["id", "row"])
+        lists, place = SortedLists(rows["id"].to_numpy(), _matrix(rows["v"], width)), {r: i for i, r in enumerate(rows["row"])}
         out = []
-        for qid, q in zip(own["id"].to_numpy(), _matrix(own["v"], width), strict=True):
-            found, scores = lists.top(q, k, qid)
-            out.append((np.full(len(found), qid), lists.ids[found], scores.astype(np.int64)))
-        return pd.DataFrame({name: np.concatenate([x[i] for x in out]) for i, name in enumerate(("query_id", "vec_id", "score"))})
+        for qid, row, q in zip(own["id"].to_numpy(), own["row"].to_numpy(), _matrix(own["v"], width), strict=True):
+            found, scores = lists.top(q, k, place.get(row))
+            out.append((np.full(len(found), qid), np.full(len(found), row), lists.ids[found], scores.astype(np.int64)))
+        return pd.DataFrame({name: np.concatenate([x[i] for x in out]) for i, name in enumerate(schema)})
 
-    parts = max(partitions(spark), min(blocks * sets, 4096))
+    parts = max(parts, min(blocks * sets, 4096))
     asked, data = asked.repartition(parts, "s", "b"), data.repartition(parts, "s", "b")
-    found = asked.groupBy("s", "b").cogroup(data.groupBy("s", "b")).applyInPandas(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = asked.groupBy("s", "b").cogroup(data.groupBy("s", "b")).applyInPandas(search, ", ".join(f"{c} long" for c in schema))
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op2_query(spark, sf_dir):
-    rows = floored(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    rows = numbered(floored(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
     return top_k(rows.where("id % 50 = 0"), rows)
 
 

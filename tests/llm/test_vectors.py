@@ -85,18 +85,19 @@ def test_near_duplicates_empty(spark):
 
 
 def test_top_k(spark, vectors):
-    rows = topk.floored(vectors.where(f"vec_id <> {260 + 1}"))
+    rows = topk.numbered(topk.floored(vectors))
     got = sorted(tuple(r) for r in topk.top_k(rows.where("id % 20 = 0"), rows, block_rows=64, block_queries=4).collect())
-    plain = {r.id: r.v for r in rows.collect()}
+    plain = [(r.id, r.v) for r in rows.collect()]
+    assert len({i for i, _ in plain}) < len(plain)  # rows of one id are candidates, and queries, each
     want = []
-    for q in plain:
+    for at, (q, own) in enumerate(plain):
         if q % 20 == 0:
-            scored = sorted((-int(sum(x * y for x, y in zip(plain[q], v, strict=False))), i) for i, v in plain.items() if i != q)
+            scored = sorted((-int(sum(x * y for x, y in zip(own, v, strict=False))), i) for j, (i, v) in enumerate(plain) if j != at)
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
     assert got == sorted(want)
     none = spark.createDataFrame([], SCHEMA)
-    assert topk.top_k(topk.floored(none), topk.floored(none)).count() == 0
-    few = topk.floored(vectors.where("vec_id < 3"))
+    assert topk.top_k(topk.numbered(topk.floored(none)), topk.numbered(topk.floored(none))).count() == 0
+    few = topk.numbered(topk.floored(vectors.where("vec_id < 3")))
     assert topk.top_k(few.where("id = 0"), few).count() == 2
 
 
@@ -111,6 +112,25 @@ def test_top_k_with_ties():
         assert [(-s, r) for s, r in zip(scores, rows, strict=True)] == best
 
 
+def test_top_k_of_repeated_queries(spark):
+    rows = topk.numbered(spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0, -1.0]), (7, [1.0, 1.0]), (7, [2.0**31, 2.0**31])], "id long, v array<double>"))
+    got = sorted(tuple(r) for r in topk.top_k(rows.where("id = 0"), rows, k=2).collect())
+    assert got == sorted([(0, 1, 7, 3 * 2**31), (0, 2, 7, 3), (0, 1, 7, 2 * 2**31), (0, 2, 7, 2)])
+
+
+def test_reading_stops_before_the_lists_end():
+    rng = np.random.default_rng(5)
+    values = np.floor(256 * rng.normal(size=(4000, 12)))
+    values[:, 0] *= 40
+    lists = topk.SortedLists(np.arange(4000), values)
+    for q in range(0, 400, 20):
+        full = values @ values[q]
+        full[q] = -np.inf
+        best = sorted((-full[i], i) for i in range(4000))[:5]
+        rows, scores = lists.top(values[q], 5, q)
+        assert [(-s, r) for s, r in zip(scores, rows, strict=True)] == best and len(lists._candidates(values[q], 5, q)) <= 80
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     pairs = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(5, 5), (None, 3)]
