@@ -360,13 +360,42 @@ def test_one_row_stays_of_each_group_whatever_its_doc_id(spark):
     assert Counter(map(tuple, kept)) == Counter([(7, a), (3, b), (7, c), (None, d), (None, e), (9, None)])
 
 
+def test_mixing_is_a_loop_over_bits():
+    """The score of lanes that are mixed side by side is that of a plain loop over the bits of each text."""
+    rng = np.random.default_rng(6)
+    counts = np.array([5, context_mixing.LANE + 40, 1, 300])
+    x = np.zeros((counts.sum(), context_mixing.WIDE), dtype=np.float32)
+    x[:, : context_mixing.MODELS + 1] = rng.normal(size=(len(x), context_mixing.MODELS + 1))
+    x[::7, context_mixing.MODELS] = 0
+    y, words = rng.integers(0, 2, len(x)).astype(np.int8), rng.integers(0, 2, len(x)).astype(bool)
+    got, _ = context_mixing.mix(x, words, y, counts, context_mixing.start_weights())
+    at = 0
+    for n, score in zip(counts, got, strict=True):
+        total = 0.0
+        for k in range(n):
+            if k % context_mixing.LANE == 0:
+                w, slope, offset = context_mixing.start_weights().astype(float), 1.0, 0.0
+            xs = x[at + k, : context_mixing.MODELS + 1].astype(float)
+            gate = int(xs[-1] != 0) + 2 * int(words[at + k])
+            dot = xs @ w[gate]
+            p = 1 / (1 + np.exp(-(slope * dot + offset)))
+            total += np.log2(p if y[at + k] else 1 - p)
+            error = y[at + k] - p
+            w[gate] += context_mixing.RATE * error * xs
+            offset, slope = offset + context_mixing.REFINE_RATE * error, slope + context_mixing.REFINE_RATE * error * dot
+        assert score == pytest.approx(total, rel=1e-4, abs=1e-3)
+        at += n
+
+
 def test_bit_counts_are_exact(spark):
     """Both sides of a slot go far beyond 16 bits, in one task and in the sum, and keep their ratio."""
     code = context_mixing.Code([b"aa", b"b"], [5, 3], 2, 4, np.ones(257, dtype=np.int64))
     text = b"aa b aa aa " * 40000
     rows = spark.createDataFrame([(text,)] * 3, "text binary").repartition(3)
     counts = context_mixing.bit_counts(rows, spark.sparkContext.broadcast(code), 14)
-    node, y, slots, _ = code.expand(*code.steps(*code.tokens([text.split()])), 14)
-    for (zeros, ones), at in zip(counts, slots, strict=True):
+    symbols, hashes, _ = code.steps(*code.tokens([text.split()]))
+    node, y, length = code.paths(symbols)
+    for (zeros, ones), h in zip(counts, hashes, strict=True):
+        at = code.slots((h >> np.uint64(32)).astype(np.uint32), code.turns(node), length, 14)
         assert (zeros == 3 * np.bincount(at[y == 0], minlength=1 << 14)).all() and (ones == 3 * np.bincount(at[y == 1], minlength=1 << 14)).all()
         assert max(zeros.max(), ones.max()) > 3 * 65535
