@@ -1,7 +1,7 @@
 """Text expressions: canonical forms of field values, matching preparation, page references.
 
-``normalize`` and what builds on it are exact for Latin text as columns; ``normalize_exact`` is a vectorised Python UDF with
-the full Unicode definition, for other alphabets.
+``normalize`` is the full Unicode definition: text whose letters are plain or accented Latin is folded by column expressions,
+and only other text goes through ``normalize_exact``, a vectorised Python UDF. ``normalize_latin`` is the first part alone.
 """
 
 from __future__ import annotations
@@ -58,8 +58,26 @@ def has_text(text: Column) -> Column:
     return F.coalesce(text.rlike(f"(?U)[^{SPACE[1:]}"), F.lit(False))
 
 
+def _beyond_latin() -> str:
+    """A pattern for characters that ``normalize_latin`` does not fold as the definition does."""
+    def safe(code: int) -> bool:
+        c = chr(code)
+        return code < 0x80 or c in _ACCENTED or c == "ß" or normalize_value(f"a{c}a") == (f"a{c.lower()}a" if c.isalnum() and len(c.lower()) == 1 else "a a")
+
+    edges = [code for code in range(0x251) if code in (0, 0x250) or safe(code) != safe(code - 1)]
+    starts = [e for e in edges if e < 0x250 and safe(e)]
+    ends = [next((e for e in edges if e > s and (e == 0x250 or not safe(e))), 0x250) - 1 for s in starts]
+    return "[^" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
 def normalize(text: Column) -> Column:
-    """Accents and case folded, everything but letters and digits as single spaces."""
+    """Accents and case folded, everything but letters and digits as single spaces, in any alphabet."""
+    other = F.when(text.rlike(r"[^\x00-\x7f]") & text.rlike(_BEYOND_LATIN), text)
+    return F.coalesce(normalize_exact(other), normalize_latin(text))
+
+
+def normalize_latin(text: Column) -> Column:
+    """``normalize`` for plain and accented Latin text, without Python."""
     plain = F.replace(F.lower(F.translate(text, _ACCENTED, _PLAIN)), F.lit("ß"), F.lit("ss"))
     return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
 
@@ -70,6 +88,9 @@ def normalize_value(text: str) -> str:
     return " ".join("".join(c if c.isalnum() else " " for c in "".join(bare).casefold()).split())
 
 
+_BEYOND_LATIN = _beyond_latin()
+
+
 @pandas_udf(StringType())
 def normalize_exact(values: pd.Series) -> pd.Series:
     return values.map(normalize_value, na_action="ignore")
@@ -89,9 +110,15 @@ def canonical_name(value: Column) -> Column:
     return F.array_join(F.array_sort(tokens(normalize(value))), " ")
 
 
+@pandas_udf(StringType())
+def _folded_alphanumerics(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: "".join(c for c in v.casefold() if c.isalnum()), na_action="ignore")
+
+
 def canonical_number(value: Column) -> Column:
-    """Letters and digits only, in lower case."""
-    return F.regexp_replace(F.lower(value), r"[^\p{L}\p{N}]", "")
+    """Letters and digits only, case folded; only text beyond ASCII goes through Python."""
+    other = F.when(value.rlike(r"[^\x00-\x7f]"), value)
+    return F.coalesce(_folded_alphanumerics(other), F.regexp_replace(F.lower(value), "[^a-z0-9]", ""))
 
 
 def canonical_address(value: Column) -> Column:
@@ -102,7 +129,7 @@ def canonical_address(value: Column) -> Column:
     for label in ("property address", "address"):
         line = F.trim(F.regexp_replace(line, f"^(?:{label}(?: |$))+", ""))
         line = F.trim(F.regexp_replace(line, f"(?:(?:^| ){label})+$", ""))
-    return F.array_join(collapse_repeats(tokens(line)), " ")
+    return F.regexp_replace(line, r"(?:^|(?<= ))(\S+)(?: \1(?= |$))+", "$1")  # each run of equal words once
 
 
 def canonical(field: Column, value: Column) -> Column:

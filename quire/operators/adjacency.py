@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import scores as S
 from quire.functions.text import page_ref
+from quire.operators.coverage import coverage, repeated
 from quire.operators.prefix import running_sum
 
 
@@ -86,12 +87,24 @@ def majority_label(labels: DataFrame, group: list[str], label: str = "label", pa
     return counts.withColumn("_r", F.row_number().over(best)).where("_r = 1").select(*group, label)
 
 
+def cover_violations(pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """source, page_number, problem: pages in no document (``missing``), members that are no pages (``extra``), and pages in several
+    documents, or several times in one (``twice``). ``documents``: source, pages."""
+    members = documents.select("source", F.explode("pages").alias("page_number"))
+    twice = repeated(members).select("source", "page_number", F.lit("twice").alias("problem"))
+    return coverage(pages, members).unionByName(twice)
+
+
 def documents(pages: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """source, first_page, pages, label: groups of any size and skipped pages, each with its majority label."""
+    """source, first_page, pages, label: groups of any size and skipped pages, each with its majority label.
+
+    Every page is in one document: a page without label is ``other``; see ``cover_violations`` for members that are no pages, or twice.
+    """
     skipped = pages.where("vector is null").select("source", F.col("page_number").cast("long").alias("page_number"), (-F.col("page_number")).cast("long").alias("group_seq"))
     every = members.select("source", "page_number", "group_seq").unionByName(skipped)
     named = labels.select(F.col("source").alias("s"), F.col("page_number").alias("p"), "label")
-    every = every.join(named, F.col("source").eqNullSafe(F.col("s")) & (F.col("page_number") == F.col("p")))
+    every = every.join(named, F.col("source").eqNullSafe(F.col("s")) & (F.col("page_number") == F.col("p")), "left")
+    every = every.withColumn("label", F.coalesce("label", F.lit(S.OTHER)))
     rolled = every.groupBy("source", "group_seq").agg(F.array_sort(F.collect_list("page_number")).alias("pages"), F.min("page_number").alias("first_page"))
     best = majority_label(every, ["source", "group_seq"]).select(F.col("source").alias("s"), F.col("group_seq").alias("g"), "label")
     out = rolled.join(best, F.col("source").eqNullSafe(F.col("s")) & (F.col("group_seq") == F.col("g")))

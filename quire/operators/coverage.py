@@ -38,6 +38,13 @@ def page_counts_differ(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.where(~F.coalesce(sound, F.lit(False)))
 
 
+def page_lists_differ(left: DataFrame, right: DataFrame) -> DataFrame:
+    """source, page_number, problem: pages on one side only, and pages whose page_refs differ (``page_ref``). Both: source, page_number, page_ref."""
+    theirs = right.select("source", "page_number", F.col("page_ref").alias("_theirs"))
+    other = left.join(theirs, list(PAGE)).where(~F.col("page_ref").eqNullSafe(F.col("_theirs")))
+    return coverage(left, right).unionByName(other.select(*PAGE, F.lit("page_ref").alias("problem")))
+
+
 def not_increasing(pages: DataFrame, order: str = "position") -> DataFrame:
     """Rows whose page_number is not above that of the row before by ``order`` (0, 1, ...) in their source."""
     before = pages.select(F.col("source").alias("s"), (F.col(order) + 1).alias("o"), F.col("page_number").alias("previous"))

@@ -20,16 +20,20 @@ def unpivot(pages: DataFrame, key: tuple[str, ...] = ("source", "page_number"),
     return pages.select(*key, F.explode(pairs).alias("_p")).select(*key, "_p.*")
 
 
-def check_fields(rows: DataFrame, floor: float = 0.75, margin: float = 0.10, exact: bool = True) -> DataFrame:
+def normalized_pages(pages: DataFrame) -> DataFrame:
+    """+ page_text: the page's text as fields are looked for in it. Once a page, before its fields are listed."""
+    return pages.withColumn("page_text", T.normalize(F.col("text")))
+
+
+def check_fields(rows: DataFrame, floor: float = 0.75, margin: float = 0.10) -> DataFrame:
     """+ status (ok, mismatch, missing), found, similarity, match_mode, needs_review, from value and text.
 
-    Values that the text contains never reach Python: only the others get the sliding-window ratio. ``exact`` uses the
-    full Unicode normalisation.
+    Values that the text contains never reach Python: only the others get the sliding-window ratio. Where rows have
+    page_text (``normalized_pages``), it is taken, and text is not needed.
     """
-    key = [c for c in rows.columns if c not in ("value", "text")]
-    norm = T.normalize_exact if exact else T.normalize
-    value = F.when(F.col("field") == "loan_number", T.canonical_number(F.col("value"))).otherwise(norm(F.col("value")))
-    page = norm(F.col("text"))
+    key = [c for c in rows.columns if c not in ("value", "text", "page_text")]
+    value = F.when(F.col("field") == "loan_number", T.canonical_number(F.col("value"))).otherwise(T.normalize(F.col("value")))
+    page = F.col("page_text") if "page_text" in rows.columns else T.normalize(F.col("text"))
     page = F.when(F.col("field") == "loan_number", F.regexp_replace(page, r"(?U)(?<=\d)\s+(?=\d)", "")).otherwise(page)
     ready = rows.withColumn("_value", value).withColumn("_page", F.coalesce(page, F.lit("")))
     inside = (F.col("_value") != "") & F.contains("_page", "_value")

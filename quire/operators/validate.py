@@ -74,6 +74,22 @@ def simplex(probabilities: str = "probabilities", category: str = "category", to
     ]
 
 
+def entries(value: str = "value", pages: str = "pages") -> list[Rule]:
+    """A spelling is a non-empty string with a non-empty list of positive pages."""
+    return [
+        not_blank("empty value", value),
+        Rule("no pages", F.coalesce(F.size(pages), F.lit(0)) < 1, f"{pages} must not be empty"),
+        Rule("page number", F.exists(pages, lambda p: p.isNull() | (p < 1)), f"{pages} must be positive"),
+    ]
+
+
+def parameters(**values: tuple[float, float, float]) -> None:
+    """ValueError unless each value lies in its [low, high]; given as name=(value, low, high)."""
+    for name, (value, low, high) in values.items():
+        if isinstance(value, bool) or not isinstance(value, (int, float)) or not low <= value <= high:
+            raise ValueError(f"{name} must be in [{low:g}, {high:g}], got {value!r}")
+
+
 def page_numbers() -> list[Rule]:
     return [positive("page number", "page_number")]
 

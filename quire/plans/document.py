@@ -37,19 +37,27 @@ class Result:
     pages: DataFrame
     checks: DataFrame
     edges: DataFrame
+    members: DataFrame
+    vectors: DataFrame
+    extracted: DataFrame
     page_labels: DataFrame
     documents: DataFrame
     loan_fields: DataFrame
 
 
-def _too_long(pages: DataFrame, most: int) -> None:
+def too_long(pages: DataFrame, most: int) -> DataFrame:
+    """Pages with more than ``most`` characters; white space alone is no text."""
+    return pages.where(has_text(F.col("text")) & (F.length("text") > most))
+
+
+def require_short(pages: DataFrame, most: int) -> None:
     """Before any request is paid for."""
-    first = pages.where(has_text(F.col("text")) & (F.length("text") > most)).orderBy(*PAGE).select(*PAGE).first()
+    first = too_long(pages, most).orderBy(*PAGE).select(*PAGE).first()
     if first:
         raise ValueError(f"{first.source} page {first.page_number} has more than {most} characters")
 
 
-def _written(df: DataFrame, scratch: str, name: str) -> DataFrame:
+def written(df: DataFrame, scratch: str, name: str) -> DataFrame:
     path = f"{scratch.rstrip('/')}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -57,20 +65,20 @@ def _written(df: DataFrame, scratch: str, name: str) -> DataFrame:
 
 def classify(pages: DataFrame, model: models.Model, s: Settings) -> DataFrame:
     """Only pages with text are asked about; the others are flagged."""
-    _too_long(pages, s.max_chars)
-    asked = models.classify(pages.where(has_text(F.col("text"))).select(*PAGE, "text"), model).drop("text", "error")
+    require_short(pages, s.max_chars)
+    asked = models.classify(pages.where(has_text(F.col("text"))).select(*PAGE, "text"), model).drop("text", "error").withColumnRenamed("seconds", "classify_seconds")
     return review.classified(pages.join(asked, PAGE, "left"), s.min_confidence)
 
 
 def verify(classified: DataFrame, model: models.Model, s: Settings) -> DataFrame:
     return review.second_opinions(
-        review.triggered(classified, s.min_confidence, s.min_margin), lambda rows: models.verify(rows.select(*PAGE, "text"), model)
+        review.triggered(classified, s.min_confidence, s.min_margin), lambda rows: models.verify(rows.select(*PAGE, "text"), model).withColumnRenamed("seconds", "verifier_seconds")
     )
 
 
 def check(extracted: DataFrame, pages: DataFrame, s: Settings) -> DataFrame:
     """Extracted fields of each page, against its text."""
-    long = fields.unpivot(extracted).join(pages.select(*PAGE, "text"), PAGE)
+    long = fields.unpivot(extracted).join(fields.normalized_pages(pages.select(*PAGE, "text")).drop("text"), PAGE)
     return fields.check_fields(long, s.floor, s.review_margin)
 
 
@@ -79,8 +87,17 @@ def match(pages: DataFrame, vectors: DataFrame, categories: DataFrame, numbers:
     usable = (F.col("category") != S.OTHER) & ~F.col("needs_review")
     signals = categories.select(*PAGE, F.when(usable, F.col("category")).alias("category"), F.when(usable, F.col("confidence")).alias("confidence"))
     rows = pages.select(*PAGE).join(vectors.select(*PAGE, "vector"), PAGE, "left").join(signals, PAGE, "left").join(numbers, PAGE, "left")
+    return rows, *edges_and_members(rows, s)
+
+
+def edges_and_members(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     edges = adjacency.edges(rows, s.weights, s.min_embedding)
-    return rows, edges, adjacency.islands(rows, edges, s.edge_threshold)
+    return edges, adjacency.islands(rows, edges, s.edge_threshold)
+
+
+def extract(images: DataFrame, model: models.Model) -> DataFrame:
+    """source, page_number, extracted, vlm_seconds."""
+    return models.extract(images.select(*PAGE, "image"), model).drop("image", "error").withColumnRenamed("seconds", "vlm_seconds")
 
 
 def run(
@@ -88,19 +105,19 @@ def run(
     scratch: str, settings: Settings = Settings(),
 ) -> Result:
     """``pages``: source, page_number, text. ``images``: source, page_number, image. ``scratch``: a folder that all workers share."""
-    pages = _written(pages.select(*PAGE, "text"), scratch, "pages")
+    pages = written(pages.select(*PAGE, "text"), scratch, "pages")
     if not (wrong := coverage.repeated(pages)).isEmpty():
         raise ValueError(f"a page appears more than once: {wrong.orderBy(*PAGE).first()}")
     if not (wrong := coverage.coverage(pages, images)).isEmpty():
         raise ValueError(f"images and texts are not of the same pages: {wrong.orderBy(*PAGE).limit(5).collect()}")
-    reviewed = _written(verify(_written(classify(pages, classifier, settings), scratch, "classified"), verifier, settings), scratch, "reviewed")
-    extracted = _written(models.extract(images.select(*PAGE, "image"), extractor).drop("image"), scratch, "extracted")
-    checks = _written(check(extracted, pages, settings), scratch, "checks")
-    vectors = _written(models.embed(pages.where(has_text(F.col("text"))), embedder).drop("text"), scratch, "vectors")
+    reviewed = written(verify(written(classify(pages, classifier, settings), scratch, "classified"), verifier, settings), scratch, "reviewed")
+    extracted = written(extract(images, extractor), scratch, "extracted")
+    checks = written(check(extracted, pages, settings), scratch, "checks")
+    vectors = written(models.embed(pages.where(has_text(F.col("text"))), embedder).drop("text"), scratch, "vectors")
     numbers = extracted.select(*PAGE, printed_number(F.col("extracted.page_number")).alias("printed_number"))
     rows, edges, members = match(pages, vectors, reviewed, numbers, settings)
     labels = review.page_labels(reviewed.join(fields.page_flags(checks), PAGE))
     entered = fields.entries(checks)
     address = F.col("field") == "property_address"
     clustered = fields.cluster_exact(entered.where(~address)).unionByName(fields.cluster_addresses(entered.where(address)))
-    return Result(reviewed, checks, edges, labels, adjacency.documents(rows, members, labels), fields.loan_fields(clustered, pages))
+    return Result(reviewed, checks, edges, members, vectors, extracted, labels, adjacency.documents(rows, members, labels), fields.loan_fields(clustered, pages))

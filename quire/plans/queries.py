@@ -145,7 +145,7 @@ o AS (SELECT d.source, d.page_number, {_share(0).replace("e[", "v.embedding[")}
 q AS (SELECT source, page_number, x, list_max(x) AS confidence, {_NAMES}[list_position(x, list_max(x))] AS category, {_NAMES}[list_position(y, list_max(y))] AS second,
   list_sort(x, 'DESC')[1] - list_sort(x, 'DESC')[2] AS gap FROM o),
 t AS (SELECT *, confidence < 0.5 OR gap < 0.5 AS triggered, CASE WHEN confidence < 0.5 THEN 'low confidence' WHEN category = 'other' THEN 'other' END AS reason FROM q),
-z AS (SELECT *, CASE WHEN NOT triggered THEN 'not_triggered' WHEN category <> second THEN 'disagreement' WHEN category = 'other' THEN 'mutual_other' ELSE 'accepted' END AS resolution FROM t)"""
+z AS (SELECT *, CASE WHEN NOT triggered THEN 'not_triggered' WHEN page_number % 10 = 0 THEN 'verifier_failed' WHEN category <> second THEN 'disagreement' WHEN category = 'other' THEN 'mutual_other' ELSE 'accepted' END AS resolution FROM t)"""
 
 
 def _classified(spark, sf_dir) -> DataFrame:
@@ -154,7 +154,8 @@ def _classified(spark, sf_dir) -> DataFrame:
 
 def _verified(spark, sf_dir) -> DataFrame:
     def ask(rows: DataFrame) -> DataFrame:
-        return rows.select("source", "page_number", F.col("second").alias("verifier_category"), F.lit(None).cast("string").alias("error"))
+        failed = F.col("page_number") % 10 == 0
+        return rows.select("source", "page_number", F.when(~failed, F.col("second")).alias("verifier_category"), F.when(failed, F.lit("no answer")).alias("error"))
 
     return review.second_opinions(review.triggered(_classified(spark, sf_dir)), ask)
 
@@ -180,16 +181,17 @@ def resolution(spark, sf_dir):
 
 
 @query(f"""WITH {_OPINIONS} SELECT source, page_number, CASE resolution WHEN 'not_triggered' THEN reason IS NOT NULL WHEN 'accepted' THEN false ELSE true END AS needs_review,
-CASE resolution WHEN 'not_triggered' THEN reason WHEN 'mutual_other' THEN 'other' WHEN 'disagreement' THEN 'verifier disagreement' END AS review_reason FROM z""")
+CASE resolution WHEN 'not_triggered' THEN reason WHEN 'mutual_other' THEN 'other' WHEN 'disagreement' THEN 'verifier disagreement' WHEN 'verifier_failed' THEN 'verifier failed' END AS review_reason FROM z""")
 def review_outcome(spark, sf_dir):
     return _verified(spark, sf_dir).select("source", "page_number", "needs_review", "review_reason")
 
 
 @query(f"""WITH {_OPINIONS} SELECT source, count(*) AS page_count, count(*) FILTER (triggered) AS triggered_page_count, count(*) FILTER (resolution = 'accepted') AS accepted_page_count,
-count(*) FILTER (resolution = 'mutual_other') AS mutual_other_page_count, count(*) FILTER (resolution = 'disagreement') AS disagreement_page_count, 0::BIGINT AS verifier_failed_page_count,
-count(*) FILTER (reason IS NOT NULL) AS needs_review_before, count(*) FILTER (resolution IN ('mutual_other', 'disagreement') OR resolution = 'not_triggered' AND reason IS NOT NULL) AS needs_review_after FROM z GROUP BY source""")
+count(*) FILTER (resolution = 'mutual_other') AS mutual_other_page_count, count(*) FILTER (resolution = 'disagreement') AS disagreement_page_count, count(*) FILTER (resolution = 'verifier_failed') AS verifier_failed_page_count,
+count(*) FILTER (reason IS NOT NULL) AS needs_review_before, count(*) FILTER (resolution IN ('mutual_other', 'disagreement', 'verifier_failed') OR resolution = 'not_triggered' AND reason IS NOT NULL) AS needs_review_after,
+coalesce(string_agg(page_number::VARCHAR, ',' ORDER BY page_number) FILTER (triggered), '') AS triggered_pages FROM z GROUP BY source""")
 def verification_summary(spark, sf_dir):
-    return review.verification_summary(_verified(spark, sf_dir), ("source",))
+    return review.verification_summary(_verified(spark, sf_dir), ("source",)).withColumn("triggered_pages", _joined("triggered_pages"))
 
 
 @query(f"WITH {_OPINIONS} SELECT c.category, count(q.category) AS n FROM (SELECT unnest({_NAMES}) AS category) c LEFT JOIN q ON q.category = c.category GROUP BY c.category")
@@ -204,7 +206,7 @@ def classification_summary(spark, sf_dir):
     return review.classification_summary(_classified(spark, sf_dir)).withColumn("needs_review_pages", _joined("needs_review_pages"))
 
 
-@query(f"""WITH {_OPINIONS}, h AS (SELECT *, CASE resolution WHEN 'not_triggered' THEN reason WHEN 'mutual_other' THEN 'other' WHEN 'disagreement' THEN 'verifier disagreement' END AS why FROM z)
+@query(f"""WITH {_OPINIONS}, h AS (SELECT *, CASE resolution WHEN 'not_triggered' THEN reason WHEN 'mutual_other' THEN 'other' WHEN 'disagreement' THEN 'verifier disagreement' WHEN 'verifier_failed' THEN 'verifier failed' END AS why FROM z)
 SELECT source, page_number, category AS label, round(confidence, 3) AS confidence, concat_ws('; ', why, CASE WHEN page_number % 3 = 0 THEN 'vlm mismatch: loan_number, page_number' END) AS notes FROM h""")
 def page_labels_notes(spark, sf_dir):
     rows = _verified(spark, sf_dir)
@@ -212,12 +214,12 @@ def page_labels_notes(spark, sf_dir):
     return review.page_labels(rows.withColumn("mismatches", listed))
 
 
-@query(f"WITH {_OPINIONS}, b AS (SELECT *, list_transform(x, lambda v: CASE WHEN page_number % 5 = 0 THEN v * 1.01 ELSE v END) AS y FROM q) SELECT source, page_number, 'probability sum' AS rule FROM b WHERE abs(list_sum(y) - 1) > 0.001")
+@query(f"WITH {_OPINIONS}, b AS (SELECT *, list_transform(x, lambda v: CASE WHEN page_number % 5 = 0 THEN v * 1.01 ELSE v END) AS y FROM q) SELECT source, page_number, 'probability sum' AS rule FROM b WHERE abs(list_sum(y) - 1) > 0.001 UNION ALL SELECT source, page_number, 'probability range' FROM b WHERE list_max(y) > 1 OR list_min(y) < 0")
 def probability_simplex_violations(spark, sf_dir):
     rows = tables.opinions(spark, sf_dir)
     bent = F.transform_values("probabilities", lambda k, v: F.when(F.col("page_number") % 5 == 0, v * 1.01).otherwise(v))
     found = validate.violations(rows.withColumn("probabilities", bent), validate.simplex(), ["source", "page_number"])
-    return found.select("source", "page_number", "rule").where("rule <> 'probability range'")
+    return found.select("source", "page_number", "rule")
 
 
 # --- coverage ----------------------------------------------------------------------------------------------------------
@@ -346,27 +348,22 @@ def loan_fields_exact(spark, sf_dir):
     return out.select("source", "field", "value", "canonical_value", _joined("source_pages").alias("source_pages"), listed.alias("variants"), "needs_review")
 
 
-def _checked(spark, sf_dir, fuzzy: bool) -> DataFrame:
-    """Each document's language and source looked for in its text as fields; ``fuzzy``: word by word even if not contained."""
-    docs = tables.numbered_documents(spark, sf_dir)
-    rows = docs.select("source", "page_number", "text", F.lit("page_number").alias("page_number_"), F.col("lang").alias("loan_number"), F.when(F.col("page_number") % 4 != 0, F.col("source")).alias("borrower_name"))
-    kept = ["source", "page_number", "text"]
-    long = rows.select(*kept, F.explode(F.create_map(F.lit("loan_number"), F.col("loan_number"), F.lit("page_number"), F.lit("the"))).alias("field", "value"))
-    long = long.unionByName(rows.select(*kept, F.lit("borrower_name").alias("field"), F.when(F.col("page_number") % 4 == 0, None).otherwise(F.lit("zzqx wwvy")).alias("value")))
-    return fields.check_fields(long, exact=False) if fuzzy else long
+def _checked(spark, sf_dir) -> DataFrame:
+    """Each document's language, a word, and its own first words, or words it cannot have, looked for in its whole text as fields."""
+    pages = fields.normalized_pages(tables.numbered_documents(spark, sf_dir))
+    k = F.col("page_number") % 4
+    name = F.when(k == 1, F.concat_ws(" ", F.slice(F.split("page_text", " "), 1, 3))).when(k > 1, F.lit("zzqx wwvy"))
+    listed = F.explode(F.create_map(F.lit("loan_number"), F.col("lang"), F.lit("page_number"), F.lit("the"), F.lit("borrower_name"), name)).alias("field", "value")
+    return fields.check_fields(pages.select("source", "page_number", "page_text", listed))
 
 
 @query(f"""WITH {_NUMBERED}, m AS (SELECT *, {_NORMAL.format('text')} AS t FROM d),
 x AS (SELECT source, page_number, 'loan_number' AS field, contains(t, lang) AS hit, false AS absent FROM m UNION ALL SELECT source, page_number, 'page_number', contains(t, 'the'), false FROM m
-UNION ALL SELECT source, page_number, 'borrower_name', false, page_number % 4 = 0 FROM m)
+UNION ALL SELECT source, page_number, 'borrower_name', page_number % 4 = 1 AND t <> '', page_number % 4 = 0 FROM m)
 SELECT field, count(*) FILTER (hit) AS ok, count(*) FILTER (NOT hit AND NOT absent) AS mismatch, count(*) FILTER (absent) AS missing FROM x GROUP BY field""")
 def field_status_pivot(spark, sf_dir):
-    """Exact path only: a field whose threshold is 1 is decided by containment, and no word is like the third field's value."""
-    rows = _checked(spark, sf_dir, fuzzy=False)
-    page = T.matching_text(F.lit("page_number"), F.col("text"))
-    hit = F.contains(page, F.col("value"))
-    status = F.when(F.col("value").isNull(), F.lit("missing")).when(hit, F.lit("ok")).otherwise(F.lit("mismatch"))
-    return fields.status_counts(rows.withColumn("status", status))
+    """A field whose threshold is 1 is decided by containment, and no run of words is like the words that no text has."""
+    return fields.status_counts(_checked(spark, sf_dir))
 
 
 @query()

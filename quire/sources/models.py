@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import json
 import math
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -113,8 +114,19 @@ def classification(answer: Any, question: str = "page_category") -> dict:
     shares = {c: _number(shares[c], f"probability of {c}", 0, 1) for c in CATEGORIES}
     if abs(sum(shares.values()) - 1) > 0.001 or shares[category] < max(shares.values()):
         raise AnswerError("probabilities do not sum to 1 with the category on top")
-    usage = answer.get("usage") or {}
-    return {"category": category, "confidence": _number(found.get("confidence"), "confidence", 0, 1), "probabilities": shares, "input_tokens": usage.get("input_tokens", 0), "output_tokens": usage.get("output_tokens", 0)}
+    usage = token_usage(answer, ("input_tokens", "output_tokens"))
+    return {"category": category, "confidence": _number(found.get("confidence"), "confidence", 0, 1), "probabilities": shares, **usage}
+
+
+def token_usage(answer: dict, names: tuple[str, ...]) -> dict[str, int]:
+    """The counts of an answer's ``usage``: whole numbers, not negative, all there."""
+    usage = answer.get("usage")
+    if not isinstance(usage, dict):
+        raise AnswerError("the answer has no usage")
+    for k in names:
+        if isinstance(usage.get(k), bool) or not isinstance(usage.get(k), int) or usage[k] < 0:
+            raise AnswerError(f"{k} is not a count: {usage.get(k)!r}")
+    return {k: usage[k] for k in names}
 
 
 def second_category(answer: Any) -> str:
@@ -155,71 +167,110 @@ class Model:
     timeout: float = 60.0
     on_error: str = "abort"
     batch: int = 8
+    seed: int = 0
+    max_tokens: int = 512
     options: dict = field(default_factory=dict)
 
+    def chat(self, system: str, content: Any, schema: dict) -> Any:
+        """A request whose answer is one JSON object of ``schema``, the same every time as far as the server can."""
+        messages = [{"role": "system", "content": system}, {"role": "user", "content": content}]
+        wanted = {"type": "json_schema", "json_schema": {"name": "answer", "strict": True, "schema": schema}}
+        return self.ask({"messages": messages, "temperature": 0, "seed": self.seed, "max_tokens": self.max_tokens, "stream": False, "response_format": wanted})
+
     def ask(self, payload: dict) -> Any:
         return self.transport(self.url, {"model": self.name, **self.options, **payload}, self.timeout)
 
 
 def _each(rows: DataFrame, model: Model, call: Callable[[Model, dict], dict], columns: str, blank: dict) -> DataFrame:
-    """+ ``columns`` and error: ``call`` on every row."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {columns}, error string"
+    """+ ``columns``, error and the seconds that it took: ``call`` on every row."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {columns}, error string, seconds double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for row in pdf.to_dict("records"):
+                began = time.perf_counter()
                 try:
-                    out.append({**row, **call(model, row), "error": None})
+                    found = {**call(model, row), "error": None}
                 except Exception as e:
                     if model.on_error == "abort":
                         raise
-                    out.append({**row, **blank, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(out, columns=[*pdf.columns, *blank, "error"])
+                    found = {**blank, "error": f"{type(e).__name__}: {e}"}
+                out.append({**row, **found, "seconds": time.perf_counter() - began})
+            yield pd.DataFrame(out, columns=[*pdf.columns, *blank, "error", "seconds"])
 
     return rows.mapInPandas(run, schema)
 
 
-def classify(pages: DataFrame, model: Model, instructions: str = "Name the category of this page.") -> DataFrame:
-    """Pages with text -> + category, confidence, probabilities, input_tokens, output_tokens, error."""
+#: What a page of each category is, in our words.
+CRITERIA = {
+    "mortgage_closing_disclosure_seller": "the seller's closing disclosure: figures of the sale as they concern the seller",
+    "lender_rate_note": "a note or lock in which a lender states rate, terms and the promise to pay",
+    "title_rider": "a rider that adds to or changes a title or security instrument",
+    "property_tax_record_information_sheet": "a sheet on the property's tax record, parcel or assessment",
+    "title_signature_name_affidavit_ack": "an affidavit on a signature or name, or a notary's acknowledgement",
+    "other": "anything else, and pages that cannot be told",
+}
+PROMPT_VERSION = "1"
+
+
+def criteria() -> str:
+    return "\n".join(f"{name}: {CRITERIA[name]}" for name in CATEGORIES)
+
+
+def object_schema(properties: dict) -> dict:
+    return {"type": "object", "properties": properties, "required": list(properties), "additionalProperties": False}
+
+
+def classify(pages: DataFrame, model: Model, instructions: str = "Which of these is the page, by its text? Choose other when in doubt.") -> DataFrame:
+    """Pages with text -> + category, confidence, probabilities, input_tokens, output_tokens, error, seconds."""
 
     def call(m: Model, row: dict) -> dict:
-        return classification(m.ask({"state": row["text"], "questions": {"page_category": {"type": "choice", "instructions": instructions, "choices": list(CATEGORIES)}}}))
+        question = {"type": "choice", "instructions": instructions, "choices": list(CATEGORIES), "criteria": CRITERIA}
+        return classification(m.ask({"state": row["text"], "questions": {"page_category": question}}))
 
     columns = "category string, confidence double, probabilities map<string,double>, input_tokens long, output_tokens long"
     return _each(pages, model, call, columns, dict.fromkeys(("category", "confidence", "probabilities", "input_tokens", "output_tokens")))
 
 
-def verify(pages: DataFrame, model: Model, prompt: str = "Answer with a JSON object whose only key is category.") -> DataFrame:
-    """Pages with text -> + verifier_category, error; use a model with on_error ``record``."""
+def verify(pages: DataFrame, model: Model, prompt: str = "Answer with a JSON object whose only key is category, one of these names:") -> DataFrame:
+    """Pages with text -> + verifier_category, error, seconds; use a model with on_error ``record``."""
+    schema = object_schema({"category": {"type": "string", "enum": list(CATEGORIES)}})
 
     def call(m: Model, row: dict) -> dict:
-        return {"verifier_category": second_category(m.ask({"messages": [{"role": "system", "content": f"{prompt} One of: {', '.join(CATEGORIES)}."}, {"role": "user", "content": row["text"]}], "stream": False}))}
+        return {"verifier_category": second_category(m.chat(f"{prompt}\n{criteria()}", row["text"], schema))}
 
     return _each(pages, model, call, "verifier_category string", {"verifier_category": None})
 
 
 def extract(images: DataFrame, model: Model, prompt: str = "Answer with a JSON object of these fields, null if not on the page: ") -> DataFrame:
-    """Page images -> + extracted (a struct of the four fields), error."""
+    """Page images -> + extracted (a struct of the four fields), error, seconds."""
+    schema = object_schema({f: {"type": ["string", "null"]} for f in FIELDS})
 
     def call(m: Model, row: dict) -> dict:
         image = {"type": "image_url", "image_url": {"url": "data:image/png;base64," + base64.b64encode(row["image"]).decode()}}
-        return {"extracted": extraction(m.ask({"messages": [{"role": "system", "content": prompt + ", ".join(FIELDS)}, {"role": "user", "content": [image]}], "stream": False}))}
+        return {"extracted": extraction(m.chat(prompt + ", ".join(FIELDS), [image], schema))}
 
     return _each(images, model, call, f"extracted struct<{', '.join(f'{f}: string' for f in FIELDS)}>", {"extracted": None})
 
 
 def embed(pages: DataFrame, model: Model, prefix: str = "Document: ") -> DataFrame:
-    """Pages with text -> + vector; ``model.batch`` texts a request, within a worker's batch of rows."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", vector array<double>"
+    """Pages with text -> + vector, request (1 on the first page of a request, else 0), seconds (of the request, on that page).
+
+    ``model.batch`` texts go in a request, within a worker's batch of rows; the sums of request and seconds count them.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema) + ", vector array<double>, request int, seconds double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found: list[list[float]] = []
+            spent: list[float] = []
             texts = [prefix + " ".join(t.split()) for t in pdf["text"]]
             for at in range(0, len(texts), model.batch):
                 part = texts[at : at + model.batch]
+                began = time.perf_counter()
                 found += vectors(model.ask({"input": part}), len(part))
-            yield pdf.assign(vector=found)
+                spent += [time.perf_counter() - began] + [0.0] * (len(part) - 1)
+            yield pdf.assign(vector=found, request=[int(i % model.batch == 0) for i in range(len(texts))], seconds=spent)
 
     return pages.mapInPandas(run, schema)

@@ -22,6 +22,11 @@ def beside(path: str | Path, kind: str) -> Path:
     return path.with_name(name + SUFFIXES[kind])
 
 
+def stem(path: str | Path) -> str:
+    """A file's name without the suffix of its kind."""
+    return beside(Path(path).name, "ocr").name.removesuffix(SUFFIXES["ocr"])
+
+
 def auxiliary(inputs: list[str], kind: str, explicit: str | None = None) -> list[Path]:
     """Existing sibling reports of ``inputs``; an explicit one only with a single input."""
     if explicit is not None:

@@ -6,13 +6,14 @@ wrong is returned as violations (rule order, then file and position); ``strict``
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.scores import CATEGORIES, OTHER
-from quire.functions.text import page_ref
+from quire.functions.text import FIELDS, page_ref
 from quire.operators.coverage import repeated
 from quire.operators.validate import Rule, require, simplex, violations
 
@@ -20,14 +21,26 @@ WHOLE = "^(BIGINT|TINYINT|SMALLINT|INT)$"
 NUMBER = "^(BIGINT|TINYINT|SMALLINT|INT|DOUBLE|FLOAT|DECIMAL.*)$"
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as a file's metadata name it: absolute, with its scheme, encoded, one slash after the scheme."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub(r"^(\w+):/+", r"\1:/", system.makeQualified(where).toUri().toString())
+
+
 def read_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """input_ord, input_file, raw (VARIANT, null if the file is not one JSON object)."""
-    files = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "input_ord int, path string")
-    texts = spark.read.text(paths, wholetext=True).withColumn("input_file", F.col("_metadata.file_path"))
-    named = texts.join(F.broadcast(files), F.endswith("input_file", F.col("path")))  # as many rows as paths given
+    """input_ord, input_file, raw (VARIANT, null if the file is not one JSON object, or empty).
+
+    A path is one file, taken as it is written: no patterns. A path given twice is read as two inputs.
+    """
+    files = spark.createDataFrame([(i, p, _qualified(spark, p)) for i, p in enumerate(paths)], "input_ord int, input_file string, uri string")
+    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in dict.fromkeys(paths)]
+    texts = spark.read.text(plain, wholetext=True).withColumn("_uri", F.regexp_replace(F.col("_metadata.file_path"), r"^(\w+):/+", "$1:/"))
+    named = F.broadcast(files).join(texts, F.col("uri") == F.col("_uri"))  # as many rows as paths given
+    empty = files.join(texts.select("_uri").distinct(), F.col("uri") == F.col("_uri"), "left_anti")  # an empty file gives no row
     raw = F.try_parse_json("value")
     whole = F.schema_of_variant(raw).startswith("OBJECT")
-    return named.select("input_ord", "input_file", F.when(whole, raw).alias("raw"))
+    return named.select("input_ord", "input_file", F.when(whole, raw).alias("raw")).unionByName(empty.select("input_ord", "input_file", F.lit(None).cast("variant").alias("raw")))
 
 
 def kind(raw: Column, path: str) -> Column:
@@ -120,14 +133,16 @@ def load_ocr(spark: SparkSession, paths: list[str], strict: bool = True) -> Load
         ]
     )
     out = [
-        "input_ord", "input_file", "source", "page_number", page_ref(F.col("source"), F.col("page_number")).alias("page_ref"), "text",
+        "input_ord", "input_file", "position", "source", "page_number", page_ref(F.col("source"), F.col("page_number")).alias("page_ref"), "text",
         whole(p, "$.line_count").alias("line_count"), number(p, "$.mean_score").alias("mean_score"), number(p, "$.duration_seconds").alias("duration_seconds"),
     ]
     loaded = _load(rows, rules, strict, out)
-    twice = repeated(loaded.rows, ("page_ref",))
+    twice = repeated(loaded.rows.where("page_ref is not null"), ("page_ref",))
     if strict and (first := twice.orderBy("page_ref").first()):
         raise ValueError(f"page appears more than once: {first.page_ref}")
-    return loaded
+    again = loaded.rows.select("input_ord", "position", "page_ref").join(twice.select("page_ref"), "page_ref")
+    found = again.select(F.lit(len(rules)).alias("rule_no"), F.lit("page_ref twice").alias("rule"), "input_ord", F.col("position").cast("long").alias("position"), F.concat(F.lit("page appears more than once: "), F.col("page_ref")).alias("message"))
+    return Loaded(loaded.rows, loaded.violations.withColumn("position", F.col("position").cast("long")).unionByName(found))
 
 
 def load_classification(spark: SparkSession, paths: list[str], strict: bool = True) -> Loaded:
@@ -141,23 +156,47 @@ def load_classification(spark: SparkSession, paths: list[str], strict: bool = Tr
         .withColumn("review_reason", text(p, "$.review_reason"))
     )
     there = p.isNotNull() & ~absent(p, "$.category")
+    named = F.map_keys(F.try_variant_get(p, "$.probabilities", "map<string,variant>"))
+    known = F.array(*[F.lit(c) for c in CATEGORIES])
+    same_names = (F.size(F.array_except(named, known)) == 0) & (F.size(F.array_except(known, named)) == 0)
+    some_null = F.exists(F.map_entries("probabilities"), lambda e: e["value"].isNull() & F.array_contains(named, e["key"]))
     rules = _page_rules(
         [
             Rule("page_ref", p.isNotNull() & (F.coalesce("page_ref", F.lit("")) == ""), "page_ref is not a non-empty string"),
             Rule("category", there & ~F.coalesce(F.col("category").isin(*CATEGORIES), F.lit(False)), "unknown category"),
             Rule("confidence", there & ~F.coalesce(F.col("confidence").between(0, 1), F.lit(False)), "confidence is not a number in [0, 1]"),
             Rule("needs_review", p.isNotNull() & F.col("needs_review").isNull(), "needs_review is not a boolean"),
-            *[Rule(r.name, there & r.broken, r.message) for r in simplex()],
+            Rule("probability keys", there & ~F.coalesce(same_names, F.lit(False)), "probabilities do not name the categories"),
+            Rule("probability value", there & some_null, "a probability is not a number"),
+            *[Rule(r.name, there & r.broken, r.message) for r in simplex() if r.name != "probability keys"],
         ]
     )
-    out = ["input_ord", "input_file", "page_number", "page_ref", "category", "confidence", "probabilities", "needs_review", "review_reason", F.col("page").alias("raw")]
+    out = ["input_ord", "input_file", "position", "page_number", "page_ref", "category", "confidence", "probabilities", "needs_review", "review_reason", F.col("page").alias("raw")]
     return _load(rows, rules, strict, out)
 
 
 def category_signals(classified: DataFrame) -> DataFrame:
     """page_ref, category, confidence: null both for ``other``, for pages under review and for pages without category."""
     usable = (F.col("category") != OTHER) & ~F.coalesce("needs_review", F.lit(False))
-    return classified.select("page_ref", F.when(usable, F.col("category")).alias("category"), F.when(usable, F.col("confidence")).alias("confidence"))
+    order = [c for c in ("input_ord", "position") if c in classified.columns]
+    return classified.select(*order, "page_ref", F.when(usable, F.col("category")).alias("category"), F.when(usable, F.col("confidence")).alias("confidence"))
+
+
+def later_file_wins(signals: DataFrame, key: str = "page_ref") -> DataFrame:
+    """One row for each ``key``: of several, that of the last input file (by input_ord), and in one file of the last position."""
+    order = [c for c in ("input_ord", "position") if c in signals.columns]
+    rows = signals.select(key, F.struct(*order, F.struct(*[c for c in signals.columns if c != key]).alias("row")).alias("_r"), F.struct(*order).alias("_o"))
+    return rows.groupBy(key).agg(F.max_by("_r", "_o").alias("_r")).select(key, "_r.row.*")
+
+
+def category_labels(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """category, label from the ``categories`` objects of classification reports; ValueError unless each has non-empty strings and names ``other``."""
+    reports = read_reports(spark, paths)
+    named = reports.select("input_ord", "input_file", F.try_variant_get("raw", "$.categories", "map<string,string>").alias("labels"))
+    sound = (F.size("labels") > 0) & F.map_contains_key("labels", OTHER) & F.forall(F.map_values("labels"), lambda v: F.coalesce(v != "", F.lit(False))) & ~F.map_contains_key("labels", "")
+    if first := named.where(~F.coalesce(sound, F.lit(False))).orderBy("input_ord").first():  # one row a file
+        raise ValueError(f"{first.input_file}: categories must map names to labels and name {OTHER!r}")
+    return named.select(F.explode("labels").alias("category", "label")).distinct()
 
 
 def printed_number(value: Column, strict: bool = False) -> Column:
@@ -168,6 +207,39 @@ def printed_number(value: Column, strict: bool = False) -> Column:
 
 
 def load_printed_numbers(spark: SparkSession, paths: list[str], strict: bool = False) -> DataFrame:
-    """page_ref, printed_number from extraction reports."""
-    rows = pages_of(read_reports(spark, paths)).where("page is not null")
-    return rows.select(text(F.col("page"), "$.page_ref").alias("page_ref"), printed_number(text(F.col("page"), "$.extracted.page_number"), strict).alias("printed_number"))
+    """page_ref, printed_number from extraction reports; ``strict`` raises on the first page that is not sound."""
+    rows = extraction_pages(spark, paths)
+    if strict:
+        require(rows, extraction_rules(), ["input_ord", "position"])
+    return rows.where("page is not null").select("input_ord", "position", "page_ref", printed_number(F.col("printed"), strict).alias("printed_number"))
+
+
+def extraction_pages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Pages of extraction reports: input_ord, input_file, position, page (VARIANT), page_number, page_ref, printed, and for each
+    field similarity and needs_review, null where they are absent or of another type."""
+    p = F.col("page")
+    rows = pages_of(read_reports(spark, paths)).withColumn("page_number", whole(p, "$.page_number")).withColumn("page_ref", text(p, "$.page_ref"))
+    rows = rows.withColumn("printed", text(p, "$.extracted.page_number"))
+    for f in FIELDS:
+        rows = rows.withColumn(f"{f}_similarity", number(p, f"$.verification.{f}.similarity")).withColumn(f"{f}_needs_review", flag(p, f"$.verification.{f}.needs_review"))
+    return rows
+
+
+def extraction_rules() -> list[Rule]:
+    """What an extraction page must be: an object with a page_ref, string or null fields, and for each checked field a similarity in [0, 1] or
+    null and a boolean flag."""
+    p = F.col("page")
+    there = p.isNotNull() & F.schema_of_variant(p).startswith("OBJECT")
+    out = [
+        Rule("object", F.col("raw").isNull(), "the file is not a JSON object"),
+        Rule("pages", F.col("raw").isNotNull() & p.isNull(), "no pages"),
+        Rule("page", p.isNotNull() & ~there, "a page is not an object"),
+        Rule("page_ref", there & (F.coalesce("page_ref", F.lit("")) == ""), "page_ref is not a non-empty string"),
+        Rule("extracted", there & ~F.coalesce(kind(p, "$.extracted").startswith("OBJECT"), F.lit(False)), "extracted is not an object"),
+        Rule("printed number", there & ~absent(p, "$.extracted.page_number") & F.col("printed").isNull(), "the printed page number is not a string or null"),
+    ]
+    for f in FIELDS:
+        checked, like = ~absent(p, f"$.verification.{f}"), F.col(f"{f}_similarity")
+        out.append(Rule(f"{f} similarity", checked & ~absent(p, f"$.verification.{f}.similarity") & ~F.coalesce(like.between(0, 1), F.lit(False)), f"similarity of {f} is not a number in [0, 1] or null"))
+        out.append(Rule(f"{f} review flag", checked & F.col(f"{f}_needs_review").isNull(), f"needs_review of {f} is not a boolean"))
+    return out

@@ -34,5 +34,9 @@ def one_report(df: DataFrame, *columns: str) -> str:
     return json.dumps(json.loads(rows[0].value), ensure_ascii=False, indent=2)
 
 
+def write_text(path: str | Path, report: str) -> None:
+    Path(path).write_text(report + "\n", encoding="utf-8")
+
+
 def write_one_report(df: DataFrame, path: str | Path, *columns: str) -> None:
-    Path(path).write_text(one_report(df, *columns) + "\n", encoding="utf-8")
+    write_text(path, one_report(df, *columns))

@@ -87,7 +87,7 @@ def test_reviews(spark):
         1: ("accepted", False, None), 2: ("disagreement", True, "verifier disagreement"), 3: ("verifier_failed", True, "verifier failed"),
         4: ("not_triggered", False, None), 5: ("not_triggered", True, "empty text"), 6: ("mutual_other", True, "other"),
     }
-    assert tuple(review.verification_summary(done).first()) == (6, 4, 1, 1, 1, 1, 4, 4)
+    assert tuple(review.verification_summary(done).first())[:8] == (6, 4, 1, 1, 1, 1, 4, 4)
     labels = {r.page_number: r for r in review.page_labels(done.withColumn("mismatches", F.array().cast("array<string>"))).collect()}
     assert labels[5].label == "other" and labels[5].confidence is None and labels[5].notes == "empty text"
 

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from quire.plans.queries import ORACLE_SQL, QUERIES
+from quire.plans.report_queries import ORACLE_SQL, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,9 +95,13 @@ def test_scans(spark, tmp_path):
     def engine():
         return lambda image: [(bytes(image).decode(), 0.5), (str(len(image)), 1.0)]
 
-    pages = scans.render_pages(scans.read_pdfs(spark, [str(tmp_path)]), renderer)
+    pages = scans.render_pages(scans.read_pdfs(spark, [str(tmp_path)]), renderer, on_error="record")
     assert [r.source for r in pages.where("error like '%broken%'").collect()] == ["b.pdf"]
-    got = sorted((r.source, r.page_number, r.text, r.line_count, r.mean_score) for r in scans.recognise(pages, engine).collect())
+    read = scans.recognise(pages, engine).collect()
+    assert [(r.source, "broken" in r.error) for r in read if r.error] == [("b.pdf", True)]  # a file that fails is not lost
+    with pytest.raises(Exception, match="cannot render b.pdf"):
+        scans.render_pages(scans.read_pdfs(spark, [str(tmp_path)]), renderer).collect()
+    got = sorted((r.source, r.page_number, r.text, r.line_count, r.mean_score) for r in read if not r.error)
     assert got == [("a.PDF", 1, "one\n3", 2, 0.75), ("a.PDF", 2, "two\n3", 2, 0.75)]
 
 
@@ -106,7 +111,10 @@ def test_answers_are_checked():
     assert models.classification(answer)["confidence"] == 0.7
     for change in ({"choice": "poem"}, {"confidence": True}, {"probabilities": shares | {"other": 0.5}}, {"type": "text"}):
         with pytest.raises(models.AnswerError):
-            models.classification({"answers": {"page_category": answer["answers"]["page_category"] | change}})
+            models.classification(answer | {"answers": {"page_category": answer["answers"]["page_category"] | change}})
+    for usage in (None, {}, {"input_tokens": 3}, {"input_tokens": 3.0, "output_tokens": 1}, {"input_tokens": True, "output_tokens": 1}, {"input_tokens": -1, "output_tokens": 1}):
+        with pytest.raises(models.AnswerError):
+            models.classification(answer | {"usage": usage})
     chat = lambda text, **more: {"choices": [{"message": {"content": text}, **more}]}
     assert models.second_category(chat('```json\n{"category": "other"}\n```')) == "other"
     assert models.second_category(chat('so: {"category": "other"} ok')) == "other"
@@ -158,14 +166,83 @@ def test_command_line_and_sinks(spark, tmp_path, capsys):
     path = write(tmp_path, "a.ocr.json", ocr([{"page_number": i, "text": "x"} for i in (1, 2, 3)]))
     write(tmp_path, "a.categories.json", {"pages": [classified_page(i, "title_rider") for i in (1, 2, 3)]})
     spark.createDataFrame([("a.pdf#page-1", [1.0, 0.0]), ("a.pdf#page-2", [1.0, 0.1]), ("a.pdf#page-3", [-1.0, 0.0])], "page_ref string, vector array<double>").write.parquet(str(tmp_path / "v"))
-    assert cli.main(["match", path, "--vectors", str(tmp_path / "v")]) == 0
+    assert cli.main(["match", path, "--stdout", "--vectors", str(tmp_path / "v")]) == 0
     report = json.loads(capsys.readouterr().out)
-    assert [g["pages"] for g in report["groups"]] == [[1, 2]] and report["summary"][0]["unique_page_count"] == 1
-    assert cli.main(["match", path, "--vectors", str(tmp_path / "v"), "--threshold", "7"]) == 1
+    assert [g["page_refs"] for g in report["groups"]] == [["a.pdf#page-1", "a.pdf#page-2"]] and report["summary"]["unique_page_count"] == 1
+    assert report["groups"][0]["members"][0]["edge"] is None and report["groups"][0]["members"][1]["edge"]["signals"]["category_match"] > 0
+    for wrong in (["--threshold", "7"], ["--min-embedding-similarity", "-2"], ["--categories-json", str(tmp_path / "none.json")]):
+        assert cli.main(["match", path, "--stdout", "--vectors", str(tmp_path / "v"), *wrong]) == 1
     df = spark.createDataFrame([(None, "ü")], "a string, b string")
     assert sinks.one_report(df) == '{\n  "a": null,\n  "b": "ü"\n}'
 
 
+def fake_server(url, payload=None, timeout=1.0):
+    return fake(url.rsplit("/", 1)[-1], payload, timeout)
+
+
+def page_renderer():
+    return lambda content, dpi: enumerate(content.split(b"|"), start=1)
+
+
+def line_engine():
+    return lambda image: [(line, 0.5) for line in bytes(image).decode().split(";") if line.strip()]
+
+
+def test_every_command(spark, tmp_path, capsys):
+    """Each command runs from files to reports beside them, and the whole pipeline gives the same documents."""
+    folder = tmp_path / "my files"
+    folder.mkdir()
+    (folder / "a.pdf").write_bytes(b"a rider L77;1|more rider l77|a note 9|  ")
+    (folder / "b.pdf").write_bytes(b"note 5 L77")
+    pdfs, tools = [str(folder / n) for n in ("a.pdf", "b.pdf")], cli.Tools(fake_server, page_renderer, line_engine, "lines", "none")
+    run = lambda *argv: cli.main(list(argv), tools)
+    at = lambda kind: [str(folder / f"{n}.{kind}.json") for n in "ab"]
+    read = lambda path: json.loads(open(path, encoding="utf-8").read())
+    assert run("ocr", *pdfs) == 0
+    texts = read(at("ocr")[0])
+    assert [p["text"] for p in texts["pages"]] == ["a rider L77\n1", "more rider l77", "a note 9", ""] and texts["engine"] == "lines" and texts["device"] == "none"
+    assert run("classify", *at("ocr"), "--base-url", "classify") == 0
+    found = read(at("categories")[0])
+    assert [p["category"] for p in found["pages"]] == ["title_rider", "title_rider", "lender_rate_note", None] and found["usage"] == {"input_tokens": 3, "output_tokens": 3, "requests": 3}
+    assert found["skipped_pages"][0]["reason"] == "empty text" and found["summary"]["category_counts"]["other"] == 0 and found["pages"][0]["ocr_reference"]["line_count"] == 2
+    assert run("verify", *at("categories"), "--base-url", "verify") == 0
+    assert [p["verification"]["resolution"] for p in read(at("category_review")[0])["pages"]] == ["accepted", "accepted", "verifier_failed", "not_triggered"]
+    assert run("extract", *pdfs, "--base-url", "extract") == 0
+    checked = read(at("vlm")[0])
+    assert checked["pages"][0]["verification"]["loan_number"]["status"] == "ok" and checked["pages"][0]["normalized"]["loan_number"] == "l77" and checked["timings"]["requests"] == 4
+    assert run("match", *at("ocr"), "--base-url", "embed") == 0
+    groups = read(at("matches")[0])
+    assert [g["page_refs"] for g in groups["groups"]] == [["a.pdf#page-1", "a.pdf#page-2"]] and groups["skipped_pages"][0]["page_ref"] == "a.pdf#page-4" and read(at("matches")[1])["groups"] == []
+    assert run("pipeline", *pdfs, "--classify-base-url", "classify", "--verify-base-url", "verify", "--extract-base-url", "extract", "--embed-base-url", "embed") == 0
+    result = read(at("result")[0])
+    assert [(d["label"], d["pages"]) for d in result["documents"]] == [("title_rider", [1, 2]), ("lender_rate_note", [3]), ("other", [4])]
+    assert result["loan_level_fields"]["loan_number"]["source_pages"] == [1, 2] and set(result["timings"]["stages_seconds"]) == {"render", "ocr", "models_and_matching"}
+    assert run("texts", *at("ocr")) == 0 and json.loads(capsys.readouterr().out)["violations"] == []
+    (folder / "b.pdf").write_bytes(b"note 5|too many")
+    assert run("extract", *pdfs, "--base-url", "extract") == 1 and run("classify", str(folder / "none.json")) == 1
+
+
+def test_reports_are_found_by_any_spelling_of_their_path(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "a b [c]" / "sub"
+    folder.mkdir(parents=True)
+    names = ["a.ocr.json", "sub/a.ocr.json", "sub/ü %20.ocr.json"]
+    for i, n in enumerate(names):
+        write(folder.parent, n, ocr([{"page_number": 1, "text": f"t{i}"}]) | {"source": f"s{i}"})
+    monkeypatch.chdir(folder.parent)
+    for given in (names, [str(folder.parent / n) for n in names], [f"./{n}" for n in names], [f"file://{folder.parent / n}" for n in names]):
+        if given[0].startswith("."):  # relative paths are the JVM's, whose folder does not change
+            given = [os.path.relpath(folder.parent / n, spark.sparkContext._jvm.java.lang.System.getProperty("user.dir")) for n in names]
+        if not given[0].startswith(("/", "file", "..")):
+            continue
+        rows = reports.load_ocr(spark, given).rows.collect()
+        assert sorted((r.input_ord, r.source, r.text) for r in rows) == [(i, f"s{i}", f"t{i}") for i in range(3)]
+    (folder / "empty.json").write_text("")
+    broken = reports.load_ocr(spark, [str(folder / "empty.json"), str(folder / "a.ocr.json")], strict=False).violations.collect()
+    assert [(r.input_ord, r.rule) for r in broken] == [(0, "object"), (0, "source")] or [(r.input_ord, r.rule) for r in broken] == [(0, "object")]
+    again = reports.load_ocr(spark, [str(folder / "a.ocr.json")] * 2, strict=False).violations.collect()
+    assert [r.rule for r in again] == ["page_ref twice"] * 2
+
+
 def test_stream(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
