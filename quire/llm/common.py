@@ -24,8 +24,11 @@ _scratch: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _FALLBACK_DIR
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one where that is unset and all run on one machine."""
+    known = spark.conf.get("spark.checkpoint.dir", None)
+    if not known and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
+    return known or _FALLBACK_DIR
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,10 +1,13 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Symbols are the bytes of the ASCII-lower-cased text folded to 64 classes by ``classes``. All n-grams of all trusted texts
-are counted; counts, continuation counts, discounts, context totals and lower orders meet in joins sharded by context (Chen &
-Goodman 1999). The result, a probability for each of the 64**4 grams, has a fixed size (64 MB of float32) and is broadcast;
-a document's perplexity is then a sum of lookups over its whole text. A document is kept if its perplexity is
-at most its language's quantile over trusted documents, times a margin.
+Symbols are the bytes of the ASCII-lower-cased text and its end. All n-grams of all trusted training texts are counted; counts,
+continuation counts, discounts, context totals and lower orders meet in joins sharded by gram and context (Chen & Goodman 1999), and
+nothing of the model is gathered or broadcast. Documents ask for probabilities in blocks, the partitions of their scan: each block's
+distinct grams are listed, all distinct grams get their probability by joins with the counts, order by order, and return to
+their blocks, where the texts are summed up by looking their grams up. So a gram is joined once a block, not once an occurrence.
+
+One trusted document in CALIBRATE is left out of the counts; these give the quantiles: a document is kept if its perplexity is
+at most its language's quantile over them.
 """
 
 from __future__ import annotations
@@ -16,65 +19,68 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, in_arrow, save
+from quire.llm.common import binary_rows, documents, in_arrow, partitions, save
 
-ORDER = 4
-BITS = 6
+ORDER = 5
+BITS = 9
 SIZE = 1 << BITS
-EDGE = SIZE - 1
+EDGE = 256
+SYMBOLS = 257
 QUANTILE = 0.99
-MARGIN = 1.15
-#: Symbols of slack: the limit of a text of n symbols is SHORT / n higher, as short texts' perplexities scatter.
-SHORT = 4
+#: One trusted document in so many is for the quantiles only.
+CALIBRATE = 5
+#: Distinct grams that a task holds before it passes them on.
+HELD_GRAMS = 2_000_000
 #: Trusted ids that are broadcast to pick the training texts; beyond it the texts are shuffled to them.
 BROADCAST_IDS = 2_000_000
 BROADCAST_LANGUAGES = 10_000
 
 
-def classes() -> np.ndarray:
-    """byte -> class: 0-25 letters, 26 digits, 27 blanks, 28 line ends, 29-44 the commonest marks, 45 other marks and
-    controls, 46-61 bytes above 127 by their low four bits; EDGE is no byte."""
-    out = np.full(256, 45, dtype=np.int64)
-    for i in range(26):
-        out[ord("a") + i] = out[ord("A") + i] = i
-    out[48:58] = 26
-    out[[9, 32]], out[[10, 11, 12, 13]] = 27, 28
-    for i, c in enumerate(".,;:!?'\"-()|%&*#"):
-        out[ord(c)] = 29 + i
-    out[128:] = 46 + np.arange(128) % 16
-    return out
-
-
-CLASSES = classes()
-
-
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Packed n-grams of all texts, each padded with ORDER - 1 edges before and one after, and how many each has."""
-    pad = np.full(ORDER - 1, EDGE, dtype=np.int64)
-    out, counts = [], []
-    for t in texts:
-        codes = np.concatenate([pad, CLASSES[np.frombuffer(t, dtype=np.uint8)], [EDGE]])
-        n = len(codes) - ORDER + 1
-        packed = codes[:n]
-        for k in range(1, ORDER):
-            packed = packed << BITS | codes[k : k + n]
-        out.append(packed)
-        counts.append(n)
-    return np.concatenate([np.empty(0, dtype=np.int64), *out]), np.array(counts, dtype=np.int64)
+    pad, end = np.full(ORDER - 1, EDGE, dtype=np.int64), np.array([EDGE])
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    parts = [x for t in texts for x in (pad, np.frombuffer(t.lower(), dtype=np.uint8), end)]
+    codes = np.concatenate([np.empty(0, dtype=np.int64), *parts]).astype(np.int64)
+    packed = codes[: max(0, len(codes) - ORDER + 1)]
+    for k in range(1, ORDER):
+        packed = packed << BITS | codes[k : k + len(packed)]
+    # of the grams that begin at each place, those that begin in the last ORDER - 1 places of a text's codes belong to none
+    begins = np.cumsum(lengths + ORDER) - (lengths + ORDER)
+    own = np.repeat(begins, lengths + 1) + np.arange(int((lengths + 1).sum())) - np.repeat(np.cumsum(lengths + 1) - (lengths + 1), lengths + 1)
+    return packed[own], lengths + 1
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of all parts, with their counts summed."""
+    every, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+    found, at = np.unique(every, return_inverse=True)
+    return found, np.bincount(at, weights=counts).astype(np.int64)
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Grams and counts of a task's texts, with a piece of the batch that they end in: all at once, or HELD_GRAMS and more at a time."""
+    held, n, last = [], 0, None
+    for piece, texts in binary_rows(batches):
+        last = piece.slice(0, 1)
+        held.append(np.unique(grams(texts)[0], return_counts=True))
+        n += len(held[-1][0])
+        if n > 2 * HELD_GRAMS:
+            held = [_merged(held)]
+            n = len(held[0][0])
+            if n > HELD_GRAMS:
+                yield last, *held[0]
+                held, n = [], 0
+    if held:
+        yield last, *_merged(held)
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, c) over all of ``texts``: counted in a dense table by each task, then summed by gram."""
+    """(gram, c) over all of ``texts``: counted by each task, then summed by gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros(SIZE**ORDER, dtype=np.int32)
-        for _, texts in binary_rows(batches):
-            found, n = np.unique(grams(texts)[0], return_counts=True)
-            dense[found] += n.astype(np.int32)
-        some = np.flatnonzero(dense)
-        for at in range(0, len(some), 1 << 17):
-            part = some[at : at + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(dense[part].astype(np.int64))], names=["gram", "c"])
+        for _, found, counts in _distinct(batches):
+            yield from pa.Table.from_arrays([pa.array(found), pa.array(counts)], names=["gram", "c"]).to_batches(1 << 17)
 
     return in_arrow(texts.select(F.col("text").cast("binary").alias("text")), run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
@@ -91,7 +97,7 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 
 def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order from 1: (gram, p) discounted shares of the seen grams, and (context, back) weights of the lower order.
+    """For each order from 1: (gram, share) discounted shares of the seen grams, and (context, back) weights of the lower order.
 
     The highest order has counts; a lower order's count is the number of different symbols seen before the gram.
     """
@@ -104,64 +110,106 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
         rows = table.withColumn("context", F.shiftright("gram", BITS)).withColumn("off", off)
         totals = rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("off").alias("given"))
-        shares = rows.join(totals, "context").select("gram", ((F.col("c") - F.col("off")) / F.col("total")).alias("p"))
+        shares = rows.join(totals.hint("merge"), "context").select("gram", ((F.col("c") - F.col("off")) / F.col("total")).alias("share"))
         out.append((shares, totals.select("context", (F.col("given") / F.col("total")).alias("back"))))
     return out
 
 
-def table(counts: DataFrame) -> np.ndarray:
-    """Natural log probability of each gram's last symbol given the others; uniform where nothing was seen."""
-    p = np.full(1, 1 / SIZE)
-    for k, (shares, back) in enumerate(kneser_ney(counts), start=1):
-        weight = np.ones(SIZE ** (k - 1))
-        b = back.toArrow()  # at most 64**(k - 1) rows
-        weight[b["context"].to_numpy()] = b["back"].to_numpy()
-        lower = np.full((1, SIZE), 1 / SIZE) if k == 1 else p.reshape(-1, SIZE)  # by (shorter context, symbol)
-        times = SIZE ** (k - 1) // len(lower)
-        p = (weight.reshape(times, len(lower), 1) * lower[None]).reshape(-1) if k > 1 else weight[0] * lower.reshape(-1)
-        s = shares.toArrow()  # at most 64**k rows
-        p[s["gram"].to_numpy()] += s["p"].to_numpy()
-    return np.log(p).astype(np.float32)
-
-
-def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the documents that any label marks with quality 1."""
-    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    rows = docs.select("doc_id", "text")
-    if ids.count() <= BROADCAST_IDS:
-        return rows.join(F.broadcast(ids), "doc_id", "left_semi")
-    return rows.join(ids.hint("merge"), "doc_id", "left_semi")
-
-
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, threshold, keep for every row of ``docs``.
+def probabilities(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(gram, p): the probability of each gram's last symbol after the others, for all grams of ``asked`` (gram, distinct)."""
+    wanted = [asked]
+    for k in range(ORDER - 1, 0, -1):
+        wanted.insert(0, save(wanted[0].select((F.col("gram") % SIZE**k).alias("gram")).distinct(), f"asked-{k}"))
+    lower = None
+    for k, (rows, (shares, back)) in enumerate(zip(wanted, model, strict=True), start=1):
+        rows = rows.withColumn("context", F.shiftright("gram", BITS)).withColumn("shorter", F.col("gram") % SIZE ** (k - 1))
+        rows = rows.join(shares.hint("merge"), "gram", "left").join(back.hint("merge"), "context", "left")
+        less = F.lit(1 / SYMBOLS)
+        if lower is not None:
+            rows = rows.join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("less")).hint("merge"), "shorter")
+            less = F.col("less")
+        lower = save(rows.select("gram", (F.coalesce("share", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * less).alias("p")), f"p-{k}")
+    return lower
+
+
+def trusted_ids(labels: DataFrame, calibrate: bool) -> DataFrame:
+    """doc_id of what any label marks with quality 1: what is counted, or what is left for the quantiles."""
+    ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    left_out = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(CALIBRATE)) == 0
+    return ids.where(left_out if calibrate else ~left_out)
+
+
+def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
+    return rows.join(ids, "doc_id", "left_semi")
+
+
+def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """doc_id, lang, n_symbols, perplexity of every row of ``docs`` (doc_id, lang, text: binary), read twice: it must be a table or saved."""
+    n = partitions(docs.sparkSession)
+    blocks = docs.withColumn("block", F.spark_partition_id())  # the same in both scans of a table
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, found, _ in _distinct(batches):
+            block = pa.array(np.full(len(found), piece.column(0)[0].as_py(), dtype=np.int32))
+            yield from pa.Table.from_arrays([block, pa.array(found)], names=["block", "gram"]).to_batches(1 << 17)
+
+    asked = save(in_arrow(blocks.select("block", "text"), ask, "block int, gram long"), "asked")
+    p = probabilities(save(asked.select("gram").distinct(), f"asked-{ORDER}"), model)
+    # one list of grams and log probabilities a block, before its texts
+    told = asked.hint("merge").join(p, "gram").select("block", F.lit(0).alias("kind"), "gram", F.ln("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("text"))
+    rows = blocks.select("block", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text")
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, known, logs = None, [], None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.asarray(batch.column(0)).astype(np.int64) * 2 + np.asarray(batch.column(1))
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                piece, block, kind = batch.slice(a, b - a), key[a] // 2, key[a] % 2
+                if block != now:
+                    now, parts, known = block, [], None
+                if kind == 0:
+                    parts.append((np.asarray(piece.column(2)), np.asarray(piece.column(3))))
+                    continue
+                if known is None:
+                    known, logs = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    order = np.argsort(known)
+                    known, logs, parts = known[order], logs[order], []
+                for part, texts in binary_rows(iter([piece])):
+                    packed, size = grams(texts)
+                    at = np.minimum(np.searchsorted(known, packed), len(known) - 1)
+                    if not np.array_equal(known[at], packed):
+                        raise RuntimeError("the two scans of the documents were split into different partitions; save them first")
+                    sums = np.add.reduceat(logs[at], np.cumsum(size) - size)
+                    yield pa.RecordBatch.from_arrays([part.column(4), part.column(5), pa.array(size), pa.array(np.exp(-sums / size))], names=["doc_id", "lang", "n_symbols", "perplexity"])
+
+    met = told.unionByName(rows).repartition(n, "block").sortWithinPartitions("block", "kind")
+    return in_arrow(met, add_up, "doc_id long, lang string, n_symbols long, perplexity double")
+
+
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """doc_id, lang, n_symbols, perplexity, threshold, keep for every row of ``docs``, a table (or saved: it is scanned twice).
 
     perplexity: per symbol, the end of the text included. Null and empty texts are one symbol, the end. threshold: the
-    language's quantile of the perplexity of its trusted documents, times ``margin``; all trusted documents' for a
-    language without any, and for a null one (texts of n symbols are allowed SHORT / n more); without trusted documents at all it is null and everything is kept.
-    Repeated rows score alike, rows with a null doc_id are never trusted; other columns are ignored and an empty table gives an empty result.
+    language's quantile of the perplexity of the trusted documents that are left out of the counts; all of theirs for a
+    language without any, and for a null one; without such documents at all it is null and everything is kept. Without trusted
+    text every symbol is as likely as any other. Repeated rows score alike, rows with a null doc_id are never trusted; other
+    columns are ignored and an empty table gives an empty result.
     """
-    log_p = docs.sparkSession.sparkContext.broadcast(table(gram_counts(trusted_texts(docs, labels))))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, texts in binary_rows(batches):
-            packed, n = grams(texts)
-            sums = np.add.reduceat(log_p.value[packed].astype(np.float64), np.cumsum(n) - n)
-            columns = [piece.column(0), piece.column(1), pa.array(n), pa.array(np.exp(-sums / n))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_symbols", "perplexity"])
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
-    scored = save(in_arrow(rows, run, "doc_id long, lang string, n_symbols long, perplexity double"), "perplexity")
-    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    trusted = scored.join(ids, "doc_id", "left_semi")
-    limit = F.percentile_approx("perplexity", quantile, 10000) * margin
-    overall = trusted.agg(limit.alias("t")).first()[0]
-    limits = trusted.where("lang is not null").groupBy("lang").agg(limit.alias("threshold"))
-    limits = save(limits, "limits")
+    model = kneser_ney(gram_counts(_of(rows.select("doc_id", "text"), trusted_ids(labels, calibrate=False))))
+    scored = save(perplexities(rows, model), "perplexity")
+    held_out = save(_of(scored, trusted_ids(labels, calibrate=True)), "calibration")
+    limit = F.percentile_approx("perplexity", quantile, 10000)
+    overall = held_out.agg(limit.alias("t")).first()[0]
+    limits = save(held_out.where("lang is not null").groupBy("lang").agg(limit.alias("threshold")), "limits")
     if limits.count() <= BROADCAST_LANGUAGES:  # else a large language is split like any skewed key
         limits = F.broadcast(limits)
     out = scored.join(limits, "lang", "left").withColumn("threshold", F.coalesce("threshold", F.lit(overall).cast("double")))
-    return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold") * (1 + SHORT / F.col("n_symbols")), F.lit(True)).alias("keep"))
+    return out.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
 
 
 def op4_query(spark, sf_dir):

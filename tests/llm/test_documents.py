@@ -283,23 +283,78 @@ def test_code_is_a_probability():
     assert one[0] > one[1]
 
 
+def plain_kneser_ney(texts):
+    """gram (tuple) -> probability of its last symbol, by the definition, one dictionary an order."""
+    n = quality.ORDER
+    padded = [[256] * (n - 1) + list(t.lower()) + [256] for t in texts]
+    orders = {n: Counter(tuple(t[i : i + n]) for t in padded for i in range(len(t) - n + 1))}
+    for k in range(n - 1, 0, -1):
+        orders[k] = Counter(g[1:] for g in orders[k + 1])
+    off, context, given = {}, {}, {}
+    for k, counts in orders.items():
+        n1, n2, n3, n4 = (sum(c == j for c in counts.values()) for j in (1, 2, 3, 4))
+        if n1 and n2 and n3:
+            y = n1 / (n1 + 2 * n2)
+            found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+            off[k] = [min(max(d, 0.05), j - 0.05) for j, d in zip((1, 2, 3), found, strict=True)]
+        else:
+            off[k] = [0.5, 1.0, 1.5]
+        for g, c in counts.items():
+            context[k, g[:-1]] = context.get((k, g[:-1]), 0) + c
+            given[k, g[:-1]] = given.get((k, g[:-1]), 0.0) + off[k][min(c, 3) - 1]
+
+    def p(g):
+        if not g:
+            return 1 / 257
+        k, c = len(g), orders[len(g)].get(g, 0)
+        less = p(g[1:])
+        if (k, g[:-1]) not in context:
+            return less
+        total = context[k, g[:-1]]
+        return (c - off[k][min(c, 3) - 1] if c else 0.0) / total + given[k, g[:-1]] / total * less
+
+    return p
+
+
 def test_quality(spark, docs, empty):
+    """Perplexities, thresholds and decisions as a plain model of the same texts gives them."""
     junk = [(100 + i, "@@## %%% " * 30, "en", "s", 270) for i in range(5)]
     every = docs.select("doc_id", "text", "lang", "source", "n_chars").union(spark.createDataFrame(junk, "doc_id long, text string, lang string, source string, n_chars long"))
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(6, 40)] + [(None, 1, 0), (101, 0, 0), (102, None, None)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6, 40)] + [(6, 0, 0), (None, 1, 0), (101, 0, 0), (102, None, None)], "doc_id long, quality int, toxic int")
+    rows = [(r.doc_id, r.lang, (r.text or "").encode()) for r in every.collect()]
+    left_out = {r.doc_id for r in quality.trusted_ids(labels, calibrate=True).collect()}
+    counted = {r.doc_id for r in quality.trusted_ids(labels, calibrate=False).collect()}
+    assert left_out and not left_out & counted and left_out | counted == set(range(6, 40))
+    p = plain_kneser_ney([t for i, _, t in rows if i in counted])
+    score = {}
+    for _, _, t in rows:
+        codes = [256] * (quality.ORDER - 1) + list(t.lower()) + [256]
+        logs = [np.log(p(tuple(codes[i : i + quality.ORDER]))) for i in range(len(t) + 1)]
+        score[t] = float(np.exp(-np.mean(logs)))
+    held = [(lang, score[t]) for i, lang, t in rows if i in left_out]
+    limit = lambda xs: sorted(xs)[max(0, int(np.ceil(quality.QUANTILE * len(xs))) - 1)]
+    overall = limit([x for _, x in held])
+    by = {lang: limit([x for g, x in held if g == lang]) for lang, _ in held}
+    want = Counter((i, lang, len(t) + 1, round(score[t], 6), round(by.get(lang, overall), 6), score[t] <= by.get(lang, overall) + 1e-9) for i, lang, t in rows)
     out = quality.quality(every, labels).collect()
-    assert len(out) == every.count()
+    assert Counter((r.doc_id, r.lang, r.n_symbols, round(r.perplexity, 6), round(r.threshold, 6), r.keep) for r in out) == want
     assert not any(r.keep for r in out if r.doc_id is not None and r.doc_id >= 100)
-    assert sum(r.keep for r in out if r.doc_id is not None and 6 <= r.doc_id < 40) >= 32
     nothing = labels.limit(0)
-    assert all(r.keep for r in quality.quality(every, nothing).collect())
+    plain = quality.quality(every, nothing).collect()
+    assert all(r.keep and r.threshold is None and r.perplexity == pytest.approx(257) for r in plain)
     assert quality.quality(empty, labels).count() == 0
 
 
 def test_kneser_ney_sums_to_one(spark):
     texts = spark.createDataFrame([("the cat sat on the mat.",), ("the dog sat.",)], "text string")
-    p = np.exp(quality.table(quality.gram_counts(texts)).astype(float)).reshape(-1, quality.SIZE)
-    assert p.min() > 0 and np.allclose(p.sum(axis=1), 1, atol=1e-4)
+    model = quality.kneser_ney(quality.gram_counts(texts))
+    for before in (b"the ", b"at o", b"zzzz"):
+        context = 0
+        for code in before:
+            context = context << quality.BITS | code
+        asked = spark.range(quality.SYMBOLS).select((F.lit(context << quality.BITS) + F.col("id")).alias("gram"))
+        assert quality.probabilities(asked, model).agg(F.sum("p")).first()[0] == pytest.approx(1)
+
 
 
 def test_toxicity(spark, docs, empty):
