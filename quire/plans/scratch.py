@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; under /tmp where that is unset, as in tests."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/quire-{uuid.uuid4().hex}-{name}"
+    """A new path under ``spark.checkpoint.dir``; under /tmp where that is unset and all run on one machine, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{(shared or '/tmp/checkpoints').rstrip('/')}/quire-{uuid.uuid4().hex}-{name}"
 
 
 def one_file_each(df: DataFrame, name: str, value: str) -> list[str]:
