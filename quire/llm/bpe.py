@@ -17,7 +17,6 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,7 @@ COUNTED_WORDS = 500_000
 _BEYOND_LATIN_1 = re.compile(rb"[\xc4-\xff]").search
 _SLOTS = 1 << 18
 _NONE = 1 << 62
+SIGMA = "Σ"
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
@@ -75,10 +75,17 @@ class WordBpe:
             if k % 2:
                 out.append(self.special[part])
             elif part:
-                part = part.lower() if part.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-                out += [piece.encode() for piece in self.pattern.findall(part)]
+                out += self.plain_pieces(part)
         return out
 
+    def plain_pieces(self, part: str) -> list[bytes]:
+        """Words of text without special tokens."""
+        if not part.isascii():
+            part = unicodedata.normalize("NFC", part)
+            if SIGMA in part:  # lower case is taken letter by letter, whatever follows
+                part = "".join(map(str.lower, part))
+        return [piece.encode() for piece in self.pattern.findall(part.lower())]
+
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``words`` in a row, and how many each has: in each round every word merges its best-ranked pair."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -128,6 +135,19 @@ class WordBpe:
             left, at = left[more], (at[more] + 1) & (_SLOTS - 1)
         return out
 
+    def encode_flat(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``chunks`` in a row, and where each begins and the last ends."""
+        if any(x in c for x in self.special for c in chunks):
+            lists = self.encode(chunks)
+            return np.array([x for ids in lists for x in ids], dtype=np.int64), np.concatenate([[0], np.cumsum([len(i) for i in lists], dtype=np.int64)])
+        split = list(map(self.plain_pieces, chunks))
+        pieces = np.concatenate([[0], np.cumsum(np.fromiter(map(len, split), dtype=np.int64, count=len(split)))])
+        words = [p for own in split for p in own]
+        if not words:
+            return np.empty(0, dtype=np.int64), pieces
+        ids, counts = self.merge(words)
+        return ids, np.concatenate([[0], np.cumsum(counts)])[pieces]
+
     def encode(self, chunks: list[str]) -> list[list[int]]:
         """Ids of each chunk (a text without ASCII white space)."""
         split = [self.pieces(c) for c in chunks]
@@ -289,6 +309,7 @@ class Encoder:
     def __init__(self, spec: dict, block: bytes):
         self.bpe, self.lexicon = WordBpe(spec), Lexicon(block)
         self.names = {i: t.encode() for i, t in self.bpe.tokens.items()}
+        self.spelt = self._spelt(self.lexicon.ids)
         self.memo: dict[bytes, bytes] = {}
         self.text: dict[bytes, bytes] = {}
 
@@ -298,13 +319,22 @@ class Encoder:
             self.text.clear()
         new = [w for w in words if w not in self.memo]
         found = self.lexicon.find(new)
+        held = np.flatnonzero(found >= 0)
         missing = np.flatnonzero(found < 0).tolist()
-        merged = dict(zip(missing, self.bpe.encode([new[i].decode(errors="replace") for i in missing]), strict=True))
-        lex, names = self.lexicon, self.names
-        for i, (w, at) in enumerate(zip(new, found.tolist(), strict=True)):
-            ids = lex.ids[lex.offsets[at] : lex.offsets[at + 1]].tolist() if at >= 0 else merged[i]
-            self.memo[w] = pack(f"<{len(ids)}I", *ids)
-            self.text[w] = b" ".join([names[x] for x in ids])
+        ids, offsets = self.bpe.encode_flat([new[i].decode(errors="replace") for i in missing])
+        lex = self.lexicon
+        self._remember([new[i] for i in missing], self._spelt(ids), offsets[:-1], offsets[1:])
+        self._remember([new[i] for i in held.tolist()], self.spelt, lex.offsets[found[held]], lex.offsets[found[held] + 1])
+
+    def _spelt(self, ids: np.ndarray) -> tuple[bytes, list[bytes]]:
+        """Ids as they are returned, and their tokens."""
+        return ids.astype("<u4").tobytes(), list(map(self.names.__getitem__, ids.tolist()))
+
+    def _remember(self, words: list[bytes], spelt: tuple[bytes, list[bytes]], begin: np.ndarray, end: np.ndarray) -> None:
+        (packed, names), join = spelt, b" ".join
+        for w, a, b in zip(words, begin.tolist(), end.tolist(), strict=True):
+            self.memo[w] = packed[4 * a : 4 * b]
+            self.text[w] = join(names[a:b])
 
     def encode(self, words: list[bytes]) -> tuple[bytes, bytes]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text: the tokens, one space between them."""
