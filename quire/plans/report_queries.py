@@ -16,8 +16,8 @@ from quire.functions import scores as S
 from quire.functions import text as T
 from quire.operators import adjacency, coverage, fields, review, timings, validate
 from quire.plans import queries as Q
-from quire.plans import scratch, tables
-from quire.plans.document import too_long
+from quire.plans import assembly, scratch, tables
+from quire.plans.document import Settings, too_long
 from quire.sources import models, reports, scans
 
 QUERIES, ORACLE_SQL = Q.QUERIES, Q.ORACLE_SQL
@@ -392,6 +392,65 @@ def embed_pages(spark, sf_dir):
     return models.embed(pages, _model(embedder_stand_in)).select("source", "page_number", F.get("vector", F.lit(0)).alias("length"), F.get("vector", F.lit(1)).alias("one"))
 
 
+# --- reports put together ----------------------------------------------------------------------------------------------
+
+
+def _said(reports_: DataFrame, **paths: str) -> DataFrame:
+    """Members of each report's JSON text, as texts."""
+    told = F.to_json("report", assembly.JSON_OPTIONS)
+    return reports_.select("source", *[F.get_json_object(told, path).alias(name) for name, path in paths.items()])
+
+
+def _spent(rows: DataFrame) -> DataFrame:
+    n = F.col("page_number")
+    return rows.withColumn("input_tokens", n * 3).withColumn("output_tokens", n % 7).withColumn("classify_seconds", n / 8.0)
+
+
+@query(f"""WITH {OPINIONS}, f AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY page_number) AS k FROM t)
+SELECT source, count(*)::VARCHAR AS pages, count(reason)::VARCHAR AS review_pages, count(*) FILTER (category = 'other')::VARCHAR AS others, sum(page_number * 3)::BIGINT::VARCHAR AS input_tokens,
+source || '#page-' || min(page_number) AS first_ref, any_value(category) FILTER (k = 1) AS first_category, any_value(reason) FILTER (k = 1) AS first_reason, '30000' AS max_state_chars FROM f GROUP BY source""")
+def classification_reports(spark, sf_dir):
+    found = assembly.classification_report(_spent(Q._classified(spark, sf_dir)), _model(classifier_stand_in), Settings())
+    return _said(
+        found, pages="$.summary.page_count", review_pages="$.summary.needs_review_page_count", others="$.summary.category_counts.other", input_tokens="$.usage.input_tokens",
+        first_ref="$.pages[0].page_ref", first_category="$.pages[0].category", first_reason="$.pages[0].review_reason", max_state_chars="$.parameters.max_state_chars",
+    )
+
+
+@query(f"""WITH {OPINIONS} SELECT source, count(*) FILTER (triggered)::VARCHAR AS requests, count(*) FILTER (resolution = 'verifier_failed')::VARCHAR AS failed,
+arg_min(resolution, page_number) AS first_resolution, CASE WHEN arg_min(triggered AND page_number % 10 <> 0, page_number) THEN arg_min(second, page_number) END AS first_second FROM z GROUP BY source""")
+def verification_reports(spark, sf_dir):
+    reviewed = _spent(Q._verified(spark, sf_dir)).withColumn("verifier_seconds", F.when(F.col("triggered"), F.lit(0.5)))
+    found = assembly.verification_report(reviewed, _model(verifier_stand_in), Settings())
+    return _said(found, requests="$.timings.requests", failed="$.summary.verifier_failed_page_count", first_resolution="$.pages[0].verification.resolution", first_second="$.pages[0].verification.verifier_category")
+
+
+@query(f"""WITH {Q._GROUPS}, n AS (SELECT source, size, pages, lo, row_number() OVER (PARTITION BY source ORDER BY first_page) AS k FROM g WHERE size > 1),
+f AS (SELECT source, size, pages, lo FROM n WHERE k = 1), u AS (SELECT source, count(*) AS u FROM g WHERE size = 1 GROUP BY source), sk AS (SELECT source, count(*) AS s FROM p WHERE e IS NULL GROUP BY source)
+SELECT o.source, coalesce(m, 0)::INT AS groups, f.size AS first_size, array_to_string(list_transform(string_split(f.pages, ','), lambda x: o.source || '#page-' || x), ',') AS first_refs, round(f.lo, 6) AS first_min,
+coalesce(u.u, 0)::INT AS single, coalesce(sk.s, 0)::INT AS skipped FROM (SELECT DISTINCT source FROM p) o LEFT JOIN (SELECT source, count(*) AS m FROM n GROUP BY source) c USING (source) LEFT JOIN f USING (source) LEFT JOIN u USING (source) LEFT JOIN sk USING (source)""")
+def match_reports(spark, sf_dir):
+    pages, members = Q._members(spark, sf_dir)
+    vectors = pages.where("vector is not null").select("source", "page_number", F.lit(1).alias("request"), F.lit(0.25).alias("seconds"))
+    found = assembly.match_report(pages, adjacency.edges(pages, min_embedding=tables.MIN_EMBEDDING), members, vectors, Settings(min_embedding=tables.MIN_EMBEDDING, edge_threshold=tables.EDGE_THRESHOLD))
+    first = F.get("report.groups", F.lit(0))
+    return found.select(
+        "source", F.size("report.groups").alias("groups"), first["size"].alias("first_size"), F.array_join(first["page_refs"], ",").alias("first_refs"),
+        first["min_combined_similarity"].alias("first_min"), F.size("report.unique_pages").alias("single"), F.size("report.skipped_pages").alias("skipped"),
+    )
+
+
+@query(f"""WITH {Q._FIELDS}, b AS (SELECT source, field, value, row_number() OVER (PARTITION BY source, field ORDER BY rank, pick) AS k FROM best JOIN r USING (source, field, canonical))
+SELECT source, max(value) FILTER (field = 'loan_number') AS loan_number, max(value) FILTER (field = 'borrower_name') AS borrower_name, '1.75' AS total_seconds FROM b WHERE k = 1 GROUP BY source""")
+def result_reports(spark, sf_dir):
+    rows = tables.fields(spark, sf_dir).withColumn("status", F.lit("ok"))
+    loans = fields.loan_fields(fields.cluster_exact(fields.entries(rows)), rows)
+    labels = rows.select("source", "page_number").distinct().select("source", "page_number", F.lit("other").alias("label"), F.lit(0.5).alias("confidence"), F.lit("").alias("notes"))
+    docs = labels.groupBy("source").agg(F.min("page_number").alias("first_page"), F.array_sort(F.collect_list("page_number")).alias("pages")).withColumn("label", F.lit("other"))
+    found = assembly.result_report(labels, docs, loans, {"ocr": 1.5, "match": 0.25})
+    return _said(found, loan_number="$.loan_level_fields.loan_number.value", borrower_name="$.loan_level_fields.borrower_name.value", total_seconds="$.timings.total_seconds")
+
+
 def _renderer():
     def render(content: bytes, dpi: int):
         if not content:
