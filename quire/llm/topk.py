@@ -21,7 +21,7 @@ from quire.llm.common import partitions, save
 
 BLOCK_ROWS = 8192
 #: Queries that search a block together: as many as leave TASKS tasks a partition, in these bounds.
-BLOCK_QUERIES = (64, 8192)
+BLOCK_QUERIES = (512, 8192)
 TASKS = 4
 EXACT = float(1 << 53)
 #: Entries of a list that are read before the bounds are compared, as a part of the list.
