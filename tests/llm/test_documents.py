@@ -381,6 +381,51 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(empty, labels).count() == 0
 
 
+def test_toxicity_by_hand(spark):
+    """Scores are the logistic of the windows' length differences under the two dictionaries, over whole texts; held-out labels, other
+    columns and the order of rows change nothing."""
+    import zlib
+
+    import zstandard
+
+    rng = random.Random(19)
+    plain = [f"{a}{b}" for a in ("th", "an", "er", "in") for b in ("e", "ing", "a", "on")]
+    rows, marks = [], []
+    for i in range(160):
+        toxic = int(i % 4 == 0)
+        words = [rng.choice(plain) for _ in range(rng.randint(20, 90))] + ["Vexatious", "scoundrel"] * toxic
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), "en", "s"))
+        marks.append((i, toxic))
+    odd = [(900, None), (901, ""), (902, " \n"), (903, "x" * 100_000), (904, "vexatious " * 20_000), (905, rows[4][1]), (905, rows[4][1]), (None, rows[4][1])]
+    rows += [(i, t, "fr", None) for i, t in odd]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    held = {i for i, _ in marks if zlib.crc32(str(i).encode()) % 4 == 2}
+    labels, flipped = (spark.createDataFrame([(i, 1 - t if flip and i in held else t) for i, t in marks], "doc_id long, toxic int") for flip in (False, True))
+    got = sorted(tuple(r) for r in toxicity.score(texts, labels).collect() if r.doc_id is not None)
+    assert got == sorted(tuple(r) for r in toxicity.score(texts.select("text", "doc_id").repartition(2), flipped).collect() if r.doc_id is not None)
+    model = toxicity.fit(texts, labels)
+    options = zstandard.ZstdCompressionParameters(
+        format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_dict_id=0, write_checksum=0,
+        strategy=zstandard.STRATEGY_GREEDY, min_match=4, window_log=16, hash_log=15, chain_log=15, search_log=6, target_length=16,
+    )
+    length = {}
+    for name, content in (("ordinary", model.ordinary), ("toxic", model.toxic)):
+        length[name] = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=options)
+    want = []
+    for i, t, _, _ in rows:
+        words = (t or "").encode().lower().split()
+        far = [len(length["ordinary"].compress(w)) - len(length["toxic"].compress(w)) for w in (b" ".join(words[a : a + 16]) for a in range(0, len(words), 16))]
+        counts = np.array([sum(x >= d for x in far) for d in toxicity.DISTANCES], dtype=float)
+        x = np.concatenate([[1.0], counts > 0, np.log1p(counts), 10 * counts / max(1, len(far))])
+        score = 1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30)))
+        if i is not None:
+            want.append((i, zlib.crc32(str(i).encode()) % 4 == 2, pytest.approx(float(score), abs=1e-9), int(score >= 0.3)))
+    assert got == sorted(want, key=lambda r: r[0])
+    told = {r[0]: r[3] for r in got}
+    assert told[904] == 1 and not any(told[i] for i in (900, 901, 902, 903)) and sum(told[i] == t for i, t in marks if i in held) >= 0.95 * len(held)
+
+
 def test_toxicity_of_a_small_kind_of_text():
     """Markers that set apart a twelfth of the toxic texts, and stand in a few ordinary ones, are learnt beside the strong ones."""
     rng = random.Random(3)

@@ -67,3 +67,9 @@ def test_short_repeated_lines_go(spark, sf_dir):
     rows = [(1, "first words here\nAll rights reserved.", 37), (2, "second words here\nAll rights reserved.\nand more", 46), (3, "All rights reserved.", 20)]
     kept = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), sf_dir).collect()
     assert sorted(map(tuple, kept)) == [rows[0], (2, "second words here\nand more", 26)]
+
+
+def test_run_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
