@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -193,18 +194,23 @@ def ratio(a: str, b: str) -> float:
 
 
 def window_ratio(value: str, text: str) -> float:
-    """1 if ``value`` is in ``text``, else the best ratio to any run of its words, one fewer or one more."""
+    """1 if ``value`` is in ``text``, else the best ratio to any run of its words, one fewer or one more.
+
+    Each distinct run is compared once, the best possible ratio first (from the two lengths), until none left can be better.
+    """
     if not value or not text:
         return 0.0
     if value in text:
         return 1.0
-    words, n, best = text.split(), len(value.split()), 0.0
-    matcher = difflib.SequenceMatcher(autojunk=True)
-    for size in sorted({max(1, n - 1), n, n + 1}):
-        for i in range(len(words) - size + 1):
-            matcher.set_seqs(value, " ".join(words[i : i + size]))
-            if matcher.real_quick_ratio() > best and matcher.quick_ratio() > best:
-                best = max(best, matcher.ratio())
+    words, n = text.split(), len(value.split())
+    runs = {" ".join(words[i : i + k]) for k in (n - 1, n, n + 1) if k > 0 for i in range(len(words) - k + 1)}
+    possible = sorted(((2 * min(len(r), len(value)) / (len(r) + len(value)), r) for r in runs), reverse=True)
+    best, letters = 0.0, Counter(value)
+    for most, run in possible:
+        if most <= best:
+            break
+        if 2 * (letters & Counter(run)).total() / (len(run) + len(value)) > best:  # letters in common, in any order
+            best = max(best, ratio(value, run))
     return best
 
 

@@ -1,4 +1,5 @@
 import difflib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +12,14 @@ def column(spark, values, f):
     return [r[0] for r in rows.orderBy("i").select(f(F.col("v"))).collect()]
 
 
+# Known answers of the canonical forms, here and in the pairs below.
 def test_normalize(spark):
     values = ["Alya Renard—Van Merçer", "LOAN #: 20-414-784\n", "Straße ÀÉ", "", "ﬁn ½"]
     want = ["alya renard van mercer", "loan 20 414 784", "strasse ae", "", "fin 1 2"]
     assert [T.normalize_value(v) for v in values] == want
-    assert column(spark, values[:4], T.normalize) == want[:4]
+    assert column(spark, [*values, None], T.normalize) == [*want, None]
+    other = ["Андрей Ёлкин", "ＦＵＬＬ", "ΟΔΥΣΣΕΥΣ", "e\u0301te\u0301", "ŉ ǆ ſ"]
+    assert column(spark, other, T.normalize) == [T.normalize_value(v) for v in other] and column(spark, other[:1], T.canonical_name) == ["андреи елкин"]
     assert column(spark, [*values, None], T.normalize_exact) == [*want, None]
 
 
@@ -56,6 +60,17 @@ def test_preview_notes_and_unknown_field(spark):
         column(spark, ["x"], lambda v: T.canonical(F.lit("colour"), v))
 
 
+def test_best_run_of_words():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 5)))
+    for _ in range(60):
+        value, words = " ".join(word() for _ in range(rng.randint(1, 3))), [word() for _ in range(rng.randint(0, 12))]
+        n = len(value.split())
+        runs = [" ".join(words[i : i + k]) for k in {max(1, n - 1), n, n + 1} for i in range(len(words) - k + 1)]
+        want = 1.0 if value in " ".join(words) else max((difflib.SequenceMatcher(None, value, r).ratio() for r in runs), default=0.0)
+        assert T.window_ratio(value, " ".join(words)) == want
+
+
 def test_ratios():
     assert T.ratio("tide", "diet") == 0.25 and T.ratio("diet", "tide") == 0.5
     assert T.ratio("", "x") == 0
