@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, in_arrow, partitions, save
+from quire.llm.common import binary_rows, documents, in_arrow, save
 
 ORDER = 5
 BITS = 9
@@ -144,9 +145,35 @@ def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(ids, "doc_id", "left_semi")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, gram, logp) -> one row for each block and HELD_GRAMS rows or fewer: steps from gram to gram and logs, compressed."""
+    press, held, n = zstandard.ZstdCompressor(level=1).compress, [], 0
+
+    def out() -> pa.RecordBatch:
+        block, gram, logp = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((gram, block))
+        block, gram, logp = block[order], gram[order], logp[order]
+        first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        ends = np.append(first[1:], len(block))
+        data = [press(np.stack([np.diff(gram[a:b], prepend=0), logp[a:b].view(np.int64)]).astype("<i8").tobytes()) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+        m = len(data)
+        columns = [pa.array(block[first], pa.int32()), pa.array(np.zeros(m, dtype=np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.string()), pa.array(data, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "kind", "doc_id", "lang", "text"])
+
+    for b in batches:
+        if b.num_rows:
+            held.append(tuple(np.asarray(c) for c in b.columns))
+            n += b.num_rows
+        if n > HELD_GRAMS:
+            yield out()
+            held, n = [], 0
+    if held:
+        yield out()
+
+
 def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity of every row of ``docs`` (doc_id, lang, text: binary), read twice: it must be a table or saved."""
-    n = partitions(docs.sparkSession)
+    n = docs.rdd.getNumPartitions()  # a task for each block
     blocks = docs.withColumn("block", F.spark_partition_id())  # the same in both scans of a table
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +183,13 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
 
     asked = save(in_arrow(blocks.select("block", "text"), ask, "block int, gram long"), "asked")
     p = probabilities(save(asked.select("gram").distinct(), f"asked-{ORDER}"), model)
-    # one list of grams and log probabilities a block, before its texts
-    told = asked.hint("merge").join(p, "gram").select("block", F.lit(0).alias("kind"), "gram", F.ln("p").alias("logp"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("text"))
-    rows = blocks.select("block", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("logp"), "doc_id", "lang", "text")
+    # packed lists of grams and log probabilities go to their block before its texts
+    told = asked.hint("merge").join(p, "gram").select("block", "gram", F.ln("p").alias("logp"))
+    told = in_arrow(told, _packed, "block int, kind int, doc_id long, lang string, text binary")
+    rows = blocks.select("block", F.lit(1).alias("kind"), "doc_id", "lang", "text")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor().decompress
         now, parts, known, logs = None, [], None, None
         for batch in batches:
             if not batch.num_rows:
@@ -172,7 +201,9 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
                 if block != now:
                     now, parts, known = block, [], None
                 if kind == 0:
-                    parts.append((np.asarray(piece.column(2)), np.asarray(piece.column(3))))
+                    for data in map(unpress, piece.column(4).to_pylist()):
+                        steps, told_logs = np.frombuffer(data, dtype="<i8").reshape(2, -1)
+                        parts.append((np.cumsum(steps), told_logs.view("<f8")))
                     continue
                 if known is None:
                     known, logs = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -184,9 +215,9 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
                     if not np.array_equal(known[at], packed):
                         raise RuntimeError("the two scans of the documents were split into different partitions; save them first")
                     sums = np.add.reduceat(logs[at], np.cumsum(size) - size)
-                    yield pa.RecordBatch.from_arrays([part.column(4), part.column(5), pa.array(size), pa.array(np.exp(-sums / size))], names=["doc_id", "lang", "n_symbols", "perplexity"])
+                    yield pa.RecordBatch.from_arrays([part.column(2), part.column(3), pa.array(size), pa.array(np.exp(-sums / size))], names=["doc_id", "lang", "n_symbols", "perplexity"])
 
-    met = told.unionByName(rows).repartition(n, "block").sortWithinPartitions("block", "kind")
+    met = told.unionByName(rows).repartitionById(n, F.col("block") % n).sortWithinPartitions("block", "kind")
     return in_arrow(met, add_up, "doc_id long, lang string, n_symbols long, perplexity double")
 
 
