@@ -28,7 +28,9 @@ from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, sa
 
 LEXICON_WORDS = 1 << 17
 LEXICON_BYTES = 64
-MEMO_WORDS = 250_000
+MEMO_WORDS = 125_000
+#: Bytes of text that a worker encodes together; their unseen words are merged together too.
+SLICE_BYTES = 1 << 20
 COUNTED_WORDS = 500_000
 
 
@@ -306,8 +308,8 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> list[bytes]:
 class Encoder:
     """Words to little-endian ids and to decoded text, through a bounded memo over the automaton and the merges."""
 
-    def __init__(self, spec: dict, block: bytes):
-        self.bpe, self.lexicon = WordBpe(spec), Lexicon(block)
+    def __init__(self, bpe: WordBpe, block: bytes):
+        self.bpe, self.lexicon = bpe, Lexicon(block)
         self.names = {i: t.encode() for i, t in self.bpe.tokens.items()}
         self.spelt = self._spelt(self.lexicon.ids)
         self.memo: dict[bytes, bytes] = {}
@@ -344,10 +346,10 @@ class Encoder:
 _current: list = []
 
 
-def _encoder(spec, block) -> Encoder:
+def _encoder(bpe, block) -> Encoder:
     """One for each worker process and lexicon: a worker gets the same broadcast object in every task."""
     if not _current or _current[0] is not block:
-        _current[:] = [block, Encoder(spec.value, block.value)]
+        _current[:] = [block, Encoder(bpe.value, block.value)]
     return _current[1]
 
 
@@ -371,11 +373,11 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     spec = tokenizer_spec(path)
     bpe, words = WordBpe(spec), frequent_words(docs, lexicon_words)
     block = spark.sparkContext.broadcast(compile_lexicon(dict(zip(words, bpe.encode([w.decode(errors="replace") for w in words]), strict=True))))
-    shipped = spark.sparkContext.broadcast({k: spec[k] for k in ("model", "added_tokens", "pre_tokenizer")})
+    shipped = spark.sparkContext.broadcast(bpe)  # the merges as arrays, not the tokenizer file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped, block)
-        for piece, texts in binary_rows(batches):
+        for piece, texts in binary_rows(batches, SLICE_BYTES):
             words = [folded(t).split() for t in texts]
             encoder.learn(set().union(*words))
             pairs = [encoder.encode(w) for w in words]
