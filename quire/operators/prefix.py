@@ -27,11 +27,13 @@ def running_sum(df: DataFrame, group: list[str], order: str, value: Column, out:
     g2 = [f"_h{i}" for i in range(len(group))]
     two = two.select(*[F.col(g).alias(n) for g, n in zip(group, g2, strict=True)], F.col("_c2").alias("_k2"), "_b2")
     one = one.join(two, reduce(and_, equal(g2), F.col("_c2") == F.col("_k2")))
-    g1 = [f"_g{i}" for i in range(len(group))]
-    carried = one.select(*[F.col(g).alias(n) for g, n in zip(group, g1, strict=True)], F.col("_c1").alias("_k1"), (F.col("_b1") + F.col("_b2")).alias("_before"))
-    inside = Window.partitionBy(*group, "_c1").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    # the group as one struct, in which nulls are equal: window and join then share one shuffle of the rows
+    whole = F.struct(*group, F.lit(0).alias("_"))
+    carried = one.select(whole.alias("_g1"), F.col("_c1").alias("_k1"), (F.col("_b1") + F.col("_b2")).alias("_before"))
+    base = base.withColumn("_g", whole)
+    inside = Window.partitionBy("_g", "_c1").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     base = base.withColumn("_own", F.sum("_v").over(inside))
-    joined = base.join(carried, reduce(and_, equal(g1), F.col("_c1") == F.col("_k1")))
+    joined = base.join(carried, (F.col("_g") == F.col("_g1")) & (F.col("_c1") == F.col("_k1")))
     return joined.withColumn(out, F.col("_own") + F.col("_before")).select(*df.columns, out)
 
 

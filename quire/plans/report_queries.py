@@ -30,11 +30,16 @@ def _page(**members) -> F.Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in members.items()]), _JSON)
 
 
-def _files(rows: DataFrame, head: F.Column | None = None) -> list[str]:
-    """Reports of (source, page_number, page: JSON text), one file a source, pages in order."""
-    pages = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "page"))), lambda p: p["page"]), ",")
-    body = F.concat(F.lit('{"source": '), F.to_json(F.struct("source")).substr(F.lit(11), F.length(F.to_json(F.struct("source"))) - 11), F.lit(', "pages": ['), F.col("pages"), F.lit("]}"))
-    return scratch.one_file_each(rows.groupBy("source").agg(pages.alias("pages")).withColumn("value", body), "source", "value")
+def _files(rows: DataFrame) -> list[str]:
+    """Reports of (source, page_number, page: JSON text), one file a source, pages in order, each on a line of its own: none is put together in memory."""
+    first = rows.groupBy("source").agg(F.min("page_number").alias("first"))  # one row a source
+    name = F.to_json(F.struct("source"))
+    line = lambda part, n, value: (F.lit(part).alias("part"), n.cast("long").alias("n"), value.alias("value"))
+    head = first.select("source", *line(0, F.lit(None), F.concat(F.substr(name, F.lit(1), F.length(name) - 1), F.lit(', "pages": ['))))
+    comma = F.when(F.col("page_number") > F.col("first"), ",").otherwise("")
+    body = rows.join(F.broadcast(first), "source").select("source", *line(1, F.col("page_number"), F.concat(comma, F.col("page"))))
+    tail = first.select("source", *line(2, F.lit(None), F.lit("]}")))
+    return scratch.one_file_each(head.unionByName(body).unionByName(tail), "source", "value", ["part", "n"])
 
 
 _ORD = "o AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS input_ord FROM (SELECT DISTINCT source FROM documents))"

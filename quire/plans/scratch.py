@@ -2,25 +2,47 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; under /tmp where that is unset and all run on one machine, as in tests."""
+_dropped: list[tuple[SparkSession, str]] = []
+
+
+def folder(spark: SparkSession, name: str, drop: bool = False) -> str:
+    """A new path under ``spark.checkpoint.dir``; under /tmp where that is unset and all run on one machine, as in tests. ``drop``: deleted when
+    the process ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{(shared or '/tmp/checkpoints').rstrip('/')}/quire-{uuid.uuid4().hex}-{name}"
+    path = f"{(shared or '/tmp/checkpoints').rstrip('/')}/quire-{uuid.uuid4().hex}-{name}"
+    if drop:
+        _dropped.append((spark, path))
+    return path
+
+
+def drop_folders() -> None:
+    while _dropped:
+        spark, path = _dropped.pop()
+        try:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session is gone already
+            return
+
+
+atexit.register(drop_folders)
 
 
-def one_file_each(df: DataFrame, name: str, value: str) -> list[str]:
-    """Write the text column ``value`` of each row to a file of its own; the paths, in the order of the column ``name`` (a file's name)."""
+def one_file_each(df: DataFrame, name: str, value: str, order: list[str] | None = None) -> list[str]:
+    """Write the text column ``value`` to a file for each ``name`` (the file's name), its rows as lines by ``order``, gzipped; the paths, in the order of ``name``."""
     spark = df.sparkSession
     path = folder(spark, "reports")
-    df.select(F.col(name).alias("file"), F.col(value).alias("value")).repartition("file").write.partitionBy("file").text(path)
+    rows = df.withColumnRenamed(name, "file").repartition("file").sortWithinPartitions("file", *(order or []))
+    rows.select("file", F.col(value).alias("value")).write.partitionBy("file").text(path, compression="gzip")
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/file=*/part-*")
     found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
     return sorted(str(f.getPath().toString()) for f in found)

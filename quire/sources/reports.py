@@ -1,14 +1,17 @@
 """Strict readers of JSON reports: one file is one document with a list of pages.
 
-Files are read whole as text and parsed to VARIANT, whose schema tells 1, 1.0, "1" and true apart; nothing is coerced. What is
+Files are read in pieces, cut into their pages, and these parsed to VARIANT, whose schema tells 1, 1.0, "1" and true apart; nothing is coerced. What is
 wrong is returned as violations (rule order, then file and position); ``strict`` raises the first.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from quire.functions.scores import CATEGORIES, OTHER
 from quire.functions.text import FIELDS, page_ref
 from quire.operators.coverage import repeated
 from quire.operators.validate import Rule, require, simplex, violations
+from quire.plans import scratch
 
 WHOLE = "^(BIGINT|TINYINT|SMALLINT|INT)$"
 NUMBER = "^(BIGINT|TINYINT|SMALLINT|INT|DOUBLE|FLOAT|DECIMAL.*)$"
@@ -28,19 +32,175 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return re.sub(r"^(\w+):/+", r"\1:/", system.makeQualified(where).toUri().toString())
 
 
-def read_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """input_ord, input_file, raw (VARIANT, null if the file is not one JSON object, or empty).
+_PIECE = "}"  # files are read piece by piece, so that none is in memory as a whole
+_BATCH = 4 << 20
+_TOKEN = re.compile(rb'[{}\[\],:"]')
+_STRING_END = re.compile(rb'(?:[^"\\]|\\.)*+"', re.DOTALL)
+
+
+class Cutter:
+    """Cuts a report, fed in pieces, into the entries of its member ``pages`` and the rest, in which a 0 stands for each entry.
+
+    Nothing is judged here: the report is one JSON value if and only if the rest and each entry are.
+    """
+
+    def __init__(self):
+        self.depth, self.quoted, self.in_pages = 0, False, False
+        self.name, self.key = [], None  # at depth 1: the string being read, and the one before the last colon
+        self.rest, self.entry, self.size = [], [], 0
+
+    def _end_entry(self) -> list[bytes]:
+        entry = b"".join(self.entry).strip(b" \t\r\n")
+        self.entry = []
+        if entry:
+            self.rest.append(b"0")
+        return [entry] if entry else []
+
+    def feed(self, piece: bytes) -> list[bytes]:
+        """The entries that end in ``piece``."""
+        self.size += len(piece)
+        done, at, kept = [], 0, 0  # what lies between kept and at is not copied yet
+
+        def keep(upto: int) -> None:
+            nonlocal kept
+            (self.entry if self.in_pages else self.rest).append(piece[kept:upto])
+            kept = upto
+
+        while at < len(piece):
+            if self.quoted:
+                end = _STRING_END.match(piece, at)
+                upto = end.end() if end else len(piece)
+                if self.depth == 1:
+                    self.name.append(piece[at:upto])
+                self.quoted, at = end is None, upto
+                continue
+            found = _TOKEN.search(piece, at)
+            if not found:
+                break
+            at, token = found.end(), found.group()
+            if token == b'"':
+                self.quoted = True
+                if self.depth == 1:
+                    self.name = [b'"']
+            elif token in b"{[":
+                self.depth += 1
+                if token == b"[" and self.depth == 2 and self.key == "pages":
+                    keep(at)
+                    self.in_pages = True
+            elif token in b"}]":
+                self.depth -= 1
+                if self.in_pages and self.depth == 1:
+                    keep(at - 1)
+                    done += self._end_entry()
+                    self.in_pages, self.key = False, None
+            elif token == b",":
+                if self.depth == 1:
+                    self.key = None
+                elif self.in_pages and self.depth == 2:
+                    keep(at - 1)
+                    done += self._end_entry()
+                    self.rest.append(b",")
+                    kept = at
+            elif self.depth == 1:
+                try:
+                    self.key = json.loads(b"".join(self.name))
+                except ValueError:
+                    self.key = None
+        keep(len(piece))
+        return done
+
+    def end(self, size: int | None) -> tuple[list[bytes], bytes]:
+        """What ends in the last piece's separator, if the file of ``size`` bytes has one there, and the rest. The size of compressed files is
+        not known (null): there the separator is taken to be what it can only be in a whole report."""
+        over = (self.depth > 0 and not self.quoted) if size is None else size - self.size
+        mark = over in (3, 4)  # a byte order mark, which readers of lines skip and JSON forbids
+        done = self.feed(_PIECE.encode()) if over in (1, 4) else []
+        if self.in_pages:
+            self.rest += self.entry
+        return done, (b"\xef\xbb\xbf" if mark else b"") + b"".join(self.rest)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of files (uri, size, value), in order, one file after the other -> uri, position (null: the rest), json."""
+    rows, held = [], 0
+    uri = size = cutter = None
+    position = 0
+
+    def add(entries: list[bytes], first: int | None) -> None:
+        nonlocal held
+        for i, e in enumerate(entries):
+            rows.append((uri, None if first is None else first + i, e))
+            held += len(e)
+
+    def flush() -> pa.RecordBatch:
+        nonlocal rows, held
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], ["uri", "position", "json"])
+        rows, held = [], 0
+        return out
+
+    def close() -> None:
+        done, rest = cutter.end(size)
+        add(done, position)
+        add([rest], None)
+
+    for batch in batches:
+        for path, length, piece in zip(*[batch.column(i) for i in range(3)], strict=True):
+            if cutter is None or path.as_py() != uri:
+                if cutter:
+                    close()
+                uri, size, cutter, position = path.as_py(), length.as_py(), Cutter(), 0
+                done = cutter.feed(piece.as_py())
+            else:
+                done = cutter.feed(_PIECE.encode() + piece.as_py())
+            add(done, position)
+            position += len(done)
+            if held >= _BATCH or len(rows) >= 10_000:
+                yield flush()
+    if cutter:
+        close()
+    if rows:
+        yield flush()
+
+
+def _parsed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """uri, position (null: the report without its pages), json (VARIANT; null if it is not one JSON value), through the shared folder.
+
+    A file goes through one task, in order and piece by piece; what is held is one page of it and what is not pages.
+    """
+    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in dict.fromkeys(paths)]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    sizes = [1]
+    for p in dict.fromkeys(paths):
+        where = jvm.org.apache.hadoop.fs.Path(p)
+        sizes.append(where.getFileSystem(conf).getFileStatus(where).getLen())
+    own = spark.newSession()  # no file is split there: a part takes as much as the largest file, or an equal share
+    for name, value in (
+        ("spark.sql.files.maxPartitionBytes", max(*sizes, sum(sizes) // spark.sparkContext.defaultParallelism)), ("spark.sql.files.minPartitionNum", 1),
+        ("spark.sql.files.openCostInBytes", 1 << 16), ("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH), ("spark.sql.adaptive.enabled", "true"),
+    ):
+        own.conf.set(name, str(value))
+    size = F.when(~F.col("_metadata.file_path").rlike(r"\.(gz|bz2|deflate|lz4|snappy|zst|zstd)$"), F.col("_metadata.file_size"))  # of plain files
+    pieces = own.read.text(plain, lineSep=_PIECE).select(F.regexp_replace(F.col("_metadata.file_path"), r"^(\w+):/+", "$1:/").alias("uri"), size.alias("size"), F.col("value").cast("binary").alias("value"))
+    cut = pieces.mapInArrow(_cut, "uri string, position int, json binary")
+    # in brackets, as the parser does not look at what follows a value
+    value = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), F.col("json").cast("string"), F.lit("]"))), "$[0]", "variant")
+    path = scratch.folder(spark, "pages", drop=True)
+    cut.select("uri", "position", value.alias("json")).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema("uri string, position int, json variant").parquet(path)
+
+
+def read_reports(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Reports: input_ord, input_file, uri, raw (VARIANT, null if the file is not one JSON object, or empty; a 0 stands for each of its pages),
+    and the pages of the sound ones: uri, position (0, 1, ...), page (VARIANT).
 
     A path is one file, taken as it is written: no patterns. A path given twice is read as two inputs.
     """
     files = spark.createDataFrame([(i, p, _qualified(spark, p)) for i, p in enumerate(paths)], "input_ord int, input_file string, uri string")
-    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in dict.fromkeys(paths)]
-    texts = spark.read.text(plain, wholetext=True).withColumn("_uri", F.regexp_replace(F.col("_metadata.file_path"), r"^(\w+):/+", "$1:/"))
-    named = F.broadcast(files).join(texts, F.col("uri") == F.col("_uri"))  # as many rows as paths given
-    empty = files.join(texts.select("_uri").distinct(), F.col("uri") == F.col("_uri"), "left_anti")  # an empty file gives no row
-    raw = F.try_parse_json("value")
-    whole = F.schema_of_variant(raw).startswith("OBJECT")
-    return named.select("input_ord", "input_file", F.when(whole, raw).alias("raw")).unionByName(empty.select("input_ord", "input_file", F.lit(None).cast("variant").alias("raw")))
+    parsed = _parsed(spark, paths)
+    broken = parsed.where("json is null").select("uri").distinct()
+    heads = parsed.where("position is null").where(F.schema_of_variant("json").startswith("OBJECT")).join(F.broadcast(broken), "uri", "left_anti")
+    reports = files.join(heads.select("uri", F.col("json").alias("raw")), "uri", "left").select("input_ord", "input_file", "uri", "raw")
+    return reports, parsed.where("position is not null").withColumnRenamed("json", "page")
 
 
 def kind(raw: Column, path: str) -> Column:
@@ -71,12 +231,15 @@ def absent(raw: Column, path: str) -> Column:
     return found.isNull() | (found == "VOID")
 
 
-def pages_of(reports: DataFrame) -> DataFrame:
-    """A row for each entry of ``$.pages``: + position (0, 1, ...), page (VARIANT); one row with nulls for a report without."""
-    reports.createOrReplaceTempView("_quire_reports")
-    return reports.sparkSession.sql(
-        "SELECT r.*, e.pos AS position, e.value AS page FROM _quire_reports r, LATERAL variant_explode_outer(try_variant_get(r.raw, '$.pages', 'variant')) e"
-    )
+def pages_of(spark: SparkSession, paths: list[str], **members: Column) -> DataFrame:
+    """A row for each entry of ``$.pages``: input_ord, input_file, sound (the file is a JSON object), ``members`` of its ``raw``, position
+    (0, 1, ...), page (VARIANT); one row with nulls for a report without. The report itself does not go with its pages."""
+    reports, pages = read_reports(spark, paths)
+    heads = reports.select("input_ord", "input_file", "uri", F.col("raw").isNotNull().alias("sound"), *[c.alias(n) for n, c in members.items()])
+    with_pages = F.broadcast(heads.where("sound")).join(pages, "uri")  # heads: one row for each path given
+    without = heads.join(pages.select("uri").distinct().withColumn("_any", F.lit(True)), "uri", "left").where(~F.col("sound") | F.col("_any").isNull()).drop("_any")
+    none = without.withColumn("position", F.lit(None).cast("int")).withColumn("page", F.lit(None).cast("variant"))
+    return with_pages.unionByName(none).drop("uri")
 
 
 @dataclass(frozen=True)
@@ -89,24 +252,22 @@ class Loaded:
 
 def _page_rules(extra: list[Rule]) -> list[Rule]:
     p = F.col("page")
-    before = F.lag("page_number").over(Window.partitionBy("input_ord").orderBy("position"))  # one file's pages
     return [
-        Rule("object", F.col("raw").isNull(), "the file is not a JSON object"),
-        Rule("pages", F.col("raw").isNotNull() & p.isNull(), "no pages"),
+        Rule("object", ~F.col("sound"), "the file is not a JSON object"),
+        Rule("pages", F.col("sound") & p.isNull(), "no pages"),
         Rule("page", p.isNotNull() & ~F.schema_of_variant(p).startswith("OBJECT"), "a page is not an object"),
         Rule("page number", p.isNotNull() & (F.col("page_number").isNull() | (F.col("page_number") < 1)), "a page number is not a positive integer"),
-        Rule("page order", F.col("page_number") <= before, "page numbers do not increase"),
+        Rule("page order", F.col("page_number") <= F.col("_before"), "page numbers do not increase"),
         *extra,
     ]
 
 
 def _load(rows: DataFrame, rules: list[Rule], strict: bool, output: list) -> Loaded:
-    # windows cannot stand inside the rules' array, so the page order is a column first
-    checked = rows
-    fixed = []
-    for i, r in enumerate(rules):
-        checked = checked.withColumn(f"_broken{i}", r.broken)
-        fixed.append(Rule(r.name, F.col(f"_broken{i}"), r.message))
+    # the page before is sought among rows without texts: a window holds thousands of its rows in memory
+    later = [i for i, r in enumerate(rules) if r.name == "page order"]
+    checked = rows.select("input_ord", "position", "page_number", *[r.broken.alias(f"_broken{i}") for i, r in enumerate(rules) if i not in later])
+    checked = checked.withColumn("_before", F.lag("page_number").over(Window.partitionBy("input_ord").orderBy("position")))  # one file's pages
+    fixed = [Rule(r.name, r.broken if i in later else F.col(f"_broken{i}"), r.message) for i, r in enumerate(rules)]
     key = ["input_ord", "position"]
     if strict:
         require(checked, fixed, key)
@@ -119,15 +280,15 @@ def load_ocr(spark: SparkSession, paths: list[str], strict: bool = True) -> Load
     The last three may be absent or null. A page_ref that appears twice over all files is a violation too.
     """
     p = F.col("page")
-    rows = pages_of(read_reports(spark, paths)).withColumn("page_number", whole(p, "$.page_number"))
-    rows = rows.withColumn("source", text(F.col("raw"), "$.source")).withColumn("text", text(p, "$.text"))
+    rows = pages_of(spark, paths, source=text(F.col("raw"), "$.source")).withColumn("page_number", whole(p, "$.page_number"))
+    rows = rows.withColumn("text", text(p, "$.text"))
     optional = [
         Rule(name, ~absent(p, f"$.{name}") & get(p, f"$.{name}").isNull(), f"{name} is not a number")
         for name, get in (("line_count", whole), ("mean_score", number), ("duration_seconds", number))
     ]
     rules = _page_rules(
         [
-            Rule("source", F.col("raw").isNotNull() & (F.coalesce("source", F.lit("")) == ""), "source is not a non-empty string"),
+            Rule("source", F.col("sound") & (F.coalesce("source", F.lit("")) == ""), "source is not a non-empty string"),
             Rule("text", p.isNotNull() & F.col("text").isNull(), "a page's text is not a string"),
             *optional,
         ]
@@ -148,7 +309,7 @@ def load_ocr(spark: SparkSession, paths: list[str], strict: bool = True) -> Load
 def load_classification(spark: SparkSession, paths: list[str], strict: bool = True) -> Loaded:
     """Classified pages, every member checked; raw keeps the page as it was."""
     p = F.col("page")
-    rows = pages_of(read_reports(spark, paths)).withColumn("page_number", whole(p, "$.page_number"))
+    rows = pages_of(spark, paths).withColumn("page_number", whole(p, "$.page_number"))
     shares = F.create_map(*[x for c in CATEGORIES for x in (F.lit(c), number(p, f"$.probabilities.{c}"))])
     rows = (
         rows.withColumn("page_ref", text(p, "$.page_ref")).withColumn("category", text(p, "$.category")).withColumn("confidence", number(p, "$.confidence"))
@@ -191,7 +352,7 @@ def later_file_wins(signals: DataFrame, key: str = "page_ref") -> DataFrame:
 
 def category_labels(spark: SparkSession, paths: list[str]) -> DataFrame:
     """category, label from the ``categories`` objects of classification reports; ValueError unless each has non-empty strings and names ``other``."""
-    reports = read_reports(spark, paths)
+    reports, _ = read_reports(spark, paths)
     named = reports.select("input_ord", "input_file", F.try_variant_get("raw", "$.categories", "map<string,string>").alias("labels"))
     sound = (F.size("labels") > 0) & F.map_contains_key("labels", OTHER) & F.forall(F.map_values("labels"), lambda v: F.coalesce(v != "", F.lit(False))) & ~F.map_contains_key("labels", "")
     if first := named.where(~F.coalesce(sound, F.lit(False))).orderBy("input_ord").first():  # one row a file
@@ -218,7 +379,7 @@ def extraction_pages(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Pages of extraction reports: input_ord, input_file, position, page (VARIANT), page_number, page_ref, printed, and for each
     field similarity and needs_review, null where they are absent or of another type."""
     p = F.col("page")
-    rows = pages_of(read_reports(spark, paths)).withColumn("page_number", whole(p, "$.page_number")).withColumn("page_ref", text(p, "$.page_ref"))
+    rows = pages_of(spark, paths).withColumn("page_number", whole(p, "$.page_number")).withColumn("page_ref", text(p, "$.page_ref"))
     rows = rows.withColumn("printed", text(p, "$.extracted.page_number"))
     for f in FIELDS:
         rows = rows.withColumn(f"{f}_similarity", number(p, f"$.verification.{f}.similarity")).withColumn(f"{f}_needs_review", flag(p, f"$.verification.{f}.needs_review"))
@@ -231,8 +392,8 @@ def extraction_rules() -> list[Rule]:
     p = F.col("page")
     there = p.isNotNull() & F.schema_of_variant(p).startswith("OBJECT")
     out = [
-        Rule("object", F.col("raw").isNull(), "the file is not a JSON object"),
-        Rule("pages", F.col("raw").isNotNull() & p.isNull(), "no pages"),
+        Rule("object", ~F.col("sound"), "the file is not a JSON object"),
+        Rule("pages", F.col("sound") & p.isNull(), "no pages"),
         Rule("page", p.isNotNull() & ~there, "a page is not an object"),
         Rule("page_ref", there & (F.coalesce("page_ref", F.lit("")) == ""), "page_ref is not a non-empty string"),
         Rule("extracted", there & ~F.coalesce(kind(p, "$.extracted").startswith("OBJECT"), F.lit(False)), "extracted is not an object"),

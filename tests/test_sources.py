@@ -40,6 +40,34 @@ def test_ocr_reports(spark, tmp_path):
         reports.load_ocr(spark, [good, write(tmp_path, "twin.json", ocr([{"page_number": 1, "text": "x"}]))])
 
 
+def test_reports_are_cut_into_pages(spark, tmp_path):
+    """No page carries its report along, and no window holds texts; braces in strings, escapes and other members change nothing."""
+    import gzip
+
+    pages = [{"page_number": n, "text": t} for n, t in ((1, 'a } "b" \\'), (2, "[{,}]: ü"), (3, ""), (4, '"pages": [1, 2]'))]
+    payload = {"a": {"pages": [5]}, "source": "a.pdf", "pages": pages, "z": [{"q": "}"}, [1]]}
+    texts = [json.dumps(payload), json.dumps(payload, indent=1, ensure_ascii=False) + "\n", json.dumps(payload).replace('"pages": [{"p', '"p\\u0061ges": [{"p')]
+    for t in texts:
+        cutter, got = reports.Cutter(), []
+        pieces = t.encode().split(b"}")
+        for i, piece in enumerate(pieces):
+            got += cutter.feed(b"}" * (i > 0) + piece)
+        done, rest = cutter.end(len(t.encode()))
+        assert [json.loads(x) for x in got + done] == pages and json.loads(rest) == payload | {"pages": [0] * 4}
+    files = [write(tmp_path, f"{i}.json", t) for i, t in enumerate(texts)]
+    packed = tmp_path / "3.json.gz"
+    packed.write_bytes(gzip.compress(texts[0].encode()))
+    rows = reports.load_ocr(spark, [*files, str(packed)], strict=False).rows
+    assert sorted((r.input_ord, r.position, r.page_number, r.text) for r in rows.collect()) == [(i, p["page_number"] - 1, p["page_number"], p["text"]) for i in range(4) for p in pages]
+    broken = [texts[0][:-1], texts[0] + " x", texts[0].replace('": ""}', '": "",}'), texts[0].replace("}, {", "} {", 1), "\ufeff" + texts[0], texts[0].replace("[{", "[,{", 1)]
+    files = [write(tmp_path, f"b{i}.json", t) for i, t in enumerate(broken)]
+    loaded = reports.load_ocr(spark, files, strict=False)
+    assert sorted((r.input_ord, r.rule) for r in loaded.violations.collect()) == [(i, "object") for i in range(len(files))] and loaded.rows.count() == 0
+    assert "raw" not in reports.pages_of(spark, files).columns
+    plan = loaded.violations._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("text#" in line or "page#" in line for line in plan.splitlines() if " Window " in line or line.lstrip(" :+-").startswith("Window"))
+
+
 def classified_page(n, category, confidence=0.9, review=False):
     shares = dict.fromkeys(S.CATEGORIES, 0.0) | {category: 1.0}
     return {"page_number": n, "page_ref": f"a.pdf#page-{n}", "category": category, "confidence": confidence, "probabilities": shares, "needs_review": review, "review_reason": None}
