@@ -20,10 +20,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, hash_sample, in_arrow, most_frequent, save
+from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, save
 
 HEAD = 1 << 18
 #: A word of the head was seen this often; rarer ones are what the spelling learns from.
@@ -42,10 +43,9 @@ REFINE_RATE = 0.001
 MOST_ODDS = 12.0
 PRIOR = 0.4
 BATCH_BYTES = 2 << 20
-#: Texts (up to FIT_BYTES each) that the starting weights are fitted on; only these are sampled.
-FIT_TEXTS = 192
-FIT_BYTES = 1 << 15
-FIT_BATCH = 8
+#: Bytes of texts that the starting weights are fitted on at once, and the passes over the first of a task.
+FIT_BYTES = 1 << 18
+FIRST_ROUNDS = 3
 COUNTED_WORDS = 400_000
 #: Partitions of the texts that one task counts together: it sends whole tables, so tasks are made coarse.
 TASK_PARTS = 4
@@ -381,20 +381,39 @@ def bit_counts(texts: DataFrame, code, bits: int) -> list[tuple[np.ndarray, np.n
     return [(c[:, 0], c[:, 1]) for c in counts.reshape(MODELS, -1, 2)]
 
 
-def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Starting weights: two passes over sample texts, each bit taken out of the counts that predict it."""
-    weights = start_weights()
-    if not texts:
-        return weights
+def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray, rounds: int = 1) -> np.ndarray:
+    """Weights after ``rounds`` passes over texts, each bit taken out of the counts that predict it."""
     x, words, y, n, slots = scorer.inputs(*scorer.code.tokens(texts))
     for k, (zeros, ones) in enumerate(counts):
         a, b = zeros[slots[k]], ones[slots[k]]
         x[:, k + 1] = log_odds(np.maximum(a - (y == 0), 0), np.maximum(b - (y == 1), 0))
-    for _ in range(3):
+    for _ in range(rounds):
         weights = mix(x, words, y, n, weights)[1].astype(np.float32)
     return weights
 
 
+def fitted_weights(texts: DataFrame, scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Starting weights from every text: a task goes on from the weights of its last slice, and the mean over all slices, by bytes, is taken."""
+    shipped = texts.sparkSession.sparkContext.broadcast((scorer, counts))  # bounded: MODELS * 12 * 2**MOST_BITS bytes and HEAD words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, its_counts = shipped.value
+        weights, total, size = start_weights(), np.zeros((GATES, MODELS + 1)), 0
+        for _, slice_ in binary_rows(batches, FIT_BYTES):
+            taken = 1 + sum(map(len, slice_))
+            weights = _fit([t.lower().split() for t in slice_], known, its_counts, weights, 1 if size else FIRST_ROUNDS)
+            total, size = total + taken * weights.astype(float), size + taken
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([size]), pa.array([total.ravel().tolist()])], names=["part", "size", "total"])
+
+    rows = sorted(in_arrow(texts.select("text"), run, "part long, size long, total array<double>").collect())  # one row a task
+    shipped.destroy()
+    if not rows:
+        return start_weights()
+    mean = np.sum([r.total for r in rows], axis=0) / sum(r.size for r in rows)
+    return mean.reshape(GATES, MODELS + 1).astype(np.float32)
+
+
 class Statistics:
     """What is learnt from the training texts: exact word counts (a table), the code, and the scorer."""
 
@@ -417,11 +436,9 @@ class Statistics:
         counts = bit_counts(texts, spark.sparkContext.broadcast(self.code), self.bits)
         tables = [log_odds(*c) for c in counts]
         self.scorer = Scorer(self.code, self.bits, tables, start_weights())
-        sample = hash_sample(texts.where(F.octet_length("text") <= FIT_BYTES), documents_, FIT_TEXTS, "text").collect()
-        sample = [bytes(r.text).lower().split() for r in sample]
-        out = [_fit(sample[i : i + FIT_BATCH], self.scorer, counts) for i in range(0, len(sample), FIT_BATCH)]
-        if out:
-            self.scorer.weights = np.mean(out, axis=0, dtype=np.float32)
+        # below 2**24 these are exact, above it one bit less makes no difference
+        counts = [tuple(np.ascontiguousarray(c, dtype=np.float32) for c in pair) for pair in counts]
+        self.scorer.weights = fitted_weights(texts, self.scorer, counts)
 
 
 def score(docs: DataFrame, head: int = HEAD) -> DataFrame:

@@ -499,3 +499,17 @@ def test_bit_counts_are_exact(spark):
         at = code.slots((h >> np.uint64(32)).astype(np.uint32), code.turns(node), length, 14)
         assert (zeros == 3 * np.bincount(at[y == 0], minlength=1 << 14)).all() and (ones == 3 * np.bincount(at[y == 1], minlength=1 << 14)).all()
         assert max(zeros.max(), ones.max()) > 3 * 65535
+
+
+def test_starting_weights_are_fitted_on_every_training_text(spark):
+    """No text is left out: one long text among many changes the weights, and without texts they stay as they start."""
+    texts = [(" ".join(f"w{(i * k) % 97}" for k in range(40 + 9000 * (i == 3))),) for i in range(400)] + [("",)]
+    docs = spark.createDataFrame(texts, "text string").select(F.col("text").cast("binary").alias("text")).repartition(3)
+    code = context_mixing.Code([b"w1", b"w2"], [5, 3], 2, 4, np.ones(257, dtype=np.int64))
+    counts = [(np.ones(1 << 14, dtype=np.float32), np.ones(1 << 14, dtype=np.float32))] * context_mixing.MODELS
+    scorer = context_mixing.Scorer(code, 14, [np.zeros(1 << 14, dtype=np.float32)] * context_mixing.MODELS, context_mixing.start_weights())
+    whole = context_mixing.fitted_weights(docs, scorer, counts)
+    assert whole.shape == context_mixing.start_weights().shape and np.isfinite(whole).all() and not np.allclose(whole, context_mixing.start_weights())
+    assert np.array_equal(context_mixing.fitted_weights(docs.limit(0), scorer, counts), context_mixing.start_weights())
+    few = context_mixing.fitted_weights(docs.where(F.octet_length("text") < 1000), scorer, counts)
+    assert not np.allclose(whole, few, atol=1e-7)
