@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, save
+from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, release, save
 
 LEXICON_WORDS = 1 << 17
 LEXICON_BYTES = 64
@@ -374,6 +374,8 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     bpe, words = WordBpe(spec), frequent_words(docs, lexicon_words)
     block = spark.sparkContext.broadcast(compile_lexicon(dict(zip(words, bpe.encode([w.decode(errors="replace") for w in words]), strict=True))))
     shipped = spark.sparkContext.broadcast(bpe)  # the merges as arrays, not the tokenizer file
+    del spec, words
+    release()  # what the driver compiled the lexicon from
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped, block)

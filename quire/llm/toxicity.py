@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, per_text
+from quire.llm.common import documents, per_text, release
 from quire.llm.tokens import scramble, window_hashes
 
 WINDOW = 16
@@ -260,6 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def _toxicity(spark, model: Model):
     """The score of the column ``text``."""
     shipped = spark.sparkContext.broadcast(model)  # under 60 kB
+    release()  # the texts that the driver fitted on
     return per_text(F.col("text").cast("binary"), lambda: shipped.value.scorer(), "double")
 
 

@@ -73,3 +73,16 @@ def test_run_of_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_the_driver_gives_memory_back_after_its_fits(spark, monkeypatch):
+    """Texts fitted on and words compiled are not kept in the driver's process through the stages that follow."""
+    from quire.llm import bpe, toxicity
+
+    given = []
+    for module in (toxicity, bpe):
+        monkeypatch.setattr(module, "release", lambda name=module.__name__: given.append(name))
+    docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
+    toxicity.reject_toxic(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    bpe.encode(docs)
+    assert given == ["quire.llm.toxicity", "quire.llm.bpe"]
