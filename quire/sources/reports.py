@@ -172,7 +172,9 @@ def _parsed(spark: SparkSession, paths: list[str]) -> DataFrame:
     sizes = [1]
     for p in dict.fromkeys(paths):
         where = jvm.org.apache.hadoop.fs.Path(p)
-        sizes.append(where.getFileSystem(conf).getFileStatus(where).getLen())
+        system = where.getFileSystem(conf)
+        if system.exists(where):  # if not, the reader says so
+            sizes.append(system.getFileStatus(where).getLen())
     own = spark.newSession()  # no file is split there: a part takes as much as the largest file, or an equal share
     for name, value in (
         ("spark.sql.files.maxPartitionBytes", max(*sizes, sum(sizes) // spark.sparkContext.defaultParallelism)), ("spark.sql.files.minPartitionNum", 1),
