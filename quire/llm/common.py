@@ -118,6 +118,16 @@ def release() -> None:
         pass
 
 
+def keep_memory() -> None:
+    """Reuse freed arrays of up to 32 MB, not return them to the system each time, until ``release``: a page costs more than its filling."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD, the most that it may be
+        libc.mallopt(-1, 256 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def in_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow(run, schema)`` over batches of bounded size, the worker's memory given back at the end of each task."""
 

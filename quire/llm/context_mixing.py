@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, save
+from quire.llm.common import binary_rows, documents, in_arrow, keep_memory, most_frequent, save
 
 HEAD = 1 << 18
 #: A word of the head was seen this often; rarer ones are what the spelling learns from.
@@ -43,6 +43,10 @@ REFINE_RATE = 0.001
 MOST_ODDS = 12.0
 PRIOR = 0.4
 BATCH_BYTES = 2 << 20
+#: Symbols whose bits are looked up at once: few enough for the processor's caches.
+SYMBOLS_AT_ONCE = 1 << 14
+#: Bits of a lane that are read at once.
+STEPS_AT_ONCE = 16
 #: Bytes of texts that the starting weights are fitted on at once, and the passes over the first of a task.
 FIT_BYTES = 1 << 18
 FIRST_ROUNDS = 3
@@ -103,7 +107,9 @@ class Code:
         b = huffman(np.maximum(byte_counts, 1))
         nodes = len(a[3])
         self.offsets = np.concatenate([a[0], b[0][1:] + a[0][-1]])
-        self.nodes, self.bits = np.concatenate([a[1], b[1] + nodes]).astype(np.int32), np.concatenate([a[2], b[2]]).astype(np.int8)
+        self.sizes = np.diff(self.offsets)
+        # a node and the bit taken there travel together, as the node's number twice and the bit
+        self.turned = (np.concatenate([a[1], b[1] + nodes]) * 2 + np.concatenate([a[2], b[2]])).astype(np.int32)
         share = np.clip(np.concatenate([a[3], b[3]]), 1e-6, 1 - 1e-6)
         self.prior = np.clip(np.log(share / (1 - share)), -MOST_ODDS, MOST_ODDS).astype(np.float32)
 
@@ -158,10 +164,12 @@ class Code:
 
     def paths(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nodes and bits of all symbols in a row, and the number of bits of each."""
-        length = self.offsets[symbols + 1] - self.offsets[symbols]
+        length = self.sizes.take(symbols)
         ends = np.cumsum(length)
-        which = np.repeat(self.offsets[symbols] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        return self.nodes[which], self.bits[which], length
+        which = np.repeat(self.offsets.take(symbols) - (ends - length), length)
+        which += np.arange(len(which))
+        turned = self.turned.take(which)
+        return turned >> 1, (turned & 1).astype(np.int8), length
 
     @staticmethod
     def turns(node: np.ndarray) -> np.ndarray:
@@ -196,13 +204,18 @@ def start_weights() -> np.ndarray:
     return w
 
 
+def _gates(x: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Of each bit: whether the longer context was seen, and whether a word is coded."""
+    return (x[:, MODELS] != 0).view(np.int8) + 2 * words.view(np.int8)
+
+
 def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log2 probability of every text, and the weights at the lanes' ends, averaged.
 
-    x: log odds of each bit by model (bits x WIDE, the last ones zero); words: True for bits of word paths; y: the bits; counts: bits a text.
+    x: log odds of each bit by model (bits x WIDE, the last one free: it is overwritten); words: True for bits of word paths; y: the bits; counts: bits a text.
     """
-    gate = (x[:, MODELS] != 0).astype(np.int64)
-    gate += 2 * words
+    # the bit and the gate travel with the log odds: the sign and the size, from 1, of the last float
+    x[:, WIDE - 1] = (_gates(x, words) + 1) * (2 * y.astype(np.int8) - 1)
     lanes = -(-counts // LANE)
     text = np.repeat(np.arange(len(counts)), lanes)
     number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
@@ -219,37 +232,42 @@ def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, wei
     total = np.zeros(n)
     row = np.arange(n) * GATES
     live = np.searchsorted(-length, -np.arange(1, LANE + 1), side="right")  # lanes with at least that many bits
-    sign = y.astype(np.float32) * 2 - 1
     # for a bit coded as s = 1 or -1 and log odds o, the cost is log(1 + exp(-s * o)) and its slope by o is -s * c / (1 + c)
     # with c = exp(-s * o); costs are multiplied up and their logarithm is taken every few bits
-    product = np.ones(n)
-    for k in range(int(length[0]) if n else 0):
-        m = int(live[k])
-        at = begin[:m] + k
-        xs, s = x_items.take(at).view(np.float32).reshape(m, WIDE), sign.take(at)
-        own = gate.take(at)
-        own += row[:m]
-        ws = w_items.take(own).view(np.float32).reshape(m, WIDE)
-        dot = np.einsum("ij,ij->i", xs, ws)
-        odds = slope[:m] * dot
-        odds += offset[:m]
-        odds *= -s
-        c = np.exp(np.minimum(odds, 30, out=odds), out=odds)
-        one = c + 1
-        product[:m] *= one
-        s *= c
-        s /= one
-        xs *= (RATE * s)[:, None]
-        xs += ws
-        w_items[own] = xs.view(np.complex128).ravel()
-        s *= REFINE_RATE
-        offset[:m] += s
-        s *= dot
-        slope[:m] += s
-        if k % 16 == 15:
-            total[:m] -= np.log(product[:m])
-            product[:m] = 1
-    total -= np.log(product)
+    product, used = np.ones(n), np.ones(WIDE, dtype=np.float32)
+    used[WIDE - 1] = 0
+    for start in range(0, int(length[0]) if n else 0, STEPS_AT_ONCE):
+        # the next bits of every lane, read in one go, then laid out bit by bit
+        m = int(live[start])
+        block = x_items.take(begin[:m, None] + np.arange(start, start + STEPS_AT_ONCE), mode="clip")
+        block = np.ascontiguousarray(block.T).view(np.float32).reshape(STEPS_AT_ONCE, m, WIDE)
+        signs = np.copysign(np.float32(1), block[:, :, WIDE - 1])
+        owns = np.abs(block[:, :, WIDE - 1]).astype(np.int64)
+        owns += row[:m] - 1
+        for k in range(start, min(start + STEPS_AT_ONCE, int(length[0]))):
+            m = int(live[k])
+            xs, s, own = block[k - start, :m], signs[k - start, :m], owns[k - start, :m]
+            ws = w_items.take(own).view(np.float32).reshape(m, WIDE)
+            dot = (xs * ws) @ used
+            odds = slope[:m] * dot
+            odds += offset[:m]
+            odds *= -s
+            c = np.exp(np.minimum(odds, 30, out=odds), out=odds)
+            one = c + 1
+            product[:m] *= one
+            s *= c
+            s /= one
+            step = RATE * s
+            for j in range(MODELS + 1):  # by columns: rows of four are too short for numpy's loops
+                xs[:, j] *= step
+            xs += ws
+            w_items[own] = xs.view(np.complex128).ravel()
+            s *= REFINE_RATE
+            offset[:m] += s
+            s *= dot
+            slope[:m] += s
+        total -= np.log(product)
+        product[:] = 1
     out = np.zeros(len(counts))
     np.add.at(out, text[order], total / np.log(2))
     return out, w.reshape(n, GATES, WIDE)[:, :, : MODELS + 1].mean(axis=0) if n else weights
@@ -258,20 +276,38 @@ def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, wei
 class Scorer:
     def __init__(self, code: Code, bits: int, tables: list[np.ndarray], weights: np.ndarray):
         self.code, self.bits, self.tables, self.weights = code, bits, tables, weights
+        self.rows = np.zeros((0, WIDE), dtype=np.float32)
+
+    def own(self) -> Scorer:
+        """For one task, which reuses its rows of inputs: fresh memory costs more than filling it."""
+        return Scorer(self.code, self.bits, self.tables, self.weights)
 
-    def inputs(self, flat: list, ids: np.ndarray, lengths: np.ndarray):
+    def inputs(self, flat: list, ids: np.ndarray, lengths: np.ndarray, odds=None):
+        """``mix``'s x (until the next call), words, y and counts; odds(model, slots, bits) gives the log odds, if not the tables."""
+        odds = odds or (lambda k, slots, _: self.tables[k].take(slots))
         symbols, hashes, counts = self.code.steps(flat, ids, lengths)
-        node, y, length = self.code.paths(symbols)
-        x, turn, slots = np.zeros((len(node), WIDE), dtype=np.float32), self.code.turns(node), []
-        x[:, 0] = self.code.prior[node]
-        for k in range(MODELS):
-            slots.append(self.code.slots((hashes[k] >> np.uint64(32)).astype(np.uint32), turn, length, self.bits))
-            x[:, k + 1] = self.tables[k][slots[k]]
-        return x, node <= self.code.end, y, np.add.reduceat(length, np.cumsum(counts) - counts), slots
+        contexts = (hashes >> np.uint64(32)).astype(np.uint32)
+        ends = np.cumsum(self.code.sizes.take(symbols))
+        total = int(ends[-1]) if len(ends) else 0
+        if total > len(self.rows):
+            self.rows = np.zeros((0, WIDE), dtype=np.float32)  # the old ones go first
+            self.rows = np.zeros((total + total // 8, WIDE), dtype=np.float32)
+        x, words, y = self.rows[:total], np.empty(total, dtype=bool), np.empty(total, dtype=np.int8)
+        at = 0
+        for a in range(0, len(symbols), SYMBOLS_AT_ONCE):
+            node, bit, length = self.code.paths(symbols[a : a + SYMBOLS_AT_ONCE])
+            turn, to = self.code.turns(node), slice(at, at + len(node))
+            x[to, 0] = self.code.prior.take(node)
+            for k in range(MODELS):
+                x[to, k + 1] = odds(k, self.code.slots(contexts[k, a : a + SYMBOLS_AT_ONCE], turn, length, self.bits), bit)
+            words[to], y[to] = node <= self.code.end, bit
+            at = to.stop
+        texts = np.cumsum(counts) - counts
+        return x, words, y, np.diff(np.append(ends[texts] - self.code.sizes.take(symbols[texts]), total))
 
     def log2(self, flat: list, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """log2 probability of each text, given as ``Code.tokens`` does."""
-        x, words, y, counts, _ = self.inputs(flat, ids, lengths)
+        x, words, y, counts = self.inputs(flat, ids, lengths)
         return mix(x, words, y, counts, self.weights)[0]
 
 
@@ -330,6 +366,7 @@ def bit_counts(texts: DataFrame, code, bits: int) -> list[tuple[np.ndarray, np.n
     block = min(bits, BLOCK_BITS)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         total = np.zeros((MODELS, 2 << bits), dtype=np.int64)
         some, own_code = False, code.value
         for _, own in binary_rows(batches, 2 * BATCH_BYTES):
@@ -341,10 +378,14 @@ def bit_counts(texts: DataFrame, code, bits: int) -> list[tuple[np.ndarray, np.n
                 pair.sort()
                 first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
                 times, pair = np.diff(np.append(first, len(pair))), pair[first]
-                node, y, length = own_code.paths((pair & np.uint64(0xFFFFFFFF)).astype(np.int64))
-                slot = own_code.slots((pair >> np.uint64(32)).astype(np.uint32), own_code.turns(node), length, bits)
-                # whole numbers below 2**53 in a double: exact
-                total[k] += np.bincount((slot.astype(np.int64) << 1) | y, weights=np.repeat(times, length), minlength=2 << bits).astype(np.int64)
+                symbol, context = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64), (pair >> np.uint64(32)).astype(np.uint32)
+                for a in range(0, len(pair), SYMBOLS_AT_ONCE):
+                    part = slice(a, a + SYMBOLS_AT_ONCE)
+                    node, y, length = own_code.paths(symbol[part])
+                    slot = own_code.slots(context[part], own_code.turns(node), length, bits).astype(np.int64)
+                    slot <<= 1
+                    slot |= y
+                    np.add.at(total[k], slot, np.repeat(times[part], length))
         press = zstandard.ZstdCompressor(level=1).compress
         for k in range(MODELS if some else 0):
             parts = total[k].astype("<i8", copy=False).reshape(-1, 2 << block)
@@ -381,37 +422,67 @@ def bit_counts(texts: DataFrame, code, bits: int) -> list[tuple[np.ndarray, np.n
     return [(c[:, 0], c[:, 1]) for c in counts.reshape(MODELS, -1, 2)]
 
 
-def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray, rounds: int = 1) -> np.ndarray:
-    """Weights after ``rounds`` passes over texts, each bit taken out of the counts that predict it."""
-    x, words, y, n, slots = scorer.inputs(*scorer.code.tokens(texts))
-    for k, (zeros, ones) in enumerate(counts):
-        a, b = zeros[slots[k]], ones[slots[k]]
-        x[:, k + 1] = log_odds(np.maximum(a - (y == 0), 0), np.maximum(b - (y == 1), 0))
-    for _ in range(rounds):
-        weights = mix(x, words, y, n, weights)[1].astype(np.float32)
-    return weights
+class _Newton:
+    """Weights of a logistic model for each gate, by a Newton step a slice with the curvature of all slices so far."""
+
+    def __init__(self) -> None:
+        self.weights = start_weights().astype(float)
+        self.curve = np.zeros((GATES, MODELS + 1, MODELS + 1)) + np.eye(MODELS + 1)
+
+    def step(self, x: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
+        gate, items = _gates(x, words), x.view(np.complex128).ravel()
+        for g in range(GATES):
+            own = np.flatnonzero(gate == g)
+            rows = items.take(own).view(np.float32).reshape(-1, WIDE)
+            w = np.zeros(WIDE, dtype=np.float32)
+            w[: MODELS + 1] = self.weights[g]
+            p = rows @ w
+            np.clip(p, -30, 30, out=p)
+            p = 1 / (1 + np.exp(-p))
+            slope = rows.T @ (y.take(own) - p)
+            p *= 1 - p
+            curve = np.stack([(rows[:, j] * p) @ rows for j in range(MODELS + 1)])
+            self.curve[g] += curve[:, : MODELS + 1]
+            self.weights[g] += np.clip(np.linalg.solve(self.curve[g], slope[: MODELS + 1].astype(float)), -1, 1)
+
+
+def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]], model: _Newton, rounds: int = 1) -> None:
+    """``rounds`` steps of ``model`` over texts, each bit taken out of the counts that predict it."""
+
+    def without_own(k: int, slots: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        zeros, ones = counts[k][0].take(slots), counts[k][1].take(slots)
+        ones -= bit
+        zeros -= 1 - bit
+        return log_odds(np.maximum(zeros, 0, out=zeros), np.maximum(ones, 0, out=ones))
+
+    x, words, y, _ = scorer.inputs(*scorer.code.tokens(texts), without_own)
+    for r in range(rounds):
+        if r:  # the curvature is taken where the weights are now
+            model.curve[:] = np.eye(MODELS + 1)
+        model.step(x, words, y)
 
 
 def fitted_weights(texts: DataFrame, scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Starting weights from every text: a task goes on from the weights of its last slice, and the mean over all slices, by bytes, is taken."""
-    shipped = texts.sparkSession.sparkContext.broadcast((scorer, counts))  # bounded: MODELS * 12 * 2**MOST_BITS bytes and HEAD words
+    """Starting weights from every text: a task goes on from slice to slice, and the tasks' weights are put together by their curvature."""
+    shipped = texts.sparkSession.sparkContext.broadcast((Scorer(scorer.code, scorer.bits, [], scorer.weights), counts))  # bounded: MODELS * 8 * 2**MOST_BITS bytes and HEAD words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         known, its_counts = shipped.value
-        weights, total, size = start_weights(), np.zeros((GATES, MODELS + 1)), 0
+        known, model, some = known.own(), _Newton(), False
         for _, slice_ in binary_rows(batches, FIT_BYTES):
-            taken = 1 + sum(map(len, slice_))
-            weights = _fit([t.lower().split() for t in slice_], known, its_counts, weights, 1 if size else FIRST_ROUNDS)
-            total, size = total + taken * weights.astype(float), size + taken
-        if size:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([size]), pa.array([total.ravel().tolist()])], names=["part", "size", "total"])
+            _fit([t.lower().split() for t in slice_], known, its_counts, model, 1 if some else FIRST_ROUNDS)
+            some = True
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([model.curve.ravel().tolist()]), pa.array([model.weights.ravel().tolist()])], names=["part", "curve", "weights"])
 
-    rows = sorted(in_arrow(texts.select("text"), run, "part long, size long, total array<double>").collect())  # one row a task
+    rows = sorted(in_arrow(texts.select("text"), run, "part long, curve array<double>, weights array<double>").collect())  # one row a task
     shipped.destroy()
     if not rows:
         return start_weights()
-    mean = np.sum([r.total for r in rows], axis=0) / sum(r.size for r in rows)
-    return mean.reshape(GATES, MODELS + 1).astype(np.float32)
+    curves = np.array([r.curve for r in rows]).reshape(-1, GATES, MODELS + 1, MODELS + 1)
+    pulls = np.einsum("tgij,tgj->gi", curves, np.array([r.weights for r in rows]).reshape(-1, GATES, MODELS + 1))
+    return np.linalg.solve(curves.sum(axis=0), pulls[:, :, None])[:, :, 0].astype(np.float32)
 
 
 class Statistics:
@@ -457,8 +528,9 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         scorer, logs = shipped.value
-        code = scorer.code
+        scorer, code = scorer.own(), scorer.code
         for piece, texts in binary_rows(batches, BATCH_BYTES):
             flat, ids, lengths = code.tokens([t.lower().split() for t in texts])
             starts = np.cumsum(lengths) - lengths

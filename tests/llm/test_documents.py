@@ -513,3 +513,33 @@ def test_starting_weights_are_fitted_on_every_training_text(spark):
     assert np.array_equal(context_mixing.fitted_weights(docs.limit(0), scorer, counts), context_mixing.start_weights())
     few = context_mixing.fitted_weights(docs.where(F.octet_length("text") < 1000), scorer, counts)
     assert not np.allclose(whole, few, atol=1e-7)
+
+
+def test_starting_weights_are_near_the_best(spark):
+    """The fit reaches what a plain Newton loop over all bits at once reaches: it does not stop near the weights it starts from."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{min(int(i), 400)}" for i in rng.zipf(1.4, 300)).encode() for _ in range(400)]
+    seen = Counter(b" ".join(texts).split())
+    head = [w for w, n in seen.items() if n >= 4]
+    code = context_mixing.Code(head, [seen[w] for w in head], len(texts), sum(seen.values()) - sum(seen[w] for w in head), np.ones(257, dtype=np.int64))
+    docs = spark.createDataFrame([(t,) for t in texts], "text binary").repartition(3)
+    counts = [tuple(c.astype(np.float32) for c in pair) for pair in context_mixing.bit_counts(docs, spark.sparkContext.broadcast(code), 14)]
+    scorer = context_mixing.Scorer(code, 14, [context_mixing.log_odds(*c) for c in counts], context_mixing.start_weights())
+    got = context_mixing.fitted_weights(docs, scorer, counts)
+    symbols, hashes, _ = code.steps(*code.tokens([t.split() for t in texts]))
+    node, y, length = code.paths(symbols)
+    x = [code.prior[node]]
+    for (zeros, ones), h in zip(counts, hashes, strict=True):
+        at = code.slots((h >> np.uint64(32)).astype(np.uint32), code.turns(node), length, 14)
+        x.append(context_mixing.log_odds(zeros[at] - (y == 0), ones[at] - (y == 1)))
+    x, gate = np.stack(x, axis=1).astype(float), (x[-1] != 0) + 2 * (node <= code.end)
+    loss = lambda rows, s, w: np.log1p(np.exp(-s * (rows @ w))).sum()
+    best = found = start = 0.0
+    for g in range(context_mixing.GATES):
+        rows, s, w = x[gate == g], 2.0 * y[gate == g] - 1, context_mixing.start_weights()[g].astype(float)
+        start, found = start + loss(rows, s, w), found + loss(rows, s, got[g].astype(float))
+        for _ in range(12):
+            p = 1 / (1 + np.exp(-(rows @ w)))
+            w = w + np.linalg.solve((rows.T * (p * (1 - p))) @ rows + np.eye(3), rows.T @ ((s > 0) - p))
+        best += loss(rows, s, w)
+    assert best < found < best + 0.05 * (start - best)
