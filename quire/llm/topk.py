@@ -28,6 +28,10 @@ EXACT = float(1 << 53)
 STEP = 1 / 16
 #: Reading stops when at most this many times k rows can still qualify.
 LEFT = 16
+#: Queries whose bounds are compared together.
+QUERIES_AT_ONCE = 64
+#: Queries whose bounds are compared at every depth, to find the depth at which those of the others are worth it.
+FIRST = 8
 
 
 def floored(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -55,40 +59,79 @@ class SortedLists:
 
     def top(self, query: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows (positions) of the k best by (score desc, id), without the row ``own``, and their scores."""
-        rows = self._candidates(query, k, own)
-        scores = self.values[rows] @ query
-        if np.abs(self.values[rows]).max(initial=0) * np.abs(query).max(initial=0) * max(len(query), 1) >= EXACT:
-            scores = self.values[rows].astype(np.int64) @ query.astype(np.int64)
+        return self._best(query, k, self._candidates(query, k, own))
+
+    def tops(self, queries: np.ndarray, k: int, owns: list[int | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``top`` of every query, in their order."""
+        for query, rows in zip(queries, self._candidates_of(queries, k, owns), strict=True):
+            yield self._best(query, k, rows)
+
+    def _best(self, query: np.ndarray, k: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values = self.values[rows]
+        scores = values @ query
+        if np.abs(values).max(initial=0) * np.abs(query).max(initial=0) * max(len(query), 1) >= EXACT:
+            scores = values.astype(np.int64) @ query.astype(np.int64)
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return rows[best], scores[best]
 
     def _candidates(self, query: np.ndarray, k: int, own: int | None) -> np.ndarray:
-        """The rows that can be among the k best when reading ends."""
-        n, used = len(self.ids), np.flatnonzero(query)
-        rows = np.arange(n) if own is None else np.delete(np.arange(n), own)
-        if not len(used) or len(rows) <= LEFT * k:
-            return rows
-        order = [d for sign in (1, -1) for d in used[np.sign(query[used]) == sign]]  # lists read from their upper, then from their lower end
-        ups, q = int((query[used] > 0).sum()), query[order]
-        q2 = q * q
-        step = max(1, int(n * STEP))
-        score, seen, length2 = np.zeros(n), np.zeros(n), np.zeros(n)  # what was read of each row: score, the query's and its own squared length
+        return self._candidates_of(query[None, :], k, [own])[0]
+
+    def _candidates_of(self, queries: np.ndarray, k: int, owns: list[int | None]) -> list[np.ndarray]:
+        """For each query, the rows that can be among its k best when its reading ends.
+
+        A list is read from both ends, once for all queries: what was read lies in ``high`` and ``low``, and a query takes from each
+        dimension the end that its own component makes large. The queries that can't stop yet go on to the next depth together. The bounds of
+        most are first compared at the depth at which one of the first FIRST queries stops: reading on beyond need loses nothing.
+        """
+        n, width = self.values.shape
+        out: list[np.ndarray | None] = [None] * len(queries)
+        for i, own in enumerate(owns):
+            if not queries[i].any() or n - (own is not None) <= LEFT * k:
+                out[i] = np.arange(n) if own is None else np.delete(np.arange(n), own)
+        open_ = np.array([i for i, found in enumerate(out) if found is None], dtype=np.int64)
+        step, begun = max(1, int(n * STEP)), False
+        high, low = np.zeros((width, n)), np.zeros((width, n))  # components read from the upper and the lower ends
+        high_seen, low_seen = np.zeros((width, n), dtype=bool), np.zeros((width, n), dtype=bool)
         for depth in range(step, n, step):
-            ends = [(order[:ups], slice(n - depth, n - depth + step)), (order[ups:], slice(depth - step, depth))]
-            at = np.concatenate([self.order[lists, places] for lists, places in ends])
-            x = np.concatenate([self.sorted[lists, places] for lists, places in ends])
-            at, many = at.ravel(), x.shape[1]
-            score += np.bincount(at, weights=(x * q[:, None]).ravel(), minlength=n)
-            seen += np.bincount(at, weights=np.repeat(q2, many), minlength=n)
-            length2 += np.bincount(at, weights=(x * x).ravel(), minlength=n)
-            front = np.concatenate([self.sorted[order[:ups], n - depth], self.sorted[order[ups:], depth - 1]]) * q
-            spread = np.sqrt(np.maximum(q2.sum() - seen, 0) * np.maximum(self.length2 - length2, 0)) * (1 + 1e-9)
-            low, high = score - spread, score + np.minimum(spread, np.maximum(front, 0).sum())
-            bar = np.partition(low[rows], -k)[-k]
-            left = rows[high[rows] >= bar - 1e-6 * max(1.0, abs(bar))]
-            if len(left) <= LEFT * k:
-                return left
-        return rows  # read to the end: all scores are final
+            if not len(open_):
+                break
+            for read, seen, places in ((high, high_seen, slice(n - depth, n - depth + step)), (low, low_seen, slice(depth - step, depth))):
+                np.put_along_axis(read, self.order[:, places], self.sorted[:, places], axis=1)
+                np.put_along_axis(seen, self.order[:, places], True, axis=1)
+            read, seen = np.concatenate([high, low]), np.concatenate([high_seen, low_seen]).astype(float)
+            read2 = read * read
+            stopped = np.zeros(len(open_), dtype=bool)
+            for a in [0, *range(FIRST, len(open_), QUERIES_AT_ONCE)]:
+                some = open_[a : a + (QUERIES_AT_ONCE if a else FIRST)]
+                if a and not begun and not stopped.any():
+                    break  # none of the first has stopped
+                begun = begun or a > 0
+                q = queries[some]
+                sides = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1)
+                q2 = (q * q).sum(axis=1)[:, None]
+                front = np.maximum(sides * np.concatenate([self.sorted[:, n - depth], self.sorted[:, depth - 1]]), 0).sum(axis=1)[:, None]
+                # what was read of each row: score, the query's and its own squared length; then what is left of the lengths
+                score, left, left2 = sides @ read, (sides * sides) @ seen, (sides != 0).astype(float) @ read2
+                # (sums in another order than the whole lengths': they may lack a little)
+                np.maximum(np.subtract(q2 * (1 + 1e-9), left, out=left), 0, out=left)
+                np.maximum(np.subtract(self.length2 * (1 + 1e-9), left2, out=left2), 0, out=left2)
+                spread = np.sqrt(np.multiply(left, left2, out=left), out=left)
+                spread *= 1 + 1e-9
+                below = score - spread
+                above = np.add(score, np.minimum(spread, front, out=spread), out=score)
+                for j, own in enumerate(owns[i] for i in some.tolist()):
+                    if own is not None:
+                        below[j, own] = above[j, own] = -np.inf
+                bar = np.partition(below, -k, axis=1)[:, -k]
+                bar -= 1e-6 * np.maximum(1.0, np.abs(bar))
+                can = above >= bar[:, None]
+                for j in np.flatnonzero(can.sum(axis=1) <= LEFT * k).tolist():
+                    out[some[j]], stopped[a + j] = np.flatnonzero(can[j]), True
+            open_ = open_[~stopped]
+        for i in open_.tolist():  # read to the end: all scores are final
+            out[i] = np.arange(n) if owns[i] is None else np.delete(np.arange(n), owns[i])
+        return out
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -122,8 +165,8 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, block_rows: int =
         rows = rows.sort_values(["id", "row"])
         lists, place = SortedLists(rows["id"].to_numpy(), _matrix(rows["v"], width)), {r: i for i, r in enumerate(rows["row"])}
         out = []
-        for qid, row, q in zip(own["id"].to_numpy(), own["row"].to_numpy(), _matrix(own["v"], width), strict=True):
-            found, scores = lists.top(q, k, place.get(row))
+        every = lists.tops(_matrix(own["v"], width), k, [place.get(r) for r in own["row"]])
+        for qid, row, (found, scores) in zip(own["id"].to_numpy(), own["row"].to_numpy(), every, strict=True):
             out.append((np.full(len(found), qid), np.full(len(found), row), lists.ids[found], scores.astype(np.int64)))
         return pd.DataFrame({name: np.concatenate([x[i] for x in out]) for i, name in enumerate(schema)})
 

@@ -131,6 +131,27 @@ def test_reading_stops_before_the_lists_end():
         assert [(-s, r) for s, r in zip(scores, rows, strict=True)] == best and len(lists._candidates(values[q], 5, q)) <= 80
 
 
+def test_queries_that_read_the_lists_together():
+    """Each query gets what brute force gives it, whatever the others need: ties, copies, uneven lengths and sparse vectors."""
+    rng = np.random.default_rng(0)
+    for t in range(40):
+        n, d = int(rng.integers(81, 900)), int(rng.integers(1, 20))
+        values = np.floor(256 * rng.normal(size=(n, d)))
+        if t % 5 == 1:
+            values = rng.integers(-1, 2, size=(n, d)).astype(float)
+        elif t % 5 == 2:
+            values[rng.random(n) < 0.7] = values[0]
+        elif t % 5 == 3:
+            values *= 2.0 ** rng.integers(0, 14, size=(n, 1))
+        elif t % 5 == 4:
+            values *= rng.random((n, d)) < 0.2
+        some = rng.choice(n, size=min(n, 100), replace=False).tolist()
+        owns = [i if rng.random() < 0.8 else None for i in some]
+        for i, own, (rows, scores) in zip(some, owns, topk.SortedLists(np.arange(n), values).tops(values[some], 5, owns), strict=True):
+            full = values @ values[i]
+            assert [(-s, r) for s, r in zip(scores, rows, strict=True)] == sorted((-full[j], j) for j in range(n) if j != own)[:5]
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     pairs = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(5, 5), (None, 3)]
