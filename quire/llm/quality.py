@@ -35,6 +35,8 @@ HELD_GRAMS = 2_000_000
 #: Trusted ids that are broadcast to pick the training texts; beyond it the texts are shuffled to them.
 BROADCAST_IDS = 2_000_000
 BROADCAST_LANGUAGES = 10_000
+#: Bytes of texts that travel to their block in one row.
+PACKED_BYTES = 1 << 20
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +158,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         ends = np.append(first[1:], len(block))
         data = [press(np.stack([np.diff(gram[a:b], prepend=0), logp[a:b].view(np.int64)]).astype("<i8").tobytes()) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-        m = len(data)
-        columns = [pa.array(block[first], pa.int32()), pa.array(np.zeros(m, dtype=np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.string()), pa.array(data, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["block", "kind", "doc_id", "lang", "text"])
+        columns = [pa.array(block[first], pa.int32()), pa.array(np.zeros(len(data), dtype=np.int32)), pa.array(data, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "kind", "data"])
 
     for b in batches:
         if b.num_rows:
@@ -171,6 +172,16 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, doc_id, lang, text) -> one row for each PACKED_BYTES of texts or so: the rows, compressed together, which is denser than row by row."""
+    for batch, texts in binary_rows(batches, PACKED_BYTES):
+        own = pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(texts, pa.large_binary())], names=["doc_id", "lang", "text"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(own)
+        yield pa.RecordBatch.from_arrays([batch.column(0)[:1], pa.array([1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "kind", "data"])
+
+
 def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity of every row of ``docs`` (doc_id, lang, text: binary), read twice: it must be a table or saved."""
     n = docs.rdd.getNumPartitions()  # a task for each block
@@ -183,10 +194,10 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
 
     asked = save(in_arrow(blocks.select("block", "text"), ask, "block int, gram long"), "asked")
     p = probabilities(save(asked.select("gram").distinct(), f"asked-{ORDER}"), model)
-    # packed lists of grams and log probabilities go to their block before its texts
+    # packed lists of grams and log probabilities go to their block before its packed texts
     told = asked.hint("merge").join(p, "gram").select("block", "gram", F.ln("p").alias("logp"))
-    told = in_arrow(told, _packed, "block int, kind int, doc_id long, lang string, text binary")
-    rows = blocks.select("block", F.lit(1).alias("kind"), "doc_id", "lang", "text")
+    told = in_arrow(told, _packed, "block int, kind int, data binary")
+    rows = in_arrow(blocks.select("block", "doc_id", "lang", "text"), _packed_rows, "block int, kind int, data binary")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor().decompress
@@ -197,11 +208,11 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
             key = np.asarray(batch.column(0)).astype(np.int64) * 2 + np.asarray(batch.column(1))
             cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                piece, block, kind = batch.slice(a, b - a), key[a] // 2, key[a] % 2
+                packed, block, kind = batch.column(2).slice(a, b - a).to_pylist(), key[a] // 2, key[a] % 2
                 if block != now:
                     now, parts, known = block, [], None
                 if kind == 0:
-                    for data in map(unpress, piece.column(4).to_pylist()):
+                    for data in map(unpress, packed):
                         steps, told_logs = np.frombuffer(data, dtype="<i8").reshape(2, -1)
                         parts.append((np.cumsum(steps), told_logs.view("<f8")))
                     continue
@@ -209,13 +220,13 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
                     known, logs = (np.concatenate(x) for x in zip(*parts, strict=True))
                     order = np.argsort(known)
                     known, logs, parts = known[order], logs[order], []
-                for part, texts in binary_rows(iter([piece])):
-                    packed, size = grams(texts)
-                    at = np.minimum(np.searchsorted(known, packed), len(known) - 1)
-                    if not np.array_equal(known[at], packed):
+                for part, texts in binary_rows(own for data in packed for own in pa.ipc.open_stream(data)):
+                    asked_grams, size = grams(texts)
+                    at = np.minimum(np.searchsorted(known, asked_grams), len(known) - 1)
+                    if not np.array_equal(known[at], asked_grams):
                         raise RuntimeError("the two scans of the documents were split into different partitions; save them first")
                     sums = np.add.reduceat(logs[at], np.cumsum(size) - size)
-                    yield pa.RecordBatch.from_arrays([part.column(2), part.column(3), pa.array(size), pa.array(np.exp(-sums / size))], names=["doc_id", "lang", "n_symbols", "perplexity"])
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(size), pa.array(np.exp(-sums / size))], names=["doc_id", "lang", "n_symbols", "perplexity"])
 
     met = told.unionByName(rows).repartitionById(n, F.col("block") % n).sortWithinPartitions("block", "kind")
     return in_arrow(met, add_up, "doc_id long, lang string, n_symbols long, perplexity double")
