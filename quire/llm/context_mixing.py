@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, in_arrow, keep_memory, most_frequent, save
+from quire.llm.common import binary_rows, documents, in_arrow, keep_memory, most_frequent, release, save
 
 HEAD = 1 << 18
 #: A word of the head was seen this often; rarer ones are what the spelling learns from.
@@ -204,9 +204,9 @@ def start_weights() -> np.ndarray:
     return w
 
 
-def _gates(x: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Of each bit: whether the longer context was seen, and whether a word is coded."""
-    return (x[:, MODELS] != 0).view(np.int8) + 2 * words.view(np.int8)
+def _gates(last: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Of each bit: whether the longer context was seen (its log odds are not 0), and whether a word is coded."""
+    return (last != 0).view(np.int8) + 2 * words.view(np.int8)
 
 
 def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +215,7 @@ def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, wei
     x: log odds of each bit by model (bits x WIDE, the last one free: it is overwritten); words: True for bits of word paths; y: the bits; counts: bits a text.
     """
     # the bit and the gate travel with the log odds: the sign and the size, from 1, of the last float
-    x[:, WIDE - 1] = (_gates(x, words) + 1) * (2 * y.astype(np.int8) - 1)
+    x[:, WIDE - 1] = (_gates(x[:, MODELS], words) + 1) * (2 * y.astype(np.int8) - 1)
     lanes = -(-counts // LANE)
     text = np.repeat(np.arange(len(counts)), lanes)
     number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
@@ -282,11 +282,19 @@ class Scorer:
         """For one task, which reuses its rows of inputs: fresh memory costs more than filling it."""
         return Scorer(self.code, self.bits, self.tables, self.weights)
 
-    def inputs(self, flat: list, ids: np.ndarray, lengths: np.ndarray, odds=None):
-        """``mix``'s x (until the next call), words, y and counts; odds(model, slots, bits) gives the log odds, if not the tables."""
+    def pieces(self, symbols: np.ndarray, hashes: np.ndarray, odds=None) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+        """Log odds by model, words and bits of some symbols after others; odds(model, slots, bits) gives those of the hashed models, if not the tables."""
         odds = odds or (lambda k, slots, _: self.tables[k].take(slots))
-        symbols, hashes, counts = self.code.steps(flat, ids, lengths)
         contexts = (hashes >> np.uint64(32)).astype(np.uint32)
+        for a in range(0, len(symbols), SYMBOLS_AT_ONCE):
+            node, bit, length = self.code.paths(symbols[a : a + SYMBOLS_AT_ONCE])
+            turn = self.code.turns(node)
+            slots = (self.code.slots(c[a : a + SYMBOLS_AT_ONCE], turn, length, self.bits) for c in contexts)
+            yield [self.code.prior.take(node), *(odds(k, s, bit) for k, s in enumerate(slots))], node <= self.code.end, bit
+
+    def inputs(self, flat: list, ids: np.ndarray, lengths: np.ndarray):
+        """``mix``'s x (until the next call), words, y and counts."""
+        symbols, hashes, counts = self.code.steps(flat, ids, lengths)
         ends = np.cumsum(self.code.sizes.take(symbols))
         total = int(ends[-1]) if len(ends) else 0
         if total > len(self.rows):
@@ -294,13 +302,11 @@ class Scorer:
             self.rows = np.zeros((total + total // 8, WIDE), dtype=np.float32)
         x, words, y = self.rows[:total], np.empty(total, dtype=bool), np.empty(total, dtype=np.int8)
         at = 0
-        for a in range(0, len(symbols), SYMBOLS_AT_ONCE):
-            node, bit, length = self.code.paths(symbols[a : a + SYMBOLS_AT_ONCE])
-            turn, to = self.code.turns(node), slice(at, at + len(node))
-            x[to, 0] = self.code.prior.take(node)
-            for k in range(MODELS):
-                x[to, k + 1] = odds(k, self.code.slots(contexts[k, a : a + SYMBOLS_AT_ONCE], turn, length, self.bits), bit)
-            words[to], y[to] = node <= self.code.end, bit
+        for columns, word, bit in self.pieces(symbols, hashes):
+            to = slice(at, at + len(bit))
+            for k, column in enumerate(columns):
+                x[to, k] = column
+            words[to], y[to] = word, bit
             at = to.stop
         texts = np.cumsum(counts) - counts
         return x, words, y, np.diff(np.append(ends[texts] - self.code.sizes.take(symbols[texts]), total))
@@ -428,53 +434,66 @@ class _Newton:
     def __init__(self) -> None:
         self.weights = start_weights().astype(float)
         self.curve = np.zeros((GATES, MODELS + 1, MODELS + 1)) + np.eye(MODELS + 1)
+        self.slope = np.zeros((GATES, MODELS + 1))
 
-    def step(self, x: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
-        gate, items = _gates(x, words), x.view(np.complex128).ravel()
+    def add(self, columns: list[np.ndarray], words: np.ndarray, y: np.ndarray) -> None:
+        gate = _gates(columns[MODELS], words)
         for g in range(GATES):
             own = np.flatnonzero(gate == g)
-            rows = items.take(own).view(np.float32).reshape(-1, WIDE)
-            w = np.zeros(WIDE, dtype=np.float32)
-            w[: MODELS + 1] = self.weights[g]
-            p = rows @ w
-            np.clip(p, -30, 30, out=p)
-            p = 1 / (1 + np.exp(-p))
-            slope = rows.T @ (y.take(own) - p)
+            xs, p = [c.take(own) for c in columns], np.zeros(len(own), dtype=np.float32)
+            for x, w in zip(xs, self.weights[g].astype(np.float32), strict=True):
+                p -= w * x
+            np.exp(np.clip(p, -30, 30, out=p), out=p)
+            p += 1
+            np.reciprocal(p, out=p)
+            off = y.take(own) - p
             p *= 1 - p
-            curve = np.stack([(rows[:, j] * p) @ rows for j in range(MODELS + 1)])
-            self.curve[g] += curve[:, : MODELS + 1]
-            self.weights[g] += np.clip(np.linalg.solve(self.curve[g], slope[: MODELS + 1].astype(float)), -1, 1)
+            for i, x in enumerate(xs):
+                self.slope[g, i] += off @ x
+                x_p = x * p
+                for j in range(i + 1):
+                    self.curve[g, i, j] += x_p @ xs[j]
+
+    def step(self) -> None:
+        for g in range(GATES):
+            self.weights[g] += np.clip(np.linalg.solve(self.whole()[g], self.slope[g]), -1, 1)
+        self.slope[:] = 0
+
+    def whole(self) -> np.ndarray:
+        """The curvature, of which only the lower half is summed."""
+        return np.tril(self.curve) + np.tril(self.curve, -1).transpose(0, 2, 1)
 
 
-def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]], model: _Newton, rounds: int = 1) -> None:
-    """``rounds`` steps of ``model`` over texts, each bit taken out of the counts that predict it."""
+def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[np.ndarray], model: _Newton, rounds: int = 1) -> None:
+    """``rounds`` steps of ``model`` over texts, each bit taken out of the counts that predict it (zeros and ones of a slot: one item of ``counts``)."""
 
     def without_own(k: int, slots: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        zeros, ones = counts[k][0].take(slots), counts[k][1].take(slots)
-        ones -= bit
-        zeros -= 1 - bit
-        return log_odds(np.maximum(zeros, 0, out=zeros), np.maximum(ones, 0, out=ones))
+        seen = counts[k].take(slots).view(np.float32).reshape(-1, 2)
+        return log_odds(np.maximum(seen[:, 0] - (1 - bit), 0), np.maximum(seen[:, 1] - bit, 0))
 
-    x, words, y, _ = scorer.inputs(*scorer.code.tokens(texts), without_own)
+    symbols, hashes, _ = scorer.code.steps(*scorer.code.tokens(texts))
     for r in range(rounds):
         if r:  # the curvature is taken where the weights are now
             model.curve[:] = np.eye(MODELS + 1)
-        model.step(x, words, y)
+        for piece in scorer.pieces(symbols, hashes, without_own):
+            model.add(*piece)
+        model.step()
 
 
 def fitted_weights(texts: DataFrame, scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Starting weights from every text: a task goes on from slice to slice, and the tasks' weights are put together by their curvature."""
-    shipped = texts.sparkSession.sparkContext.broadcast((Scorer(scorer.code, scorer.bits, [], scorer.weights), counts))  # bounded: MODELS * 8 * 2**MOST_BITS bytes and HEAD words
+    pairs = [np.stack(pair, axis=1, dtype=np.float32, casting="unsafe").view(np.complex64).ravel() for pair in counts]  # below 2**24 exact, above it one bit less makes no difference
+    shipped = texts.sparkSession.sparkContext.broadcast((Scorer(scorer.code, scorer.bits, [], scorer.weights), pairs))  # bounded: MODELS * 8 * 2**MOST_BITS bytes and HEAD words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_memory()
         known, its_counts = shipped.value
-        known, model, some = known.own(), _Newton(), False
+        model, some = _Newton(), False
         for _, slice_ in binary_rows(batches, FIT_BYTES):
             _fit([t.lower().split() for t in slice_], known, its_counts, model, 1 if some else FIRST_ROUNDS)
             some = True
         if some:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([model.curve.ravel().tolist()]), pa.array([model.weights.ravel().tolist()])], names=["part", "curve", "weights"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([model.whole().ravel().tolist()]), pa.array([model.weights.ravel().tolist()])], names=["part", "curve", "weights"])
 
     rows = sorted(in_arrow(texts.select("text"), run, "part long, curve array<double>, weights array<double>").collect())  # one row a task
     shipped.destroy()
@@ -507,9 +526,9 @@ class Statistics:
         counts = bit_counts(texts, spark.sparkContext.broadcast(self.code), self.bits)
         tables = [log_odds(*c) for c in counts]
         self.scorer = Scorer(self.code, self.bits, tables, start_weights())
-        # below 2**24 these are exact, above it one bit less makes no difference
-        counts = [tuple(np.ascontiguousarray(c, dtype=np.float32) for c in pair) for pair in counts]
         self.scorer.weights = fitted_weights(texts, self.scorer, counts)
+        del counts
+        release()
 
 
 def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
