@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, release, save
+from quire.llm.common import binary_rows, documents, in_arrow, most_frequent, release, save, trim_jvm
 
 LEXICON_WORDS = 1 << 17
 LEXICON_BYTES = 64
@@ -376,6 +376,7 @@ def encode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICO
     shipped = spark.sparkContext.broadcast(bpe)  # the merges as arrays, not the tokenizer file
     del spec, words
     release()  # what the driver compiled the lexicon from
+    trim_jvm(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped, block)

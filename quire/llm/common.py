@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and outlives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    trim_jvm(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -118,6 +120,24 @@ def release() -> None:
         pass
 
 
+def trim_jvm(spark: SparkSession) -> None:
+    """Give free memory of the driver JVM's native heap back.
+
+    Planning and compiling many queries leaves the JVM's allocator hundreds of MB, over its threads' arenas, that it would keep.
+    """
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    try:
+        # by reflection: the server's own class is not open to Py4J
+        server, kind = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), jvm.java.lang.Class.forName("javax.management.MBeanServer")
+        call = next(m for m in kind.getMethods() if m.getName() == "invoke")
+        of = array(jvm.java.lang.Object, 4)
+        of[0], of[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        of[2], of[3] = array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)
+        call.invoke(server, of)
+    except Py4JError:  # another system, JVM or allocator
+        pass
+
+
 def keep_memory() -> None:
     """Reuse freed arrays of up to 32 MB, not return them to the system each time, until ``release``: a page costs more than its filling."""
     try:

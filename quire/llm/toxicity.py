@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, per_text, release
+from quire.llm.common import documents, per_text, release, trim_jvm
 from quire.llm.tokens import scramble, window_hashes
 
 WINDOW = 16
@@ -75,7 +75,16 @@ def _distinct(texts: list[bytes]) -> list[bytes]:
 
 
 def _frequencies(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *map(_grams, texts)]), return_counts=True)
+    """Distinct substrings of all texts and the number of texts that hold each; sorted in place, as the driver does this."""
+    grams, at = np.empty(sum(max(0, len(t) - GRAM + 1) for t in texts), dtype=np.uint64), 0
+    for t in texts:
+        own = _grams(t)
+        grams[at : at + len(own)] = own
+        at += len(own)
+    grams = grams[:at]
+    grams.sort()
+    first = np.flatnonzero(np.r_[np.ones(min(1, at), dtype=bool), grams[1:] != grams[:-1]])
+    return grams[first], np.diff(np.append(first, at))
 
 
 def _telling(own: list[bytes], other: list[bytes]) -> dict[int, float]:
@@ -104,14 +113,16 @@ def _kinds(texts: list[bytes], rounds: int = 12) -> np.ndarray:
         if len(raw) > 1:
             x[i] = np.bincount((raw[:-1] * 167 + raw[1:]) % PAIRS, minlength=PAIRS)
     unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-9)
-    x = unit(np.sqrt(x, out=x))
+    np.sqrt(x, out=x)
+    for part in np.array_split(x, len(x) // 256 + 1):  # views, so that there is never a second copy of all rows
+        part[:] = unit(part)
     near, centres = x @ unit(x.mean(axis=0)), []
     for k in range(KINDS):
         centres.append(x[near.argmin()])
         near = np.maximum(near, x @ centres[-1]) if k else x @ centres[-1]
     for _ in range(rounds):
         at = (x @ np.array(centres).T).argmax(axis=1)
-        centres = [unit(x[at == k].mean(axis=0)) if (at == k).any() else c for k, c in enumerate(centres)]
+        centres = [unit(x.mean(axis=0, where=(at == k)[:, None])) if (at == k).any() else c for k, c in enumerate(centres)]
     return at
 
 
@@ -261,6 +272,7 @@ def _toxicity(spark, model: Model):
     """The score of the column ``text``."""
     shipped = spark.sparkContext.broadcast(model)  # under 60 kB
     release()  # the texts that the driver fitted on
+    trim_jvm(spark)
     return per_text(F.col("text").cast("binary"), lambda: shipped.value.scorer(), "double")
 
 

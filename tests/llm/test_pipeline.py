@@ -1,10 +1,15 @@
 """The pipeline's stages, one after another, against what each must do with its own input."""
 
 import random
+import re
+import tracemalloc
+from pathlib import Path
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
+from quire.llm import common, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +91,27 @@ def test_the_driver_gives_memory_back_after_its_fits(spark, monkeypatch):
     toxicity.reject_toxic(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
     bpe.encode(docs)
     assert given == ["quire.llm.toxicity", "quire.llm.bpe"]
+
+
+def test_the_native_heap_of_the_drivers_jvm_is_trimmed(spark, monkeypatch):
+    def resident():
+        rollup = Path(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup").read_text()
+        return int(re.search(r"Anonymous:\s+(\d+)", rollup)[1]) / 1024
+
+    monkeypatch.setattr(common, "Py4JError", ZeroDivisionError)  # so that a call that is not there fails
+    native = [spark._jvm.java.util.zip.Deflater() for _ in range(400)]
+    for d in native[:-1]:  # the last one holds the freed memory below it
+        d.end()
+    full = resident()
+    common.trim_jvm(spark)
+    assert resident() < full - 20
+
+
+def test_toxicity_groups_texts_without_a_second_copy_of_their_rows():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, 200, dtype=np.uint8).tobytes() for _ in range(1500)]
+    tracemalloc.start()
+    toxicity._kinds(texts, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * len(texts) * toxicity.PAIRS * 4
