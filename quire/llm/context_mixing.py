@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -96,13 +96,72 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return np.concatenate([[0], np.cumsum(lengths)]), np.concatenate(steps_nodes)[to], np.concatenate(steps_bits)[to], share
 
 
+class Lexicon:
+    """Numbers of words, looked up many at once: a dictionary's lookups wait for memory one after another.
+
+    A word of up to SHORT bytes is two integers, its bytes and its length, so equal integers are equal words; longer words are in a dictionary.
+    """
+
+    SHORT = 15
+    MASKS = np.array([[(1 << 8 * min(n, 8)) - 1, (1 << 8 * max(n - 8, 0)) - 1] for n in range(SHORT + 1)], dtype=np.uint64)
+
+    def __init__(self, words: list[bytes]):
+        self.long = {w: i for i, w in enumerate(words) if len(w) > self.SHORT}
+        low, high, size = self._packed(words)
+        self.keys = np.stack([low, high], axis=1)
+        self.shift = np.uint64(64 - max(4, (4 * len(words)).bit_length()))
+        self.slots = np.full(1 << (64 - int(self.shift)), -1, dtype=np.int32)
+        left = np.flatnonzero(size <= self.SHORT)
+        at = self._slot(low[left], high[left])
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            moved = self.slots[at] != left
+            left, at = left[moved], (at[moved] + 1) & (len(self.slots) - 1)
+
+    @classmethod
+    def _packed(cls, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        begin = np.cumsum(size) - size
+        text = b"".join(words)
+        eights = np.frombuffer(text + bytes(32 - len(text) % 8), dtype="<u8")
+        first, turn = begin >> 3, ((begin & 7) << 3).astype(np.uint64)
+        back = np.uint64(63) - turn
+        a, b, c = (eights.take(first + k) for k in range(3))
+        kept = np.minimum(size, cls.SHORT)
+        low = (a >> turn | b << np.uint64(1) << back) & cls.MASKS[:, 0].take(kept)
+        high = (b >> turn | c << np.uint64(1) << back) & cls.MASKS[:, 1].take(kept)
+        return low, high | kept.astype(np.uint64) << np.uint64(56), size
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        h = (low ^ high * _MIX[1]) * _MIX[0]
+        h ^= h >> np.uint64(29)
+        return (h * _MIX[1] >> self.shift).astype(np.int64)
+
+    def numbers(self, words: list[bytes], other: int) -> np.ndarray:
+        """Of each word; ``other`` for words that are not in the lexicon."""
+        low, high, size = self._packed(words)
+        out = np.full(len(words), other, dtype=np.int64)
+        at, left = self._slot(low, high), np.arange(len(words))
+        while len(left):
+            found = self.slots.take(at)
+            some = np.flatnonzero(found >= 0)
+            left, at, found = left[some], at[some], found[some]
+            key = self.keys.take(found, axis=0)
+            same = (key[:, 0] == low[left]) & (key[:, 1] == high[left])
+            out[left[same]] = found[same]
+            left, at = left[~same], (at[~same] + 1) & (len(self.slots) - 1)
+        for i in np.flatnonzero(size > self.SHORT).tolist():
+            out[i] = self.long.get(words[i], other)
+        return out
+
+
 class Code:
     """Codebook over head words, end, escape, bytes and word end; ids in that order."""
 
     def __init__(self, words: list[bytes], counts: list[int], ends: int, escapes: int, byte_counts: np.ndarray):
-        self.ids: dict[bytes | None, int] = {w: i for i, w in enumerate(words)}
+        self.lexicon = Lexicon(words)
         self.end, self.escape, self.first_byte = len(words), len(words) + 1, len(words) + 2
-        self.ids[None] = self.end
         a = huffman(np.array([*counts, max(1, ends), max(1, escapes)], dtype=np.int64))
         b = huffman(np.maximum(byte_counts, 1))
         nodes = len(a[3])
@@ -115,12 +174,10 @@ class Code:
 
     def tokens(self, texts: list[list[bytes]]) -> tuple[list, np.ndarray, np.ndarray]:
         """All words in a row with None for each end, their ids (escape for rare words), and the tokens of each text."""
-        flat: list[bytes | None] = []
-        for t in texts:
-            flat += t
-            flat.append(None)
-        ids = np.fromiter(map(self.ids.get, flat, repeat(self.escape)), dtype=np.int64, count=len(flat))
-        return flat, ids, np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
+        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
+        ids = self.lexicon.numbers(list(chain.from_iterable(texts)), self.escape)
+        ids = np.insert(ids, np.cumsum(lengths - 1), self.end)
+        return list(chain.from_iterable(chain(t, (None,)) for t in texts)), ids, lengths
 
     def steps(self, flat: list, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of all texts in a row, MODELS context hashes of each, and the number of symbols of each text."""
@@ -198,6 +255,14 @@ def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.clip(np.log((ones + PRIOR) / (zeros + PRIOR)), -MOST_ODDS, MOST_ODDS).astype(np.float32)
 
 
+def _apart(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log odds of every slot for one of its own 0s and for one of its own 1s, which is taken out of the counts; side by side."""
+    out = np.empty((len(zeros), 2), dtype=np.float32)
+    out[:, 0] = log_odds(np.maximum(zeros - 1, 0), ones)
+    out[:, 1] = log_odds(zeros, np.maximum(ones - 1, 0))
+    return out.ravel()
+
+
 def start_weights() -> np.ndarray:
     w = np.full((GATES, MODELS + 1), 0.2, dtype=np.float32)
     w[:, 0] = 0.5
@@ -464,12 +529,13 @@ class _Newton:
         return np.tril(self.curve) + np.tril(self.curve, -1).transpose(0, 2, 1)
 
 
-def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[np.ndarray], model: _Newton, rounds: int = 1) -> None:
-    """``rounds`` steps of ``model`` over texts, each bit taken out of the counts that predict it (zeros and ones of a slot: one item of ``counts``)."""
+def _fit(texts: list[list[bytes]], scorer: Scorer, apart: list[np.ndarray], model: _Newton, rounds: int = 1) -> None:
+    """``rounds`` steps of ``model`` over texts, each bit taken out of the counts that predict it (``apart``: as ``_apart`` gives it for each hashed model)."""
 
     def without_own(k: int, slots: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        seen = counts[k].take(slots).view(np.float32).reshape(-1, 2)
-        return log_odds(np.maximum(seen[:, 0] - (1 - bit), 0), np.maximum(seen[:, 1] - bit, 0))
+        slots <<= 1
+        slots |= bit
+        return apart[k].take(slots)
 
     symbols, hashes, _ = scorer.code.steps(*scorer.code.tokens(texts))
     for r in range(rounds):
@@ -482,15 +548,15 @@ def _fit(texts: list[list[bytes]], scorer: Scorer, counts: list[np.ndarray], mod
 
 def fitted_weights(texts: DataFrame, scorer: Scorer, counts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Starting weights from every text: a task goes on from slice to slice, and the tasks' weights are put together by their curvature."""
-    pairs = [np.stack(pair, axis=1, dtype=np.float32, casting="unsafe").view(np.complex64).ravel() for pair in counts]  # below 2**24 exact, above it one bit less makes no difference
-    shipped = texts.sparkSession.sparkContext.broadcast((Scorer(scorer.code, scorer.bits, [], scorer.weights), pairs))  # bounded: MODELS * 8 * 2**MOST_BITS bytes and HEAD words
+    apart = [_apart(*pair) for pair in counts]
+    shipped = texts.sparkSession.sparkContext.broadcast((Scorer(scorer.code, scorer.bits, [], scorer.weights), apart))  # bounded: MODELS * 8 * 2**MOST_BITS bytes and HEAD words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_memory()
-        known, its_counts = shipped.value
+        known, its_odds = shipped.value
         model, some = _Newton(), False
         for _, slice_ in binary_rows(batches, FIT_BYTES):
-            _fit([t.lower().split() for t in slice_], known, its_counts, model, 1 if some else FIRST_ROUNDS)
+            _fit([t.lower().split() for t in slice_], known, its_odds, model, 1 if some else FIRST_ROUNDS)
             some = True
         if some:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([model.whole().ravel().tolist()]), pa.array([model.weights.ravel().tolist()])], names=["part", "curve", "weights"])

@@ -559,3 +559,24 @@ def test_starting_weights_are_near_the_best(spark):
             w = w + np.linalg.solve((rows.T * (p * (1 - p))) @ rows + np.eye(3), rows.T @ ((s > 0) - p))
         best += loss(rows, s, w)
     assert best < found < best + 0.05 * (start - best)
+
+
+def test_lexicon_numbers_words_as_a_dictionary_does():
+    rng = random.Random(3)
+    words = list({bytes(rng.choice([0, 97, 255]) for _ in range(rng.randint(1, 20))) for _ in range(6000)} - {b"a", b"a\0", b"\0"})
+    known = [b"a", b"\0", *words[:2000]]
+    want = {w: i for i, w in enumerate(known)}
+    asked = [b"a\0", b"a", *words, *known]
+    assert context_mixing.Lexicon(known).numbers(asked, -1).tolist() == [want.get(w, -1) for w in asked]
+    assert context_mixing.Lexicon([]).numbers(asked, 7).tolist() == [7] * len(asked)
+    code = context_mixing.Code(known, [1] * len(known), 1, 1, np.ones(257, dtype=np.int64))
+    flat, ids, lengths = code.tokens([[], [b"\0", b"new"], [b"a"]])
+    assert flat == [None, b"\0", b"new", None, b"a", None] and lengths.tolist() == [1, 3, 2]
+    assert ids.tolist() == [code.end, 1, code.escape, code.end, 0, code.end]
+
+
+def test_fit_takes_each_bit_out_of_the_counts_that_predict_it():
+    zeros, ones = np.array([0, 1, 5]), np.array([2, 0, 7])
+    got = context_mixing._apart(zeros, ones).reshape(-1, 2)
+    assert np.array_equal(got[:, 0], context_mixing.log_odds(np.array([0, 0, 4]), ones))
+    assert np.array_equal(got[:, 1], context_mixing.log_odds(zeros, np.array([1, 0, 6])))
