@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import binary_rows, documents, in_arrow, keep_memory, most_frequent, release, save
+from quire.llm.tokens import Words
 
 HEAD = 1 << 18
 #: A word of the head was seen this often; rarer ones are what the spelling learns from.
@@ -41,6 +41,8 @@ RATE = 0.004
 REFINE_RATE = 0.001
 #: Log odds stay within this.
 MOST_ODDS = 12.0
+#: A bit's cost in the mixer stays within this, so that products of STEPS_AT_ONCE costs do.
+MOST_COST = np.float32(30)
 PRIOR = 0.4
 BATCH_BYTES = 2 << 20
 #: Symbols whose bits are looked up at once: few enough for the processor's caches.
@@ -107,7 +109,8 @@ class Lexicon:
 
     def __init__(self, words: list[bytes]):
         self.long = {w: i for i, w in enumerate(words) if len(w) > self.SHORT}
-        low, high, size = self._packed(words)
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        low, high = self._packed(b"".join(words), np.cumsum(size) - size, size)
         self.keys = np.stack([low, high], axis=1)
         self.shift = np.uint64(64 - max(4, (4 * len(words)).bit_length()))
         self.slots = np.full(1 << (64 - int(self.shift)), -1, dtype=np.int32)
@@ -120,18 +123,24 @@ class Lexicon:
             left, at = left[moved], (at[moved] + 1) & (len(self.slots) - 1)
 
     @classmethod
-    def _packed(cls, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        begin = np.cumsum(size) - size
-        text = b"".join(words)
-        eights = np.frombuffer(text + bytes(32 - len(text) % 8), dtype="<u8")
-        first, turn = begin >> 3, ((begin & 7) << 3).astype(np.uint64)
-        back = np.uint64(63) - turn
-        a, b, c = (eights.take(first + k) for k in range(3))
+    def _packed(cls, data: bytes, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two integers of the words of ``size`` bytes at ``begin`` in ``data``."""
+        eights = np.frombuffer(data + bytes(32 - len(data) % 8), dtype="<u8")
         kept = np.minimum(size, cls.SHORT)
-        low = (a >> turn | b << np.uint64(1) << back) & cls.MASKS[:, 0].take(kept)
-        high = (b >> turn | c << np.uint64(1) << back) & cls.MASKS[:, 1].take(kept)
-        return low, high | kept.astype(np.uint64) << np.uint64(56), size
+
+        def eight(at: np.ndarray, mask: np.ndarray) -> np.ndarray:
+            first, turn = at >> 3, ((at & 7) << 3).astype(np.uint64)
+            out = eights.take(first + 1)
+            out <<= np.uint64(1)
+            out <<= np.uint64(63) - turn
+            out |= eights.take(first) >> turn
+            out &= mask
+            return out
+
+        high = kept.astype(np.uint64) << np.uint64(56)
+        more = np.flatnonzero(kept > 8)
+        high[more] |= eight(begin[more] + 8, cls.MASKS[:, 1].take(kept[more]))
+        return eight(begin, cls.MASKS[:, 0].take(kept)), high
 
     def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         h = (low ^ high * _MIX[1]) * _MIX[0]
@@ -140,22 +149,45 @@ class Lexicon:
 
     def numbers(self, words: list[bytes], other: int) -> np.ndarray:
         """Of each word; ``other`` for words that are not in the lexicon."""
-        low, high, size = self._packed(words)
-        out = np.full(len(words), other, dtype=np.int64)
-        at, left = self._slot(low, high), np.arange(len(words))
-        while len(left):
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        return self.find(b"".join(words), np.cumsum(size) - size, size, other)
+
+    def find(self, data: bytes, begin: np.ndarray, size: np.ndarray, other: int) -> np.ndarray:
+        """``numbers`` of the words of ``size`` bytes at ``begin`` in ``data``."""
+        if not len(self.keys):
+            return np.full(len(begin), other, dtype=np.int64)
+        low, high = self._packed(data, begin, size)
+        keys = self.keys.view(np.complex128).ravel()  # both integers of a word move as one item
+        at = self._slot(low, high)
+        out, left = np.full(len(begin), other, dtype=np.int64), None
+        while left is None or len(left):
             found = self.slots.take(at)
-            some = np.flatnonzero(found >= 0)
-            left, at, found = left[some], at[some], found[some]
-            key = self.keys.take(found, axis=0)
-            same = (key[:, 0] == low[left]) & (key[:, 1] == high[left])
-            out[left[same]] = found[same]
-            left, at = left[~same], (at[~same] + 1) & (len(self.slots) - 1)
+            key = keys.take(found).view(np.uint64).reshape(-1, 2)  # of an empty slot, the last word's
+            taken = found >= 0
+            same = key[:, 0] == low
+            same &= key[:, 1] == high
+            same &= taken
+            if left is None:
+                out, left = np.where(same, found, out), np.arange(len(found))
+            else:
+                out[left[same]] = found[same]
+            on = np.flatnonzero(taken & ~same)
+            left, at, low, high = left[on], (at[on] + 1) & (len(self.slots) - 1), low[on], high[on]
         for i in np.flatnonzero(size > self.SHORT).tolist():
-            out[i] = self.long.get(words[i], other)
+            out[i] = self.long.get(data[begin[i] : begin[i] + size[i]], other)
         return out
 
 
+class Flat:
+    """The words of some texts in a row, None for each text's end; words are cut out when they are asked for."""
+
+    def __init__(self, data: bytes, begin: np.ndarray, end: np.ndarray):
+        self.data, self.begin, self.end = data, begin, end  # of an end, both are -1
+
+    def take(self, where: np.ndarray) -> list[bytes | None]:
+        return [self.data[a:b] if a >= 0 else None for a, b in zip(self.begin[where].tolist(), self.end[where].tolist(), strict=True)]
+
+
 class Code:
     """Codebook over head words, end, escape, bytes and word end; ids in that order."""
 
@@ -172,51 +204,68 @@ class Code:
         share = np.clip(np.concatenate([a[3], b[3]]), 1e-6, 1 - 1e-6)
         self.prior = np.clip(np.log(share / (1 - share)), -MOST_ODDS, MOST_ODDS).astype(np.float32)
 
+    def read(self, texts: list[bytes]) -> tuple[Flat, np.ndarray, np.ndarray]:
+        """All words of lower-cased ``texts`` and each text's end in a row, their ids (escape for rare words), and the tokens of each text.
+
+        Words are found by their bounds in all bytes at once, without a Python object for each.
+        """
+        words = Words([t.lower() for t in texts])
+        place = np.arange(len(words.starts)) + np.repeat(np.arange(len(texts)), words.counts)
+        ids = np.full(len(words.starts) + len(texts), self.end, dtype=np.int64)
+        ids[place] = self.lexicon.find(words.data, words.starts, words.ends - words.starts, self.escape)
+        begin, end = np.full((2, len(ids)), -1, dtype=np.int64)
+        begin[place], end[place] = words.starts, words.ends
+        return Flat(words.data, begin, end), ids, words.counts + 1
+
     def tokens(self, texts: list[list[bytes]]) -> tuple[list, np.ndarray, np.ndarray]:
-        """All words in a row with None for each end, their ids (escape for rare words), and the tokens of each text."""
-        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-        ids = self.lexicon.numbers(list(chain.from_iterable(texts)), self.escape)
-        ids = np.insert(ids, np.cumsum(lengths - 1), self.end)
-        return list(chain.from_iterable(chain(t, (None,)) for t in texts)), ids, lengths
+        """As ``read`` gives it, with a list of the words, for texts that are lists of lower-cased words."""
+        flat, ids, lengths = self.read([b" ".join(t) for t in texts])
+        return flat.take(np.arange(len(ids))), ids, lengths
 
-    def steps(self, flat: list, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def steps(self, flat: Flat | list, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of all texts in a row, MODELS context hashes of each, and the number of symbols of each text."""
-        starts = np.cumsum(lengths) - lengths
-        at = np.arange(len(ids))
-        begin = np.repeat(starts, lengths)
+        stops = np.cumsum(lengths)
+        starts = stops - lengths
 
-        def back(x: np.ndarray, k: int, since: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(x), dtype=np.uint64)
+        def back(x: np.ndarray, k: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+            """What stands ``k`` before each entry of x, 0 before the starts of its runs."""
+            out = np.empty(len(x), dtype=np.uint64)
             out[k:] = x[: max(0, len(x) - k)]
-            out[at[: len(x)] - k < since] = 0
+            for j in range(k):
+                out[starts[lengths > j] + j] = 0
             return out
 
         named = (ids + 1).astype(np.uint64)
-        last = np.maximum.accumulate(np.where(ids < FREQUENT, at, -1))
-        last = np.concatenate([[-1], last[:-1]])
-        seen = np.where(last >= begin, named[last], np.uint64(0))
-        contexts = np.stack([_hash(1, seen), _hash(2, back(named, 1, begin))])
+        # a text's end stops the search for its last very frequent word
+        often = ids < FREQUENT
+        value = np.where(often, named, np.uint64(0))
+        value[stops - 1] = 0
+        often[stops - 1] = True
+        last = np.maximum.accumulate(np.where(often, np.arange(len(ids)), 0))
+        seen = np.zeros(len(ids), dtype=np.uint64)
+        seen[1:] = value.take(last[:-1])
+        contexts = _hash(1, seen), _hash(2, back(named, 1, starts, lengths))
         where = np.flatnonzero(ids == self.escape)
         if not len(where):
-            return ids, contexts, lengths
-        rare = [flat[i] for i in where.tolist()]
+            return ids, np.stack(contexts), lengths
+        rare = flat.take(where) if isinstance(flat, Flat) else [flat[i] for i in where.tolist()]
         size = np.fromiter(map(len, rare), dtype=np.int64, count=len(rare)) + 1
         spelt = np.frombuffer(b"\x00".join(rare) + b"\x00", dtype=np.uint8).astype(np.int64)
         tail = np.cumsum(size) - 1
         spelt[tail] = 256  # the word end
-        since = np.repeat(tail - size + 1, size)
+        since = tail - size + 1
         letters = (spelt + 1).astype(np.uint64)
-        at = np.arange(len(spelt))
-        p = [back(letters, k, since) for k in range(1, 5)]
-        spelling = np.stack([_hash(3, *p[:2]), _hash(4, *p)])
+        p = [back(letters, k, since, size) for k in range(1, 5)]
+        spelling = _hash(3, *p[:2]), _hash(4, *p)
         more = np.ones(len(ids), dtype=np.int64)
         more[where] += size
         place = np.cumsum(more) - more  # of each token's own symbol
+        letter = np.repeat(place[where] + 1 - since, size) + np.arange(len(spelt))
         symbols = np.empty(int(more.sum()), dtype=np.int64)
         hashes = np.empty((MODELS, len(symbols)), dtype=np.uint64)
-        symbols[place], hashes[:, place] = ids, contexts
-        letter = np.repeat(place[where] + 1 - (tail - size + 1), size) + np.arange(len(spelt))
-        symbols[letter], hashes[:, letter] = spelt + self.first_byte, spelling
+        symbols[place], symbols[letter] = ids, spelt + self.first_byte
+        for own, context, spelled in zip(hashes, contexts, spelling, strict=True):
+            own[place], own[letter] = context, spelled
         return symbols, hashes, np.add.reduceat(more, starts)
 
     def paths(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -225,7 +274,7 @@ class Code:
         ends = np.cumsum(length)
         which = np.repeat(self.offsets.take(symbols) - (ends - length), length)
         which += np.arange(len(which))
-        turned = self.turned.take(which)
+        turned = self.turned.take(which, mode="clip")
         return turned >> 1, (turned & 1).astype(np.int8), length
 
     @staticmethod
@@ -245,9 +294,11 @@ class Code:
 def _hash(kind: int, *parts: np.ndarray) -> np.ndarray:
     h = np.full(len(parts[0]), kind, dtype=np.uint64)
     for p in parts:
-        h = (h ^ p) * _MIX[1]
+        h ^= p
+        h *= _MIX[1]
         h ^= h >> np.uint64(29)
-    return h * _MIX[0]
+    h *= _MIX[0]
+    return h
 
 
 def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -279,8 +330,17 @@ def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, wei
 
     x: log odds of each bit by model (bits x WIDE, the last one free: it is overwritten); words: True for bits of word paths; y: the bits; counts: bits a text.
     """
-    # the bit and the gate travel with the log odds: the sign and the size, from 1, of the last float
-    x[:, WIDE - 1] = (_gates(x[:, MODELS], words) + 1) * (2 * y.astype(np.int8) - 1)
+    x[:, WIDE - 1] = _marks(x[:, MODELS], words, y)
+    return _mixed(x, counts, weights)
+
+
+def _marks(last: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The bit and the gate, which travel with the log odds as the last float of a row: 1 bits are negative, the size is the gate from 1."""
+    return (_gates(last, words) + 1) * (1 - 2 * y.astype(np.int8))
+
+
+def _mixed(x: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``mix`` of rows that have their marks."""
     lanes = -(-counts // LANE)
     text = np.repeat(np.arange(len(counts)), lanes)
     number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
@@ -297,15 +357,15 @@ def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, wei
     total = np.zeros(n)
     row = np.arange(n) * GATES
     live = np.searchsorted(-length, -np.arange(1, LANE + 1), side="right")  # lanes with at least that many bits
-    # for a bit coded as s = 1 or -1 and log odds o, the cost is log(1 + exp(-s * o)) and its slope by o is -s * c / (1 + c)
-    # with c = exp(-s * o); costs are multiplied up and their logarithm is taken every few bits
+    # for a bit coded as s = -1 (a 1) or 1 and log odds o, the cost is log(1 + exp(s * o)) and its slope by o is s * c / (1 + c)
+    # with c = exp(s * o); costs are multiplied up and their logarithm is taken every few bits
     product, used = np.ones(n), np.ones(WIDE, dtype=np.float32)
     used[WIDE - 1] = 0
     for start in range(0, int(length[0]) if n else 0, STEPS_AT_ONCE):
-        # the next bits of every lane, read in one go, then laid out bit by bit
+        # the next bits of every lane, laid out bit by bit
         m = int(live[start])
-        block = x_items.take(begin[:m, None] + np.arange(start, start + STEPS_AT_ONCE), mode="clip")
-        block = np.ascontiguousarray(block.T).view(np.float32).reshape(STEPS_AT_ONCE, m, WIDE)
+        block = x_items.take(begin[:m] + np.arange(start, start + STEPS_AT_ONCE)[:, None], mode="clip")
+        block = block.view(np.float32).reshape(STEPS_AT_ONCE, m, WIDE)
         signs = np.copysign(np.float32(1), block[:, :, WIDE - 1])
         owns = np.abs(block[:, :, WIDE - 1]).astype(np.int64)
         owns += row[:m] - 1
@@ -316,18 +376,18 @@ def mix(x: np.ndarray, words: np.ndarray, y: np.ndarray, counts: np.ndarray, wei
             dot = (xs * ws) @ used
             odds = slope[:m] * dot
             odds += offset[:m]
-            odds *= -s
-            c = np.exp(np.minimum(odds, 30, out=odds), out=odds)
+            odds *= s
+            c = np.exp(np.minimum(odds, MOST_COST, out=odds), out=odds)
             one = c + 1
             product[:m] *= one
             s *= c
             s /= one
-            step = RATE * s
+            step = -RATE * s
             for j in range(MODELS + 1):  # by columns: rows of four are too short for numpy's loops
                 xs[:, j] *= step
             xs += ws
             w_items[own] = xs.view(np.complex128).ravel()
-            s *= REFINE_RATE
+            s *= -REFINE_RATE
             offset[:m] += s
             s *= dot
             slope[:m] += s
@@ -349,37 +409,34 @@ class Scorer:
 
     def pieces(self, symbols: np.ndarray, hashes: np.ndarray, odds=None) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
         """Log odds by model, words and bits of some symbols after others; odds(model, slots, bits) gives those of the hashed models, if not the tables."""
-        odds = odds or (lambda k, slots, _: self.tables[k].take(slots))
+        odds = odds or (lambda k, slots, _: self.tables[k].take(slots, mode="clip"))  # slots have self.bits bits; numpy is faster if it need not raise
         contexts = (hashes >> np.uint64(32)).astype(np.uint32)
         for a in range(0, len(symbols), SYMBOLS_AT_ONCE):
             node, bit, length = self.code.paths(symbols[a : a + SYMBOLS_AT_ONCE])
             turn = self.code.turns(node)
             slots = (self.code.slots(c[a : a + SYMBOLS_AT_ONCE], turn, length, self.bits) for c in contexts)
-            yield [self.code.prior.take(node), *(odds(k, s, bit) for k, s in enumerate(slots))], node <= self.code.end, bit
+            yield [self.code.prior.take(node, mode="clip"), *(odds(k, s, bit) for k, s in enumerate(slots))], node <= self.code.end, bit
 
-    def inputs(self, flat: list, ids: np.ndarray, lengths: np.ndarray):
-        """``mix``'s x (until the next call), words, y and counts."""
+    def inputs(self, flat: Flat | list, ids: np.ndarray, lengths: np.ndarray):
+        """``_mixed``'s x (until the next call) and counts."""
         symbols, hashes, counts = self.code.steps(flat, ids, lengths)
         ends = np.cumsum(self.code.sizes.take(symbols))
         total = int(ends[-1]) if len(ends) else 0
         if total > len(self.rows):
             self.rows = np.zeros((0, WIDE), dtype=np.float32)  # the old ones go first
             self.rows = np.zeros((total + total // 8, WIDE), dtype=np.float32)
-        x, words, y = self.rows[:total], np.empty(total, dtype=bool), np.empty(total, dtype=np.int8)
-        at = 0
-        for columns, word, bit in self.pieces(symbols, hashes):
+        x, at = self.rows[:total], 0
+        for columns, words, bit in self.pieces(symbols, hashes):
             to = slice(at, at + len(bit))
-            for k, column in enumerate(columns):
+            for k, column in enumerate((*columns, _marks(columns[MODELS], words, bit))):
                 x[to, k] = column
-            words[to], y[to] = word, bit
             at = to.stop
         texts = np.cumsum(counts) - counts
-        return x, words, y, np.diff(np.append(ends[texts] - self.code.sizes.take(symbols[texts]), total))
+        return x, np.diff(np.append(ends[texts] - self.code.sizes.take(symbols[texts]), total))
 
-    def log2(self, flat: list, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """log2 probability of each text, given as ``Code.tokens`` does."""
-        x, words, y, counts = self.inputs(flat, ids, lengths)
-        return mix(x, words, y, counts, self.weights)[0]
+    def log2(self, flat: Flat | list, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """log2 probability of each text, given as ``Code.read`` does."""
+        return _mixed(*self.inputs(flat, ids, lengths), self.weights)[0]
 
 
 def _training(docs: DataFrame) -> DataFrame:
@@ -441,15 +498,16 @@ def bit_counts(texts: DataFrame, code, bits: int) -> list[tuple[np.ndarray, np.n
         total = np.zeros((MODELS, 2 << bits), dtype=np.int64)
         some, own_code = False, code.value
         for _, own in binary_rows(batches, 2 * BATCH_BYTES):
-            symbols, hashes, _ = own_code.steps(*own_code.tokens([t.lower().split() for t in own]))
+            symbols, hashes, _ = own_code.steps(*own_code.read(own))
             some = True
             for k in range(MODELS):
-                # (context, symbol) pairs repeat, so each is expanded to its bits once
-                pair = (hashes[k] & np.uint64(0xFFFFFFFF00000000)) | symbols.astype(np.uint64)
+                # (symbol, context) pairs repeat, so each is expanded to its bits once; in the order of symbols, whose paths are read one after another
+                pair = hashes[k] >> np.uint64(32)
+                pair |= symbols.astype(np.uint64) << np.uint64(32)
                 pair.sort()
                 first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
                 times, pair = np.diff(np.append(first, len(pair))), pair[first]
-                symbol, context = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64), (pair >> np.uint64(32)).astype(np.uint32)
+                symbol, context = (pair >> np.uint64(32)).astype(np.int64), pair.astype(np.uint32)
                 for a in range(0, len(pair), SYMBOLS_AT_ONCE):
                     part = slice(a, a + SYMBOLS_AT_ONCE)
                     node, y, length = own_code.paths(symbol[part])
@@ -502,22 +560,34 @@ class _Newton:
         self.slope = np.zeros((GATES, MODELS + 1))
 
     def add(self, columns: list[np.ndarray], words: np.ndarray, y: np.ndarray) -> None:
-        gate = _gates(columns[MODELS], words)
-        for g in range(GATES):
-            own = np.flatnonzero(gate == g)
-            xs, p = [c.take(own) for c in columns], np.zeros(len(own), dtype=np.float32)
-            for x, w in zip(xs, self.weights[g].astype(np.float32), strict=True):
-                p -= w * x
-            np.exp(np.clip(p, -30, 30, out=p), out=p)
-            p += 1
-            np.reciprocal(p, out=p)
-            off = y.take(own) - p
-            p *= 1 - p
-            for i, x in enumerate(xs):
-                self.slope[g, i] += off @ x
-                x_p = x * p
-                for j in range(i + 1):
-                    self.curve[g, i, j] += x_p @ xs[j]
+        for coded in (False, True):
+            own, xs, ys = words == coded, columns, y
+            if not own.all():
+                own = np.flatnonzero(own)
+                xs, ys = [x.take(own) for x in columns], y.take(own)
+            # few bits have a longer context that was not seen: they are summed apart and have no part in the others' sums
+            unseen = np.flatnonzero(xs[MODELS] == 0)
+            if len(unseen) < len(ys):
+                self._sum(2 * coded + 1, xs, ys, unseen)
+            if len(unseen):
+                self._sum(2 * coded, [x.take(unseen) for x in xs], ys.take(unseen), unseen[:0])
+
+    def _sum(self, g: int, xs: list[np.ndarray], y: np.ndarray, without: np.ndarray) -> None:
+        """Slope and curvature of gate ``g`` over the bits, but for those at ``without``."""
+        p, some = np.zeros(len(y), dtype=np.float32), np.empty(len(y), dtype=np.float32)
+        for x, w in zip(xs, self.weights[g].astype(np.float32), strict=True):
+            p -= np.multiply(x, w, out=some)
+        np.exp(np.clip(p, -30, 30, out=p), out=p)
+        p += 1
+        np.reciprocal(p, out=p)
+        off = np.subtract(y, p, dtype=np.float32)
+        p *= np.subtract(1, p, out=some)
+        off[without] = p[without] = 0
+        for i, x in enumerate(xs):
+            self.slope[g, i] += off @ x
+            x_p = np.multiply(x, p, out=some)
+            for j in range(i + 1):
+                self.curve[g, i, j] += x_p @ xs[j]
 
     def step(self) -> None:
         for g in range(GATES):
@@ -529,15 +599,20 @@ class _Newton:
         return np.tril(self.curve) + np.tril(self.curve, -1).transpose(0, 2, 1)
 
 
-def _fit(texts: list[list[bytes]], scorer: Scorer, apart: list[np.ndarray], model: _Newton, rounds: int = 1) -> None:
+def _fit(texts: list[bytes], scorer: Scorer, apart: list[np.ndarray], model: _Newton, rounds: int = 1) -> None:
     """``rounds`` steps of ``model`` over texts, each bit taken out of the counts that predict it (``apart``: as ``_apart`` gives it for each hashed model)."""
 
     def without_own(k: int, slots: np.ndarray, bit: np.ndarray) -> np.ndarray:
         slots <<= 1
         slots |= bit
-        return apart[k].take(slots)
-
-    symbols, hashes, _ = scorer.code.steps(*scorer.code.tokens(texts))
+        return apart[k].take(slots, mode="clip")
+
+    symbols, hashes, _ = scorer.code.steps(*scorer.code.read(texts))
+    # sums have no order, so the bits of a symbol go together: its path is read once, words come apart from letters
+    order = symbols << 32
+    order |= np.arange(len(symbols))
+    order.sort()
+    symbols, hashes = order >> 32, hashes.take(order & 0xFFFFFFFF, axis=1)
     for r in range(rounds):
         if r:  # the curvature is taken where the weights are now
             model.curve[:] = np.eye(MODELS + 1)
@@ -556,7 +631,7 @@ def fitted_weights(texts: DataFrame, scorer: Scorer, counts: list[tuple[np.ndarr
         known, its_odds = shipped.value
         model, some = _Newton(), False
         for _, slice_ in binary_rows(batches, FIT_BYTES):
-            _fit([t.lower().split() for t in slice_], known, its_odds, model, 1 if some else FIRST_ROUNDS)
+            _fit(slice_, known, its_odds, model, 1 if some else FIRST_ROUNDS)
             some = True
         if some:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([model.whole().ravel().tolist()]), pa.array([model.weights.ravel().tolist()])], names=["part", "curve", "weights"])
@@ -617,14 +692,15 @@ def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
         scorer, logs = shipped.value
         scorer, code = scorer.own(), scorer.code
         for piece, texts in binary_rows(batches, BATCH_BYTES):
-            flat, ids, lengths = code.tokens([t.lower().split() for t in texts])
+            flat, ids, lengths = code.read(texts)
             starts = np.cumsum(lengths) - lengths
             head_n, base = np.add.reduceat(ids < code.end, starts, dtype=np.int64), np.add.reduceat(logs[ids], starts)
             own = scorer.log2(flat, ids, lengths) * np.log10(2)
             # rare words, each once a text with its number; they are joined to the whole vocabulary
             where = np.flatnonzero(ids == code.escape)
             bounds = np.searchsorted(where, np.append(starts, len(ids)))
-            rare = [Counter([flat[i] for i in where[a:b].tolist()]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            spelt = flat.take(where)
+            rare = [Counter(spelt[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32))
             words = pa.ListArray.from_arrays(offsets, pa.array([w for r in rare for w in r], pa.binary()))
             times = pa.ListArray.from_arrays(offsets, pa.array([k for r in rare for k in r.values()], pa.int64()))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -575,6 +576,65 @@ def test_lexicon_numbers_words_as_a_dictionary_does():
     assert ids.tolist() == [code.end, 1, code.escape, code.end, 0, code.end]
 
 
+def test_words_are_read_without_an_object_each():
+    rng = random.Random(5)
+    odd = [b"", b" ", b"\t\n A  b\x0b\x0cc\r", "\u00c9 \u00a0x y\x1cz".encode(), b"\0 a\0b \xff", b"Q" * 100 + b" B " + b"y" * 15, bytes(rng.randrange(256) for _ in range(4000)), b""]
+    code = context_mixing.Code([b"a", b"b", b"y" * 15, b"q" * 100], [4, 3, 2, 1], 1, 1, np.ones(257, dtype=np.int64))
+    numbers = {b"a": 0, b"b": 1, b"y" * 15: 2, b"q" * 100: 3, None: code.end}
+    for texts in ([b""], odd, odd[::-1]):
+        want = [w for t in texts for w in (*t.lower().split(), None)]
+        flat, ids, lengths = code.read(texts)
+        assert flat.take(np.arange(len(ids))) == want and ids.tolist() == [numbers.get(w, code.escape) for w in want]
+        assert lengths.tolist() == [len(t.split()) + 1 for t in texts]
+    many = [b" ".join(b"%d" % rng.randrange(10**6) for _ in range(1000)) for _ in range(50)]
+    code.read(many)
+    before = sys.getallocatedblocks()
+    kept = code.read(many)
+    assert len(kept[1]) == 50_050 and sys.getallocatedblocks() - before < 5000
+
+
+def test_contexts_end_where_texts_and_words_begin(monkeypatch):
+    monkeypatch.setattr(context_mixing, "FREQUENT", 2)
+    code = context_mixing.Code([b"a", b"b", b"c"], [5, 3, 2], 2, 4, np.ones(257, dtype=np.int64))
+    texts = [[], [b"c", b"a", b"c", b"xyzuvw", b"c", b"b", b"b"], [b"c", b"c"], [b"q"], [], [b"a", b"c"]]
+    one = lambda kind, *parts: int(context_mixing._hash(kind, *(np.array([p], dtype=np.uint64) for p in parts))[0])
+    number = {b"a": 0, b"b": 1, b"c": 2, None: code.end}
+    want, counts = [], []
+    for t in texts:
+        often = last = 0
+        counts.append(-len(want))
+        for w in (*t, None):
+            i = number.get(w, code.escape)
+            want.append((i, one(1, often), one(2, last)))
+            last = i + 1
+            often = last if i < context_mixing.FREQUENT else often
+            if i == code.escape:
+                spelt = [*w, 256]
+                for k, x in enumerate(spelt):
+                    p = ([0] * 4 + [y + 1 for y in spelt[:k]])[: -5 : -1]
+                    want.append((x + code.first_byte, one(3, *p[:2]), one(4, *p)))
+        counts[-1] += len(want)
+    symbols, hashes, n = code.steps(*code.tokens(texts))
+    assert list(zip(symbols.tolist(), *hashes.tolist(), strict=True)) == want and n.tolist() == counts
+
+
+def test_sums_of_the_fit_are_plain_ones():
+    rng = np.random.default_rng(9)
+    for share in (0, 0.3, 1):
+        x = rng.normal(size=(context_mixing.MODELS + 1, 500)).astype(np.float32)
+        x[-1, rng.random(500) < share] = 0
+        y, words = rng.integers(0, 2, 500).astype(np.int8), rng.random(500) < 0.5
+        for words in (words, words | True, words & False):
+            model = context_mixing._Newton()
+            model.add(list(x), words, y)
+            gate = (x[-1] != 0) + 2 * words
+            for g in range(context_mixing.GATES):
+                rows, w = x[:, gate == g].astype(float), context_mixing.start_weights()[g]
+                p = 1 / (1 + np.exp(-(w @ rows)))
+                assert np.allclose(model.slope[g], rows @ (y[gate == g] - p), atol=1e-3)
+                assert np.allclose(model.whole()[g], (rows * (p * (1 - p))) @ rows.T + np.eye(len(x)), atol=1e-3)
+
+
 def test_fit_takes_each_bit_out_of_the_counts_that_predict_it():
     zeros, ones = np.array([0, 1, 5]), np.array([2, 0, 7])
     got = context_mixing._apart(zeros, ones).reshape(-1, 2)
